@@ -46,29 +46,35 @@ def daily_activity(events: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def outside_lifecycle(activity: DataFrame, hr: DataFrame) -> DataFrame:
-    """The part of each day's activity that lies before the join date or after the termination date."""
-    dates = hr.where(F.col("user").isNotNull()).select("user", "join_date", "termination_date")
-    whole = (F.col("day") < F.col("join_date")) | (F.col("day") > F.col("termination_date"))
-    partly = (F.col("day") == F.col("termination_date")) & (F.col("n_past_midnight") > 0)
-    whole = F.coalesce(whole, F.lit(False))
-    joined = activity.join(dates, "user").where(whole | partly)
+def against_lifecycle(activity: DataFrame, hr: DataFrame) -> DataFrame:
+    """Daily activity that HR does not cover, with a ``reason``.
+
+    ``unknown``: the user has no HR row. ``outside_lifecycle``: the part of the day before the join
+    date or after the termination date. The plain join lets Spark broadcast a small HR table and
+    otherwise split the days of a busy user over tasks.
+    """
+    dates = hr.where(F.col("user").isNotNull()).select("user", "join_date", "termination_date", F.lit(True).alias("known"))
+    outside = (F.col("day") < F.col("join_date")) | (F.col("day") > F.col("termination_date"))
+    past_last_midnight = (F.col("day") == F.col("termination_date")) & (F.col("n_past_midnight") > 0)
+    part = F.col("reason") == "part_of_day"
     return (
-        joined.withColumn("n", F.when(whole, F.col("n")).otherwise(F.col("n_past_midnight")))
-        .withColumn("first_ts", F.when(whole, F.col("first_ts")).otherwise(F.col("first_past_midnight")))
-        .drop("n_past_midnight", "first_past_midnight", "join_date", "termination_date")
+        activity.join(dates, "user", "left")
+        .withColumn(
+            "reason",
+            F.when(F.col("known").isNull(), "unknown").when(outside, "outside_lifecycle").when(past_last_midnight, "part_of_day"),
+        )
+        .where(F.col("reason").isNotNull())
+        .withColumn("n", F.when(part, F.col("n_past_midnight")).otherwise(F.col("n")))
+        .withColumn("first_ts", F.when(part, F.col("first_past_midnight")).otherwise(F.col("first_ts")))
+        .withColumn("reason", F.when(part, "outside_lifecycle").otherwise(F.col("reason")))
+        .drop("n_past_midnight", "first_past_midnight", "join_date", "termination_date", "known")
     )
 
 
 def orphan_users(src: Sources) -> DataFrame:
     """Users active without an HR row, or active outside their employment."""
     activity = daily_activity(src.events().where(F.col("user").isNotNull()))
-    unknown = without_match(activity.select("user", "n", "first_ts", "last_ts"), src.hr, {"user": "user"})
-    outside = outside_lifecycle(activity, src.hr).select("user", "n", "first_ts", "last_ts")
-    rows = unknown.withColumn("reason", F.lit("unknown")).unionByName(
-        outside.withColumn("reason", F.lit("outside_lifecycle"))
-    )
-    return rows.groupBy("user", "reason").agg(
+    return against_lifecycle(activity, src.hr).groupBy("user", "reason").agg(
         F.sum("n").alias("n_events"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
 

@@ -105,14 +105,15 @@ def same_session_bypass(src: Sources, *, window_sec: int = MFA_WINDOW_SEC, match
 
 def _first_access(failed: DataFrame, access: DataFrame, window_sec: int) -> DataFrame:
     """The first access after each distinct (user, failure time), by (time, id)."""
-    once = failed.groupBy("user", "mfa_failure_time").agg(F.min(F.struct("req_id", "failure_reason")).alias("_f"))
-    once = once.select("user", "mfa_failure_time", F.col("_f.failure_reason").alias("failure_reason"))
+    access = access.select("user", "usage_id", "app_accessed", "app_access_time", "app_usage_duration_sec")
     nearest = asof_join(
-        once, access.select("user", "usage_id", "app_accessed", "app_access_time", "app_usage_duration_sec"), ["user"],
+        failed.select("req_id", "user", "mfa_failure_time", "failure_reason"), access, ["user"],
         "mfa_failure_time", "app_access_time", "usage_id",
         forward=True, strict=True, whole_seconds=True, within_sec=window_sec, match="_next",
     )
-    flat = nearest.select("user", "mfa_failure_time", "failure_reason", "_next.*").withColumn(
+    # Failures of one moment share their next access; the one with the lowest id stands for them.
+    once = nearest.groupBy("user", "mfa_failure_time").agg(F.min(F.struct("req_id", "failure_reason", "_next")).alias("_f"))
+    flat = once.select("user", "mfa_failure_time", "_f.failure_reason", "_f._next.*").withColumn(
         "app_session_id", F.lit(None).cast("string")
     )
     return _after_failure(flat).select(*_BYPASS)
@@ -157,7 +158,7 @@ def impossible_travel(src: Sources, *, max_gap_sec: int = 3600) -> DataFrame:
     """Successive successful logins from another country and address within the gap."""
     positive(max_gap_sec=max_gap_sec)
     logins = src.logins.where(F.col("status") == "SUCCESS").select("req_id", "user", "ts", "country", "ip")
-    steps = with_previous(logins, ["user"], "ts", "req_id", ["ts", "country", "ip"])
+    steps = with_previous(logins, ["user"], "ts", "req_id", ["ts", "country", "ip"], within_sec=max_gap_sec)
     return (
         steps.withColumn("gap_sec", elapsed("ts", F.col("prev.ts")))
         .where(

@@ -8,7 +8,7 @@ from idwarden.functions import within_rate
 from idwarden.functions.checks import positive
 from idwarden.operators.access import unrequested_escalations, unused_approvals
 from idwarden.operators.activity import late_directory_events, long_sessions
-from idwarden.operators.integrity import daily_activity, outside_lifecycle
+from idwarden.operators.integrity import against_lifecycle, daily_activity
 from idwarden.operators.keyed import without_match
 from idwarden.operators.logins import impossible_travel, shared_address_countries
 from idwarden.operators.temporal import count_pairs_before
@@ -76,13 +76,13 @@ def long_session_count(src: Sources, *, limit_hours: int = SESSION_HOURS) -> Dat
 def lifecycle_violations(src: Sources) -> DataFrame:
     """Events before joining or after termination per source; users without an HR row are skipped."""
     events = src.events().where((F.col("source") != "request") & F.col("user").isNotNull())
-    late = outside_lifecycle(daily_activity(events, "source"), src.hr)
-    per_source = late.groupBy("source").agg(F.sum("n").alias("violations"))
-    # A source without violations is reported as zero, one without rows is not reported.
-    present = events.groupBy("source").agg(F.count("*").alias("events"))
-    return present.join(per_source, "source", "left").select(
-        "source", "events", F.coalesce("violations", F.lit(0)).alias("violations")
+    activity = daily_activity(events, "source")
+    late = against_lifecycle(activity, src.hr).where(F.col("reason") == "outside_lifecycle")
+    # Totals and violations meet in one sum, so a source without violations is reported as zero.
+    counts = activity.select("source", F.col("n").alias("events"), F.lit(0).cast("bigint").alias("violations")).unionByName(
+        late.select("source", F.lit(0).cast("bigint").alias("events"), F.col("n").alias("violations"))
     )
+    return counts.groupBy("source").agg(F.sum("events").alias("events"), F.sum("violations").alias("violations"))
 
 
 def date_range(src: Sources) -> DataFrame:

@@ -103,22 +103,29 @@ def asof_join(
         *on, _chunk(left_ts, chunk_sec).alias("_chunk"), at(left_ts).alias("_at"), F.struct(*left.columns).alias("_left"),
     )
     rights = right.select(
-        *on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), F.col(right_ts).alias("_ts"),
-        F.col(right_id).alias("_id"), payload.alias("_right"),
+        *on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), payload.alias("_right"),
     )
+    nearness = [f"_right.{right_ts}", f"_right.{right_id}"]
 
-    # Nearest right row of the chunks already passed, for every chunk that holds a left row.
+    # Nearest right row of the chunks already passed, for the chunks that may need it.
     best = F.min_by if forward else F.max_by
     direction = F.desc if forward else F.asc
-    passed = rights.groupBy(*on, "_chunk").agg(best("_right", F.struct("_ts", "_id")).alias("_right"))
-    asked = lefts.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
-    steps = passed.withColumn("_asks", F.lit(1)).unionByName(asked, allowMissingColumns=True)
-    by_chunk = Window.partitionBy(*on).orderBy(direction("_chunk"), F.asc("_asks")).rowsBetween(Window.unboundedPreceding, 0)
-    carried = (
-        steps.withColumn("_right", F.last("_right", ignorenulls=True).over(by_chunk))
-        .where((F.col("_asks") == 0) & F.col("_right").isNotNull())
-        .select(*on, "_chunk", "_right", F.lit(0).alias("_turn"))
-    )
+    passed = rights.groupBy(*on, "_chunk").agg(best("_right", F.struct(*nearness)).alias("_right"))
+    if within_sec is not None and within_sec <= chunk_sec:
+        # No match reaches further than the next chunk.
+        carried = passed.withColumn("_chunk", F.col("_chunk") + F.lit(-1 if forward else 1))
+    else:
+        asked = lefts.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
+        steps = passed.withColumn("_asks", F.lit(1)).unionByName(asked, allowMissingColumns=True)
+        by_chunk = (
+            Window.partitionBy(*on).orderBy(direction("_chunk"), F.asc("_asks")).rowsBetween(Window.unboundedPreceding, 0)
+        )
+        carried = (
+            steps.withColumn("_right", F.last("_right", ignorenulls=True).over(by_chunk))
+            .where((F.col("_asks") == 0) & F.col("_right").isNotNull())
+            .drop("_asks")
+        )
+    carried = carried.withColumn("_turn", F.lit(0))
 
     # Carried rows first, then both sides in time order; at equal times the left row goes
     # first when equality does not count.
@@ -131,7 +138,7 @@ def asof_join(
     )
     in_chunk = (
         Window.partitionBy(*on, "_chunk")
-        .orderBy(F.asc("_late"), direction("_at"), F.asc("_turn"), direction("_ts"), direction("_id"))
+        .orderBy(F.asc("_late"), direction("_at"), F.asc("_turn"), *[direction(c) for c in nearness])
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     found = (
@@ -148,26 +155,27 @@ def asof_join(
 
 
 def with_previous(
-    df: DataFrame, on: list[str], ts: str, row_id: str, carry: list[str], *, chunk_sec: int = CHUNK_SEC, name: str = "prev",
+    df: DataFrame, on: list[str], ts: str, row_id: str, carry: list[str],
+    *, within_sec: int | None = None, chunk_sec: int = CHUNK_SEC, name: str = "prev",
 ) -> DataFrame:
     """Add a struct with the ``carry`` columns of the row before, in (ts, row_id) order per key.
 
-    Rows without key or time have no place in the order and are left out.
+    Rows without key or time have no place in the order and are left out. With ``within_sec`` a row
+    further back may come as NULL; callers that look no further than that save a shuffle.
     """
     positive(chunk_sec=chunk_sec)
     rows = df.where(all_not_null(*on, ts)).withColumn("_chunk", _chunk(ts, chunk_sec))
     rows = rows.withColumn("_own", F.struct(*carry))
     ends = rows.groupBy(*on, "_chunk").agg(F.max_by("_own", F.struct(ts, row_id)).alias("_own"))
-    by_chunk = Window.partitionBy(*on).orderBy("_chunk")
-    carried = (
-        ends.withColumn("_own", F.lag("_own").over(by_chunk))
-        .where(F.col("_own").isNotNull())
-        .withColumn("_turn", F.lit(0))
-    )
+    if within_sec is not None and within_sec <= chunk_sec:
+        carried = ends.withColumn("_chunk", F.col("_chunk") + F.lit(1))
+    else:
+        by_chunk = Window.partitionBy(*on).orderBy("_chunk")
+        carried = ends.withColumn("_own", F.lag("_own").over(by_chunk)).where(F.col("_own").isNotNull())
     in_chunk = Window.partitionBy(*on, "_chunk").orderBy("_turn", ts, row_id)
     return (
         rows.withColumn("_turn", F.lit(1))
-        .unionByName(carried, allowMissingColumns=True)
+        .unionByName(carried.withColumn("_turn", F.lit(0)), allowMissingColumns=True)
         .withColumn(name, F.lag("_own").over(in_chunk))
         .where(F.col("_turn") == 1)
         .drop("_chunk", "_own", "_turn")
