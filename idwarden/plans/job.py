@@ -98,6 +98,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--gcs_bucket", help="short for --root gs://<bucket>")
     p.add_argument("--source", required=True, choices=SOURCE_KEYS)
     p.add_argument("--input_file", help="one file below root, used instead of the whole folder of --source")
+    p.add_argument("--first_day", metavar="YYYY-MM-DD", help="read no events before this day")
+    p.add_argument("--last_day", metavar="YYYY-MM-DD", help="read no events after this day")
     p.add_argument("--sink_path", help="folder of the result tables; <root>/gold by default")
     p.add_argument("--sink_format", default="parquet")
     p.add_argument("--sink_option", action="append", default=[], metavar="KEY=VALUE")
@@ -107,7 +109,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--temp_gcs_bucket")
     p.add_argument("--run_id", help="names this run; a rerun with the same name replaces its rows")
     p.add_argument("--only_affected", action="store_true", help="only tables that read --source")
-    p.add_argument("--parallel", type=int, default=4)
+    p.add_argument("--parallel", type=int, default=4, help="tables computed at once")
+    p.add_argument("--shuffle_partitions", type=int, help="before adaptive merging; shuffled bytes / 200 MB is a good size")
     for key in TABLES:
         p.add_argument(f"--{key}", help=argparse.SUPPRESS)
     return p
@@ -143,9 +146,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     """Exit code 0 when every table was filled, 1 when any failed."""
     args = settings(argv)
     started = spark is None
-    spark = spark or session("idwarden")
+    if started:
+        sizing = {"spark.sql.shuffle.partitions": str(args.shuffle_partitions)} if args.shuffle_partitions else {}
+        spark = session("idwarden", **sizing)
     try:
-        src = load_sources(spark, args.root, args.source, args.input_file)
+        src = load_sources(
+            spark, args.root, args.source, args.input_file, first_day=args.first_day, last_day=args.last_day
+        )
         keys = affected_by(args.source) if args.only_affected else None
         outcomes = run(src, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel)
     finally:

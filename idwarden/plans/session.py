@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import SparkSession
 
-# What a cluster session should carry; sizes of partitions are left to adaptive execution.
+# Adaptive execution merges small partitions, splits the partitions of busy keys in joins, and
+# broadcasts a side only after its size is known at run time.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -13,10 +14,17 @@ SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# On a cluster streaming state can outgrow the heap, so it lives in RocksDB.
+CLUSTER_SETTINGS = {
+    **SETTINGS,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
 def session(name: str, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**CLUSTER_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

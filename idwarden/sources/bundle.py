@@ -56,18 +56,19 @@ class Sources:
 
 def load_sources(
     spark: SparkSession, root: str, source: str | None = None, input_file: str | None = None,
+    *, first_day: str | None = None, last_day: str | None = None,
 ) -> Sources:
     """Read ``<root>/source/<key>`` for every key.
 
     With ``source`` and ``input_file`` that one file (relative to ``root``) stands in for the
-    folder of ``source``; the other sources keep their whole history.
+    folder of ``source``; the other sources keep their whole history, or the days asked for.
     """
+    if source is not None:
+        one_of("source", source, SOURCE_KEYS)
     frames = {}
     for key in SOURCE_KEYS:
-        path = f"{root}/source/{key}"
         if key == source and input_file:
-            path = f"{root}/{input_file}"
-        frames[key] = read_parquet(spark, key, path)
-    if source is not None:
-        one_of("source", source, SOURCE_KEYS)
+            frames[key] = read_parquet(spark, key, f"{root}/{input_file}")
+        else:
+            frames[key] = read_parquet(spark, key, f"{root}/source/{key}", first_day=first_day, last_day=last_day)
     return Sources.of(spark, frames)

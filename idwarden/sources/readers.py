@@ -41,14 +41,23 @@ def _or_empty(spark, source, load):
 
 def read_parquet(
     spark: SparkSession, source: str, path: str, *, merge_schema: bool = False, keep_file: bool = False,
+    first_day: str | None = None, last_day: str | None = None,
 ) -> DataFrame:
     """A source from one Parquet file, a folder or a glob.
 
     Files may hold typed columns or all-string columns; both end in the fixed layout.
     ``merge_schema`` reads every footer and is needed only when files of one folder differ.
+    ``first_day`` and ``last_day`` (``yyyy-MM-dd``) keep the events of those days; where the folder is
+    split by ``event_date`` the other days are not read.
     """
     def load():
         raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        if "ts" in schemas.BY_SOURCE[source].fieldNames():
+            day = F.col("event_date") if "event_date" in raw.columns else F.to_date(F.col("ts").try_cast("timestamp_ntz"))
+            if first_day is not None:
+                raw = raw.where(day >= F.lit(first_day).cast("date"))
+            if last_day is not None:
+                raw = raw.where(day <= F.lit(last_day).cast("date"))
         if keep_file:
             raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
         return normalise(raw, source, extra=["source_file"] if keep_file else [])

@@ -1,7 +1,8 @@
 """Incremental ingest and the streaming forms of some detectors.
 
-Watermarks need a zoned timestamp, so event times are cast on the way in and back on the
-way out; both casts use the session time zone, which should be UTC.
+Watermarks need a zoned timestamp, so event times become the instant with the same UTC clock
+on the way in, and come back on the way out. The session time zone should be UTC: in another
+one, clock times that a switch to summer time skips do not survive the way.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,12 +64,17 @@ def ingest(rows: DataFrame, path: str, checkpoint: str, **options) -> StreamingQ
 
 
 def _event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    instant = F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+    return df.withColumn(ts, instant).withWatermark(ts, delay)
+
+
+def _clock(instant) -> Column:
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def _untimed(df: DataFrame, *columns: str) -> DataFrame:
     """Event times back to the zoneless type of the batch results."""
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+    return df.withColumns({c: _clock(c) for c in columns})
 
 
 def distinct_stream(rows: DataFrame, event_id: str, *, delay: str = "1 day") -> DataFrame:
@@ -142,7 +148,7 @@ def daily_count_stream(rows: DataFrame, *, delay: str = "1 hour") -> DataFrame:
     counted = _event_time(rows.select("user", "ts"), "ts", delay).groupBy(F.window("ts", "1 day"), "user").agg(
         F.count("*").alias("n")
     )
-    return counted.select(F.col("window.start").cast("timestamp_ntz").alias("day_start"), "user", "n")
+    return counted.select(_clock("window.start").alias("day_start"), "user", "n")
 
 
 def session_stream(rows: DataFrame, *, gap: str = f"{SESSION_HOURS} hours", delay: str = "1 hour") -> DataFrame:
@@ -151,6 +157,6 @@ def session_stream(rows: DataFrame, *, gap: str = f"{SESSION_HOURS} hours", dela
         F.count("*").alias("n")
     )
     return grouped.select(
-        "user", F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
-        F.col("session_window.end").cast("timestamp_ntz").alias("session_end"), "n",
+        "user", _clock("session_window.start").alias("session_start"),
+        _clock("session_window.end").alias("session_end"), "n",
     )

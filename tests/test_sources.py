@@ -117,6 +117,18 @@ def test_primary_file_stands_in_for_its_folder(spark, make, tmp_path):
         load_sources(spark, str(tmp_path), "payroll")
 
 
+def test_days_are_pruned(spark, make, tmp_path):
+    day = 86400
+    src = make(okta=[dict(req_id=f"l{i}", ts=at(i * day)) for i in range(4)])
+    write_source(src.logins, str(tmp_path), "okta")
+    some = load_sources(spark, str(tmp_path), first_day="2025-10-07", last_day="2025-10-08").logins
+    assert rows(some, "req_id") == [("l1",), ("l2",)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    src.logins.write.parquet(f"{tmp_path}/flat")
+    assert rows(read_parquet(spark, "okta", f"{tmp_path}/flat", first_day="2025-10-09"), "req_id") == [("l3",)]
+
+
 def test_file_name_is_kept_on_request(spark, make, tmp_path):
     make(okta=[dict(req_id="l1")]).logins.write.parquet(f"{tmp_path}/okta")
     df = read_parquet(spark, "okta", f"{tmp_path}/okta", keep_file=True)
