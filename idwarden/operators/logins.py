@@ -157,7 +157,8 @@ def mfa_bypass_all_apps(src: Sources, *, window_sec: int = MFA_WINDOW_SEC) -> Da
 def impossible_travel(src: Sources, *, max_gap_sec: int = 3600) -> DataFrame:
     """Successive successful logins from another country and address within the gap."""
     positive(max_gap_sec=max_gap_sec)
-    logins = src.logins.where(F.col("status") == "SUCCESS").select("req_id", "user", "ts", "country", "ip")
+    # Copies of a login follow each other and change nothing.
+    logins = src.logins.where(F.col("status") == "SUCCESS").select("req_id", "user", "ts", "country", "ip").distinct()
     steps = with_previous(logins, ["user"], "ts", "req_id", ["ts", "country", "ip"], within_sec=max_gap_sec)
     return (
         steps.withColumn("gap_sec", elapsed("ts", F.col("prev.ts")))
@@ -174,7 +175,8 @@ def impossible_travel(src: Sources, *, max_gap_sec: int = 3600) -> DataFrame:
 
 def mfa_drift(src: Sources) -> DataFrame:
     """Logins whose MFA method differs from the user's login before, with the methods used so far."""
-    logins = src.logins.where(F.col("mfa").isNotNull()).select("req_id", "user", "ts", "mfa")
+    # Copies of a login follow each other and change nothing.
+    logins = src.logins.where(F.col("mfa").isNotNull()).select("req_id", "user", "ts", "mfa").distinct()
     changed = with_previous(logins, ["user"], "ts", "req_id", ["mfa"]).where(F.col("prev.mfa") != F.col("mfa"))
     # A method counts from its first login on; one entry per method is left of each user's logins.
     firsts = (

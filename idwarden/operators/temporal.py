@@ -2,7 +2,8 @@
 
 Every operator here splits a key's history into time chunks and shuffles on
 (key, chunk), so one busy account spreads over many tasks. What has to cross a chunk
-border travels as one summary row per (key, chunk).
+border travels as one summary row per (key, chunk). Rows that share a key and a time are
+combined before they meet, so copies of one event do not fill a task either.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,29 +94,36 @@ def asof_join(
     The right row comes as one struct column ``match`` without the key columns. Ties go
     to the row nearest by (``right_ts``, ``right_id``). ``strict`` shuts out equal times, ``whole_seconds``
     compares times by second, ``within_sec`` bounds the distance. ``how='left'`` keeps rows with no
-    match. No pairs are formed: rows of both sides are scanned once in time order per (key, chunk).
+    match. No pairs are formed: the distinct times of both sides are scanned once in order per
+    (key, chunk), and the left rows then fetch the match of their time. However many rows share
+    a time, the scan sees it once per side.
     """
     positive(chunk_sec=chunk_sec)
     at = seconds if whole_seconds else F.col
-    payload = F.struct(*[c for c in right.columns if c not in on])
-    right = right.where(all_not_null(*on, right_ts))
-    lefts = left.where(all_not_null(*on, left_ts)).select(
-        *on, _chunk(left_ts, chunk_sec).alias("_chunk"), at(left_ts).alias("_at"), F.struct(*left.columns).alias("_left"),
+    best = F.min_by if forward else F.max_by
+    direction = F.desc if forward else F.asc
+    spot = [*on, "_chunk", "_at"]
+    nearest = best("_right", F.struct(f"_right.{right_ts}", f"_right.{right_id}")).alias("_right")
+
+    dated = left.where(all_not_null(*on, left_ts)).withColumns(
+        {"_chunk": _chunk(left_ts, chunk_sec), "_at": at(left_ts)}
     )
-    rights = right.select(
-        *on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), payload.alias("_right"),
+    payload = F.struct(*[c for c in right.columns if c not in on])
+    rights = (
+        right.where(all_not_null(*on, right_ts))
+        .select(*on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), payload.alias("_right"))
+        .groupBy(*spot)
+        .agg(nearest)
     )
-    nearness = [f"_right.{right_ts}", f"_right.{right_id}"]
+    times = dated.select(*spot).distinct()
 
     # Nearest right row of the chunks already passed, for the chunks that may need it.
-    best = F.min_by if forward else F.max_by
-    direction = F.desc if forward else F.asc
-    passed = rights.groupBy(*on, "_chunk").agg(best("_right", F.struct(*nearness)).alias("_right"))
+    passed = rights.groupBy(*on, "_chunk").agg(nearest)
     if within_sec is not None and within_sec <= chunk_sec:
         # No match reaches further than the next chunk.
         carried = passed.withColumn("_chunk", F.col("_chunk") + F.lit(-1 if forward else 1))
     else:
-        asked = lefts.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
+        asked = dated.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
         steps = passed.withColumn("_asks", F.lit(1)).unionByName(asked, allowMissingColumns=True)
         by_chunk = (
             Window.partitionBy(*on).orderBy(direction("_chunk"), F.asc("_asks")).rowsBetween(Window.unboundedPreceding, 0)
@@ -125,32 +133,33 @@ def asof_join(
             .where((F.col("_asks") == 0) & F.col("_right").isNotNull())
             .drop("_asks")
         )
-    carried = carried.withColumn("_turn", F.lit(0))
 
-    # Carried rows first, then both sides in time order; at equal times the left row goes
+    # Carried rows first, then both sides in time order; at equal times the left one goes
     # first when equality does not count.
     left_turn, right_turn = (1, 2) if strict else (2, 1)
     rows = (
-        lefts.withColumn("_turn", F.lit(left_turn))
+        times.withColumn("_turn", F.lit(left_turn))
         .unionByName(rights.withColumn("_turn", F.lit(right_turn)), allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
+        .unionByName(carried.withColumn("_turn", F.lit(0)), allowMissingColumns=True)
         .withColumn("_late", F.col("_turn") > 0)
     )
     in_chunk = (
         Window.partitionBy(*on, "_chunk")
-        .orderBy(F.asc("_late"), direction("_at"), F.asc("_turn"), *[direction(c) for c in nearness])
+        .orderBy(F.asc("_late"), direction("_at"), F.asc("_turn"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = (
+    matches = (
         rows.withColumn(match, F.last("_right", ignorenulls=True).over(in_chunk))
-        .where(F.col("_left").isNotNull())
-        .select("_left.*", match)
+        .where((F.col("_turn") == left_turn) & F.col(match).isNotNull())
+        .select(*spot, match)
     )
     if within_sec is not None:
-        near = F.abs(elapsed(F.col(f"{match}.{right_ts}"), left_ts)) <= F.lit(within_sec)
-        found = found.withColumn(match, F.when(near, F.col(match)))
+        right_at, left_at = F.col(f"{match}.{right_ts}"), F.col("_at")
+        gap = F.abs(seconds(right_at) - (left_at if whole_seconds else seconds(left_at)))
+        matches = matches.where(gap <= F.lit(within_sec))
+    found = dated.join(matches, spot, how).select(*left.columns, match)
     if how == "inner":
-        return found.where(F.col(match).isNotNull())
+        return found
     return found.unionByName(left.where(any_null(*on, left_ts)), allowMissingColumns=True)
 
 
@@ -187,19 +196,26 @@ def count_pairs_before(
 ) -> DataFrame:
     """One row ``n``: how many (left, right) pairs on equal keys have ``right_ts < left_ts``.
 
-    The pairs are counted, not formed: inside a chunk by a running count, across chunks
-    from the per-chunk totals.
+    The pairs are counted, not formed. Rows are first summed up by time; inside a chunk a running sum
+    then meets each time, across chunks the per-chunk totals do.
     """
     def marked(df, ts, is_left):
         rows = df.where(all_not_null(*on) & ts.isNotNull())
         return rows.select(*on, ts.alias("_ts"), F.lit(is_left).alias("_l"), F.lit(1 - is_left).alias("_r"))
 
-    rows = marked(left, left_ts, 1).unionByName(marked(right, right_ts, 0)).withColumn("_chunk", _chunk("_ts", chunk_sec))
-    in_chunk = (
-        Window.partitionBy(*on, "_chunk").orderBy("_ts", F.desc("_l")).rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum("_l").alias("_l"), F.sum("_r").alias("_r")]
+    times = (
+        marked(left, left_ts, 1)
+        .unionByName(marked(right, right_ts, 0))
+        .groupBy(*on, _chunk("_ts", chunk_sec).alias("_chunk"), "_ts")
+        .agg(*sums)
     )
-    inside = rows.withColumn("_n", F.sum("_r").over(in_chunk)).where(F.col("_l") == 1).agg(F.sum("_n").alias("_n"))
-    totals = rows.groupBy(*on, "_chunk").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    before = Window.partitionBy(*on).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    across = totals.withColumn("_n", F.col("_l") * F.sum("_r").over(before)).agg(F.sum("_n").alias("_n"))
+    totals = times.groupBy(*on, "_chunk").agg(*sums)
+
+    def pairs(rows, by, order):
+        before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("_n", F.col("_l") * F.sum("_r").over(before)).agg(F.sum("_n").alias("_n"))
+
+    inside = pairs(times, [*on, "_chunk"], "_ts")
+    across = pairs(totals, on, "_chunk")
     return inside.unionByName(across).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))

@@ -95,6 +95,14 @@ def test_asof_join(sides, chunk_sec, within_sec, forward, strict, whole_seconds)
     assert len(got) == len(left)
 
 
+def test_asof_join_with_copies(sides):
+    """Copies on either side change neither the matches nor, on the right, the number of rows."""
+    _, _, l_df, r_df = sides
+    once = rows(asof_join(l_df, r_df, ["user"], "l_ts", "r_ts", "r_id"), "l_id", "match.r_id")
+    twice = asof_join(l_df.unionByName(l_df), r_df.unionByName(r_df), ["user"], "l_ts", "r_ts", "r_id")
+    assert rows(twice, "l_id", "match.r_id") == sorted(once * 2, key=repr)
+
+
 def test_asof_join_inner_drops_unmatched(sides):
     _, _, l_df, r_df = sides
     inner = asof_join(l_df, r_df, ["user"], "l_ts", "r_ts", "r_id")
