@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.functions.checks import one_of, positive
-from idwarden.plans.registry import DETECTORS
+from idwarden.plans.registry import CHECKS, DETECTORS
 from idwarden.plans.session import session
 from idwarden.plans.sinks import write_table
 from idwarden.sources import Sources, load_sources
@@ -51,15 +51,16 @@ def run(
     Several tables are computed at once so that one table's last tasks do not idle the cluster.
     """
     positive(parallel=parallel)
-    names = {**TABLES, **(tables or {})}
-    for key in names:
-        one_of("table key", key, TABLES)
+    detectors = {**DETECTORS, **CHECKS}
+    names = {**TABLES, **{name: name for name in CHECKS}, **(tables or {})}
+    for key in [*names, *(keys or [])]:
+        one_of("table key", key, detectors)
 
     def fill(key: str) -> Outcome:
         began = time.monotonic()
         try:
             rows = write_table(
-                DETECTORS[key].fn(src), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
+                detectors[key].fn(src), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
             )
             log.info("%s: %s rows", names[key], rows or "no")
             return Outcome(key, names[key], rows, time.monotonic() - began)
@@ -71,10 +72,11 @@ def run(
         return list(pool.map(fill, keys or list(DETECTORS)))
 
 
-def affected_by(source: str) -> list[str]:
-    """Keys of the tables that read ``source``."""
+def chosen(source: str, *, only_affected: bool = False, checks: bool = False) -> list[str]:
+    """Keys to fill: all result tables, with ``checks`` the quality checks too, or only those that read ``source``."""
     one_of("source", source, SOURCE_KEYS)
-    return [key for key, detector in DETECTORS.items() if source in detector.reads]
+    everything = {**DETECTORS, **CHECKS} if checks else DETECTORS
+    return [key for key, detector in everything.items() if source in detector.reads or not only_affected]
 
 
 def warehouse_sink(project: str, dataset: str, write_method: str = "direct", temp_bucket: str | None = None) -> Sink:
@@ -109,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--temp_gcs_bucket")
     p.add_argument("--run_id", help="names this run; a rerun with the same name replaces its rows")
     p.add_argument("--only_affected", action="store_true", help="only tables that read --source")
+    p.add_argument("--checks", action="store_true", help="write the data-quality checks too")
     p.add_argument("--parallel", type=int, default=4, help="tables computed at once")
     p.add_argument("--shuffle_partitions", type=int, help="before adaptive merging; shuffled bytes / 200 MB is a good size")
     for key in TABLES:
@@ -153,7 +156,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         src = load_sources(
             spark, args.root, args.source, args.input_file, first_day=args.first_day, last_day=args.last_day
         )
-        keys = affected_by(args.source) if args.only_affected else None
+        keys = chosen(args.source, only_affected=args.only_affected, checks=args.checks)
         outcomes = run(src, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel)
     finally:
         if started:

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from idwarden.operators import access, activity, integrity, logins, profile
+from idwarden.operators import access, activity, integrity, logins, profile, quality
 from idwarden.sources import Sources
 
 
@@ -41,3 +41,17 @@ DETECTORS: dict[str, Detector] = {
     "timeline_table": Detector(profile.timelines, _EVENTS),
     "time_warp_table": Detector(integrity.time_warp, _EVENTS),
 }
+
+# Data-quality checks, each a table of its own name.
+CHECKS: dict[str, Detector] = {
+    "quality_volumes": Detector(quality.volumes, (*_EVENTS, "hrlifecycle")),
+    "quality_anomalies_per_code": Detector(quality.anomalies_per_code, ("anomaly_key",)),
+    "quality_unused_approvals": Detector(quality.unused_approval_count, ("saviynt", "app_usage")),
+    "quality_unknown_sessions": Detector(quality.unknown_session_count, ("okta", "app_usage")),
+    "quality_directory_linkage": Detector(quality.directory_linkage, ("ad",)),
+    "quality_usage_before_login": Detector(quality.usage_before_login_count, ("okta", "app_usage")),
+    "quality_long_sessions": Detector(quality.long_session_count, ("okta", "app_usage")),
+    "quality_lifecycle": Detector(quality.lifecycle_violations, ("okta", "ad", "app_usage", "hrlifecycle")),
+    "quality_date_range": Detector(quality.date_range, _EVENTS),
+    "quality_label_scores": Detector(quality.label_scores, (*_EVENTS, "anomaly_key")),
+}

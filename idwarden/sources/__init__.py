@@ -12,9 +12,12 @@ from idwarden.sources.readers import (
     empty_source,
     has_column,
     is_empty,
+    list_files,
     read_csv,
     read_json_lines,
+    read_ledger,
     read_parquet,
+    record_files,
     source_for_file,
     unseen_files,
 )
@@ -27,12 +30,15 @@ __all__ = [
     "has_column",
     "initiator_counts",
     "is_empty",
+    "list_files",
     "load_sources",
     "normalise",
     "parse_messages",
     "read_csv",
     "read_json_lines",
+    "read_ledger",
     "read_parquet",
+    "record_files",
     "service_initiators",
     "source_for_file",
     "to_messages",

@@ -83,6 +83,27 @@ def read_json_lines(spark: SparkSession, source: str, path: str) -> DataFrame:
     return _or_empty(spark, source, load)
 
 
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """Files below ``folder`` as (path, modificationTime, length); their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    return files.load(folder).select("path", "modificationTime", "length")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Paths recorded so far; none when there is no ledger yet."""
+    try:
+        return spark.read.schema("path string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string")
+
+
+def record_files(files: DataFrame, ledger: str) -> None:
+    """Add processed files to the ledger, after their rows are written, so that a failed run is repeated."""
+    files.select("path").write.mode("append").parquet(ledger)
+
+
 def unseen_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files that the ledger does not hold; both have a column ``path``.
 

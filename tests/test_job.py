@@ -46,6 +46,14 @@ def test_only_affected_tables(spark, root, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == [TABLES["orphan_user_table"]]
 
 
+def test_checks_are_written_on_request(spark, root, tmp_path):
+    argv = ["--root", root, "--source", "anomaly_key", "--sink_path", str(tmp_path), "--only_affected", "--checks"]
+    assert job.main(argv, spark) == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["quality_anomalies_per_code", "quality_label_scores"]
+    assert read_table(spark, str(tmp_path), "quality_label_scores").count() == 6
+    assert set(job.chosen("okta")) == set(TABLES)
+
+
 def test_one_failing_table_does_not_stop_the_rest(spark, root, tmp_path, monkeypatch):
     def fail(src):
         raise RuntimeError("broken")

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from check import TABLES, rows_of
@@ -68,3 +69,28 @@ def test_windows_are_split_by_time(spark):
     for name in ("d03_mfa_bypass", "d07_impossible_travel", "d11_high_risk_sequence", "n9_session_attribution"):
         plan = plan_of(QUERIES[name](spark, SMALL))
         assert any("Exchange hashpartitioning(user" in line and "_chunk" in line for line in plan.splitlines())
+
+
+@pytest.fixture(scope="module")
+def busy(spark, tmp_path_factory):
+    """The smallest tables with a third of all events moved to one user."""
+    folder = str(tmp_path_factory.mktemp("busy"))
+    user = F.when(F.hash("event_id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("user_id"))
+    spark.read.parquet(f"{SMALL}/events.parquet").withColumn("user_id", user).write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    return folder, con
+
+
+@pytest.mark.parametrize("name", [
+    "d01_shadow_access", "d02_impossible_login", "d03_mfa_bypass", "d04_risk_scores", "d07_impossible_travel",
+    "d11_high_risk_sequence", "d16_mfa_drift", "d20_orphan_users", "d21_cleanest_users", "d22_time_warp",
+    "q6_late_directory_event", "v6_usage_before_login", "v7_long_session_count", "v8_lifecycle_violations",
+    "n9_session_attribution", "s3_streaming_bypass", "s5_sessions",
+])
+def test_matches_sql_with_a_busy_user(spark, busy, name):
+    folder, con = busy
+    df = QUERIES[name](spark, folder)
+    answer = con.execute(SQL[name])
+    columns = [d[0] for d in answer.description]
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, answer.fetchall())

@@ -14,11 +14,14 @@ from idwarden.sources import (
     has_column,
     initiator_counts,
     is_empty,
+    list_files,
     load_sources,
     normalise,
     read_csv,
     read_json_lines,
+    read_ledger,
     read_parquet,
+    record_files,
     service_initiators,
     source_for_file,
     to_messages,
@@ -141,6 +144,22 @@ def test_unseen_files(spark):
     assert rows(unseen_files(listing, ledger)) == [("a",), ("c",)]
 
 
+def test_ledger_over_two_runs(spark, make, tmp_path):
+    inbox, ledger = f"{tmp_path}/in", f"{tmp_path}/ledger"
+
+    def run():
+        new = unseen_files(list_files(spark, inbox), read_ledger(spark, ledger)).select("path").collect()
+        record_files(spark.createDataFrame(new, "path string"), ledger)
+        return len(new)
+
+    make(okta=[dict(req_id="l1")]).logins.coalesce(1).write.parquet(f"{inbox}/20251006-a.parquet")
+    assert run() == 1
+    assert run() == 0
+    for name in ("20251006-b.parquet", "20251005-late.parquet"):
+        make(okta=[dict(req_id="l2")]).logins.coalesce(1).write.parquet(f"{inbox}/{name}")
+    assert run() == 2
+
+
 def test_service_initiators(make):
     def event(i, initiator, action, group):
         return dict(event_id=i, initiator=initiator, action=action, group=group)
