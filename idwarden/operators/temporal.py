@@ -108,10 +108,15 @@ def asof_join(
     dated = left.where(all_not_null(*on, left_ts)).withColumns(
         {"_chunk": _chunk(left_ts, chunk_sec), "_at": at(left_ts)}
     )
+    # With a bound no match reaches further than the next chunk.
+    one_chunk_on = F.col("_chunk") + F.lit(-1 if forward else 1)
+    bounded = within_sec is not None and within_sec <= chunk_sec
     payload = F.struct(*[c for c in right.columns if c not in on])
     rights = (
         right.where(all_not_null(*on, right_ts))
         .select(*on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), payload.alias("_right"))
+        # Stated, so that both uses of this frame get the same filters and share one shuffle.
+        .where(all_not_null("_chunk", one_chunk_on) if bounded else F.col("_chunk").isNotNull())
         .groupBy(*spot)
         .agg(nearest)
     )
@@ -119,9 +124,8 @@ def asof_join(
 
     # Nearest right row of the chunks already passed, for the chunks that may need it.
     passed = rights.groupBy(*on, "_chunk").agg(nearest)
-    if within_sec is not None and within_sec <= chunk_sec:
-        # No match reaches further than the next chunk.
-        carried = passed.withColumn("_chunk", F.col("_chunk") + F.lit(-1 if forward else 1))
+    if bounded:
+        carried = passed.withColumn("_chunk", one_chunk_on)
     else:
         asked = dated.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
         steps = passed.withColumn("_asks", F.lit(1)).unionByName(asked, allowMissingColumns=True)
