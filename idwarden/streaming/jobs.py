@@ -37,12 +37,14 @@ def source_stream(
 
 def append_stream(
     rows: DataFrame, path: str, checkpoint: str, *, max_records_per_file: int = MAX_RECORDS_PER_FILE,
-    partition_by: str | None = None,
+    partition_by: str | None = None, state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Write all input that is there now, exactly once, and stop.
 
     The file sink commits a batch's files and its input together, so a rerun after a failure
     neither skips nor repeats a file, and a file that arrives late is taken by the next run.
+    ``state_partitions`` sets the partitions of joins and aggregations with state, which adaptive
+    execution cannot merge; a checkpoint keeps the number of its first run.
     """
     positive(max_records_per_file=max_records_per_file)
     writer = (
@@ -53,7 +55,17 @@ def append_stream(
     )
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    return writer.start(path)
+    if state_partitions is None:
+        return writer.start(path)
+    # A query copies the session's settings when it starts.
+    positive(state_partitions=state_partitions)
+    conf, setting = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
+    conf.set(setting, str(state_partitions))
+    try:
+        return writer.start(path)
+    finally:
+        conf.set(setting, before)
 
 
 def ingest(rows: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:

@@ -16,7 +16,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Sources:
 
 def _finished(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     folder = run_folder(spark, name)
-    jobs.append_stream(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    jobs.append_stream(rows, f"{folder}/out", f"{folder}/checkpoint", state_partitions=cores).awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 

@@ -99,3 +99,15 @@ def test_no_local_folder_on_a_cluster():
 def test_formats_are_checked(spark):
     with pytest.raises(ValueError):
         jobs.source_stream(spark, "okta", "x", fmt="orc")
+
+
+def test_state_partitions_leave_the_session_as_it_was(spark, make, tmp_path):
+    make(ad=[dict(event_id="e1", ts=at(0))]).directory.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(make().directory.schema).parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = jobs.append_stream(
+        jobs.distinct_stream(stream, "event_id"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", state_partitions=3
+    )
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
