@@ -117,8 +117,8 @@ class Texts:
 class Words:
     """The words of texts: byte ranges, the row of each, and offsets of rows into the words."""
 
-    def __init__(self, texts: Texts):
-        space = SPACE[texts.data]
+    def __init__(self, texts: Texts, space: np.ndarray = SPACE):
+        space = space[texts.data]
         word = ~space
         before = np.ones(len(word), bool)
         before[1:] = space[:-1]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe
+from idwarden.llm import bpe, toxicity
 from idwarden.llm.store import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -14,8 +14,13 @@ def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op9_toxicity(spark, sf_dir):
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
