@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, toxicity
+from idwarden.llm import bpe, quality_model, toxicity
 from idwarden.llm.store import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -14,12 +14,17 @@ def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op5_quality_rules_model(spark, sf_dir):
+    return quality_model.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality_rules_model": op5_quality_rules_model,
     "op9_toxicity": op9_toxicity,
 }
 
