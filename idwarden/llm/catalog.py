@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, quality_model, toxicity
+from idwarden.llm import bpe, quality_model, repetition, toxicity
 from idwarden.llm.store import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_repetition_rules(spark, sf_dir):
+    return repetition.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
@@ -23,6 +27,7 @@ def op9_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
     "op9_toxicity": op9_toxicity,
