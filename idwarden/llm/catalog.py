@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, quality_model, repetition, toxicity
+from idwarden.llm import bpe, quality_model, repetition, toxicity, url_filter
 from idwarden.llm.store import table
 
+#: Rules of the query on pages: fixed values.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -22,6 +30,10 @@ def op5_quality_rules_model(spark, sf_dir):
     return quality_model.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,6 +42,7 @@ QUERIES = {
     "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
+    "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
 }
 
