@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, quality_model, repetition, toxicity, url_filter
+from idwarden.llm import bpe, quality_model, repetition, suffix_dedup, toxicity, url_filter
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -30,6 +30,10 @@ def op5_quality_rules_model(spark, sf_dir):
     return quality_model.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
 }
