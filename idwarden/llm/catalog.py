@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, quality_model, repetition, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -42,6 +42,10 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
@@ -49,6 +53,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
