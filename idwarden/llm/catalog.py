@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, jaccard_join, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -18,6 +18,10 @@ URL_RULES = (
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_ngram_jaccard(spark, sf_dir):
+    return jaccard_join.labels(table(spark, sf_dir, "documents"))
+
+
 def op2_repetition_rules(spark, sf_dir):
     return repetition.verdicts(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
