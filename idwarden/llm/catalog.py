@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, jaccard_join, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, decontaminate, jaccard_join, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -34,6 +34,10 @@ def op5_quality_rules_model(spark, sf_dir):
     return quality_model.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_repetition_rules": op2_repetition_rules,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
+    "op6_decontamination": op6_decontamination,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
