@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from idwarden.llm.arrays import Texts, binaries, binary_values, fetch, ranges, run_starts, sliding, starts_of
 from idwarden.llm.store import save, shuffle_partitions, small
 
-#: Windows taken at once within a long text; anchors per chunk; bytes of contexts indexed at once.
-BLOCK, CHUNK_RUNS, INDEX_BYTES = 1 << 22, 1 << 20, 1 << 20
+#: Windows taken at once within a long text; bytes of text taken at once; anchors per chunk; bytes of contexts indexed at once.
+BLOCK, PIECE_BYTES, CHUNK_RUNS, INDEX_BYTES = 1 << 22, 1 << 18, 1 << 18, 1 << 19
 _PLACE = np.uint64((1 << 24) - 1)
 _NO_REPLY = 0xFFFFFFFF
 
@@ -107,7 +107,7 @@ def flagged(docs: DataFrame, kind: Kind) -> DataFrame:
         for batch in batches:
             all_texts = Texts(batch.column("text"))
             ids, marks = fetch(batch, "__id"), fetch(batch, "__text")
-            for first, end in all_texts.slices():
+            for first, end in all_texts.slices(PIECE_BYTES):
                 offsets, hashes, _ = kind.units(all_texts.piece(first, end))
                 rows, _, _, keys = runs_of(kind, offsets, hashes)
                 chunk.append((ids[first:end], marks[first:end], keys, rows + base, ordinals(rows, end - first)))
@@ -233,7 +233,7 @@ def contexts(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
             ids, texts = fetch(batch, "__id"), fetch(batch, "__text")
             pairs, counts = binary_values(batch.column("marks"), "<u4")
             pairs, counts = pairs.astype(np.int64).reshape(-1, 2), starts_of(counts // 2)
-            for first, end in all_texts.slices():
+            for first, end in all_texts.slices(PIECE_BYTES):
                 offsets, hashes, state = kind.units(all_texts.piece(first, end))
                 rows, starts, sizes, keys = runs_of(kind, offsets, hashes)
                 runs = starts_of(np.bincount(rows, minlength=end - first))
