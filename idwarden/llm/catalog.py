@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, decontaminate, jaccard_join, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, decontaminate, jaccard_join, licenses, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -26,6 +26,10 @@ def op2_repetition_rules(spark, sf_dir):
     return repetition.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark, sf_dir):
+    return licenses.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
@@ -57,6 +61,7 @@ def op10_substring_dedup(spark, sf_dir):
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_repetition_rules": op2_repetition_rules,
+    "op3_license_scan": op3_license_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules_model": op5_quality_rules_model,
     "op6_decontamination": op6_decontamination,
