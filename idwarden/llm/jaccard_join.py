@@ -292,8 +292,8 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)) if len(y) else 0
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """doc_id, __text, n_shingles and component_id of each row of ``docs`` (doc_id, text)."""
+def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
+    """doc_id, __text, n_shingles and component_id (and, if asked for, the component's node) of each row of ``docs`` (doc_id, text)."""
     rows = keyed(docs, "text")
     partitions = shuffle_partitions(docs.sparkSession)
     profile = save(profiles(rows), "profiles")
@@ -314,11 +314,11 @@ def groups(docs: DataFrame) -> DataFrame:
     member = save(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)), "components")
     named = nodes.join(member, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = save(named.join(smallest, "component").select("node", "component_id"), "names")
+    named = save(named.join(smallest, "component").select("node", "component", "component_id"), "names")
     doc_id = F.when(F.col("__id") > -(2**63), F.col("__id"))
     return texts.join(small(named), "node", "left").select(
         doc_id.alias("doc_id"), "__text", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(doc_id).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(doc_id).alias("component_id"), *(["component"] if with_component else []),
     )
 
 
