@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from idwarden.llm import bpe, decontaminate, jaccard_join, licenses, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm.oracle import ORACLE  # noqa: F401
 from idwarden.llm.store import table
 
 #: Rules of the query on pages: fixed values.
@@ -70,5 +71,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
-
-ORACLE: dict[str, str] = {}

@@ -6,8 +6,8 @@ suffix that shares n words with a neighbour begins a repeated substring of n wor
 longest-common-prefix intervals. The union of their spans, from ``MIN_WORDS`` words on, gives the covered share.
 
 A text fails the base rules with fewer than 10 words, or if over 20 % of its words lie in repeated 5-word windows. It fails the
-method's rules if repeats of ``MIN_WORDS`` words or more cover over ``MAX_SHARE`` of its words, or if the longest repeat
-has over ``MAX_REPEAT`` words and over ``MAX_REPEAT_SHARE`` of the text's words.
+method's rules if repeats of ``MIN_WORDS`` words or more cover over ``MAX_PERCENT`` of its words, or if the longest repeat
+has over ``MAX_REPEAT`` words and over ``MAX_REPEAT_PERCENT`` of the text's words.
 
 NULL counts as empty. A text without words has all counts 0 and fails the base rules.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, run_starts, starts_of, with_columns
 
-MIN_WORDS, MAX_SHARE, MAX_REPEAT, MAX_REPEAT_SHARE = 8, 0.15, 25, 0.05
+MIN_WORDS, MAX_PERCENT, MAX_REPEAT, MAX_REPEAT_PERCENT = 8, 15, 25, 5
 WINDOW, LEAST_WORDS, BASE_PERCENT = 5, 10, 20
 
 _SYMBOLS = np.zeros(256, bool)
@@ -133,7 +133,7 @@ def measure(texts: Texts) -> dict[str, np.ndarray]:
     n_repeat = per_row(covered(lengths, WINDOW))
     n_covered = n_repeat if MIN_WORDS == WINDOW else per_row(covered(lengths, MIN_WORDS))
     base_failed = (n_words < LEAST_WORDS) | (100 * n_repeat > BASE_PERCENT * n_words)
-    repetitive = (n_covered > MAX_SHARE * n_words) | ((longest > MAX_REPEAT) & (longest > MAX_REPEAT_SHARE * n_words))
+    repetitive = (100 * n_covered > MAX_PERCENT * n_words) | ((longest > MAX_REPEAT) & (100 * longest > MAX_REPEAT_PERCENT * n_words))
     return {
         "n_words": n_words,
         "word_chars": word_chars,
@@ -172,5 +172,5 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id and the measures of each row of documents."""
-    return judge(docs.select("doc_id", "text")).select("doc_id", *MEASURES)
+    """doc_id, the counts and the verdicts of each row of documents."""
+    return judge(docs.select("doc_id", "text")).select("doc_id", *(c for c in MEASURES if c != "longest_repeat"))
