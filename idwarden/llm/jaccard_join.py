@@ -7,7 +7,7 @@ hashes. Equal sets are one node from the start, so copies cost one comparison in
 2. ``postings``: two sets that similar share one of the first quarter of their shingles, in any order that all texts share. The
    order is by the sketch, rare first, so a passage in a third of all texts comes last and forms no tile.
 3. Tiles: nodes that share such a shingle, in bands of size within which sizes differ by a quarter. In a tile, first each node is
-   compared with the band's pivot alone; then, once components are known, nodes of different components and
+   compared with a band's pivot alone (that of most of its tiles); then, once components are known, nodes of different components and
    neighbouring bands with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
    link between components is lost.
 4. Each pair is held against its bounds: the shingles that can still follow the shared one, and, by bitmap, the bits in which
@@ -33,8 +33,10 @@ from idwarden.llm.store import save, shuffle_partitions, small
 WORDS = 5
 #: Bits of a signature (as 64-bit words) and cells of the sketch (in blocks that are summed apart).
 SIGNATURE, CELLS, BLOCK = 8, 1 << 18, 1 << 10
-#: Pairs of a tile that are looked at together.
-PAIRS = 1 << 20
+#: Pairs of a tile that are looked at together; pairs of one node that are intersected in one place.
+PAIRS, PLACE_PAIRS = 1 << 20, 2000
+#: Leading bytes of the hashes of a set that travel to where it is intersected: two shingles of a pair share them once in 2 ** 48.
+KEPT_BYTES = 6
 U64 = np.uint64
 
 
@@ -189,7 +191,8 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs of each node and the pivot (smallest node) of its band in a tile; and the postings of tokens that nodes share."""
+    """Pairs of the pivot (smallest node) of a band in a tile and each of its other nodes, with the number of tiles; and the postings of
+    tokens that nodes share (with a token)."""
     def run(batches):
         found = _tiles(batches)
         if found is None or not len(found[0]):
@@ -202,13 +205,14 @@ def star_pairs(shared: DataFrame) -> DataFrame:
         pivot[order] = np.repeat(order[begins], np.diff(np.append(begins, len(order))))
         i = np.arange(len(token))
         good = (node != node[pivot]) & _possible(size, place, i, pivot)
-        a, b = _pairs(node[good], node[pivot[good]])
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], names=["token", "a", "b"])
+        (a, b), n = np.unique(np.stack([node[pivot[good]], node[good]]), axis=1, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(n)], names=["token", "a", "b", "n"])
         for at in range(0, len(token), 1 << 18):
             part = slice(at, at + (1 << 18))
-            yield pa.RecordBatch.from_arrays([pa.array(token[part]), pa.array(node[part]), pa.array(size[part] << 32 | place[part])], names=["token", "a", "b"])
+            entries = [pa.array(token[part]), pa.array(node[part]), pa.array(size[part] << 32 | place[part])]
+            yield pa.RecordBatch.from_arrays([*entries, pa.nulls(len(entries[0]), pa.int64())], names=["token", "a", "b", "n"])
 
-    return shared.mapInArrow(run, "token long, a long, b long")
+    return shared.mapInArrow(run, "token long, a long, b long, n long")
 
 
 def cross_pairs(shared: DataFrame) -> DataFrame:
@@ -258,30 +262,52 @@ def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
     left = save(both.mapInArrow(bounded, "a long, b long"), "pairs")
-    wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", "__id", "__text")
+    # The sets of a's pairs meet at a; a busy a has several places, each with its set and a part of the others.
+    places = left.groupBy("a").agg(F.ceil(F.count("*") / PLACE_PAIRS).alias("places"))
+    others = left.join(small(save(places, "places")), "a").select(
+        F.col("b").alias("node"), F.struct(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "places").alias("place"), F.lit(1).alias("role")).alias("at"))
+    pivots = places.select(F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place")).select(
+        "node", F.struct(F.col("node").alias("pivot"), "place", F.lit(0).alias("role")).alias("at"))
+    wanted = others.unionByName(pivots).groupBy("node").agg(F.collect_list("at").alias("ats")).join(nodes, "node").select("node", "__id", "__text", "ats")
+    wanted = small(save(wanted.withColumn("pivots", F.to_json("ats")).drop("ats"), "wanted"))
 
     def arrays(batches):
         for batch in batches:
             texts = Texts(batch.column("text"))
             for first, end in texts.slices():
                 shingles, counts = sets_of(texts.piece(first, end))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(first, end - first), binaries(shingles, 8 * starts_of(counts))], names=["node", "tokens"],
-                )
+                kept = np.ascontiguousarray(shingles.byteswap()).view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("node").slice(first, end - first), batch.column("pivots").slice(first, end - first),
+                    binaries(kept, KEPT_BYTES * starts_of(counts)),
+                ], names=["node", "pivots", "tokens"])
 
-    sets = save(rows.join(small(save(wanted, "nodes")), ["__id", "__text"]).mapInArrow(arrays, "node long, tokens binary"), "sets")
+    sets = rows.join(wanted, ["__id", "__text"]).mapInArrow(arrays, "node long, pivots string, tokens binary")
+    sets = sets.withColumn("at", F.explode(F.from_json("pivots", "array<struct<pivot:long,place:long,role:int>>"))).select("at.*", "node", "tokens")
+    meeting = sets.repartition(shuffle_partitions(rows.sparkSession), "pivot", "place").sortWithinPartitions("pivot", "place", "role")
 
     def intersect(batches):
+        pivot = held = None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                keep.append(_common(x, y) >= needed(len(x), len(y)))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+            a, b = [], []
+            for key, role, node, tokens in zip(*(batch.column(c).to_pylist() for c in ("pivot", "role", "node")), batch.column("tokens")):
+                tokens = _numbers(tokens.as_buffer())
+                if role == 0:
+                    pivot, held = key, tokens
+                elif _common(held, tokens) >= needed(len(held), len(tokens)):
+                    a.append(pivot)
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return save(meeting.mapInArrow(intersect, "a long, b long"), "links")
+
 
-    joined = left.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return save(joined.select("a", "b", "x", "y").mapInArrow(intersect, "a long, b long"), "links")
+def _numbers(tokens) -> np.ndarray:
+    """Sorted integers from big-endian ones of ``KEPT_BYTES``."""
+    kept = np.frombuffer(tokens, np.uint8).reshape(-1, KEPT_BYTES)
+    out = np.zeros((len(kept), 8), np.uint8)
+    out[:, 8 - KEPT_BYTES:] = kept
+    return out.view(">u8").ravel().astype(U64)
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -306,7 +332,9 @@ def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
         ).select("node", "n", "signature", "least", "row.*"), "nodes",
     )
     tiles = save(star_pairs(postings(rows, classes).repartition(partitions, "token")), "tiles")
-    first = links(tiles.where("token IS NULL").select("a", "b"), nodes, rows)
+    # A node is held against the pivot with which it shares most tiles; whatever that leaves apart is the second round's.
+    stars = tiles.where("token IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max(F.struct("n", "a")).alias("best"))
+    first = links(stars.select("best.a", "b"), nodes, rows)
     known = save(components(first), "components")
     shared = tiles.where("token IS NOT NULL").select("token", F.col("a").alias("node"), F.col("b").alias("at"))
     shared = shared.join(small(known), "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component"))

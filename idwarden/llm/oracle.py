@@ -55,24 +55,29 @@ FROM failed
 
 OP7 = """
 WITH b AS (
-    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
-), bytes AS (
-    SELECT doc_id, regexp_extract_all(h, '..') AS bs, len(h) // 2 AS n FROM b
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
 ), win AS (
-    SELECT doc_id, i, md5(array_to_string(bs[i:i + 49], '')) AS w FROM bytes, unnest(range(1, n - 48)) AS t(i) WHERE n >= 50
+    SELECT doc_id, i, hash(substring(h, 2 * i - 1, 100)) AS w FROM b, unnest(range(1, n - 48)) AS t(i) WHERE n >= 50
+), least AS (
+    SELECT w, min(doc_id) AS m FROM win GROUP BY 1 HAVING min(doc_id) < max(doc_id)
 ), bad AS (
-    SELECT doc_id, i FROM win QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id
-), cov AS (
-    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM bad
-), spans AS (
-    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE fresh) AS n_spans
-    FROM (SELECT doc_id, k - coalesce(lag(k) OVER (PARTITION BY doc_id ORDER BY k), -1) > 1 AS fresh FROM cov) GROUP BY 1
+    SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50 AS apart FROM win JOIN least USING (w) WHERE m < doc_id
+), part AS (
+    SELECT doc_id, i, sum(coalesce(apart, true)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM bad
+), span AS (
+    SELECT doc_id, part, min(i) AS first, max(i) + 49 AS last FROM part GROUP BY 1, 2
+), gap AS (
+    SELECT doc_id, last + 1 AS first, lead(first) OVER (PARTITION BY doc_id ORDER BY first) - 1 AS last FROM span
+    UNION ALL SELECT doc_id, 1, min(first) - 1 FROM span GROUP BY 1
 ), kept AS (
-    SELECT e.doc_id, string_agg(e.x, '' ORDER BY e.k) AS t
-    FROM (SELECT doc_id, unnest(bs) AS x, generate_subscripts(bs, 1) AS k FROM bytes) e ANTI JOIN cov ON cov.doc_id = e.doc_id AND cov.k = e.k GROUP BY 1
+    SELECT doc_id, string_agg(substring(h, 2 * first - 1, 2 * (coalesce(last, n) - first + 1)), '' ORDER BY first) AS t
+    FROM gap JOIN b USING (doc_id) GROUP BY 1
+), lost AS (
+    SELECT doc_id, sum(last - first + 1) AS n_removed, count(*) AS n_spans FROM span GROUP BY 1
 )
-SELECT bytes.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(t, ''))) AS kept_sha256
-FROM bytes LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+SELECT b.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE t END)) AS kept_sha256
+FROM b LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 OP10 = f"""
