@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, binaries, binary_values, ranges, starts_of, with_columns
+from idwarden.llm.passing import packed, unpacked, widened
 
 #: Text worked on at once, and the size of a task's table of words at which it starts anew.
 SLICE_BYTES, TABLE_WORDS, TABLE_BYTES = 4 << 20, 1_000_000, 32 << 20
@@ -181,7 +182,8 @@ class WordTable:
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of each text in ``ids``: little-endian unsigned 32-bit integers, as binary."""
-    schema = T.StructType([f for f in docs.schema if f.name != ids] + [T.StructField(ids, T.BinaryType())])
+    rows = packed(docs, text, without=(ids,))
+    schema = widened(rows, {ids: T.BinaryType()})
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -211,12 +213,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 if len(table.places) > TABLE_WORDS or table.size > TABLE_BYTES:
                     table.clear()
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(rows.mapInArrow(run, schema), docs, text, new=(ids,))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of the tokens in ``ids``, joined, as binary column ``out``. NULL ids give no bytes."""
-    schema = T.StructType([f for f in docs.schema if f.name != out] + [T.StructField(out, T.BinaryType())])
+    rows = packed(docs, ids, without=(out,))
+    schema = widened(rows, {out: T.BinaryType()})
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -233,7 +236,7 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decod
                 data = ranks.bytes[ranges(ranks.offsets[flat], lengths[flat])]
                 yield with_columns(part, arrow, {out: binaries(data, sizes[starts_of(counts)])})
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(rows.mapInArrow(run, schema), docs, ids, new=(out,))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

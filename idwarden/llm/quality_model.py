@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import LOWER, Texts, Words, run_starts, with_columns
 from idwarden.llm.labelled import held_out, training_rows
+from idwarden.llm.passing import packed, unpacked
 from idwarden.llm.store import save
 
 TREES, DEPTH = 24, 4
@@ -112,9 +113,8 @@ def measure(texts: Texts) -> dict[str, np.ndarray]:
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with a double column for each of ``STATISTICS``, in place of the text. Columns of their names are replaced."""
-    schema = T.StructType(
-        [f for f in docs.schema if f.name != text and f.name not in STATISTICS] + [T.StructField(s, T.DoubleType()) for s in STATISTICS]
-    )
+    rows = packed(docs, text, without=STATISTICS)
+    schema = T.StructType([rows.schema["__rest"], *(T.StructField(s, T.DoubleType()) for s in STATISTICS)])
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -126,7 +126,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                 found = {k: pa.array(v) for k, v in measure(texts.piece(first, end)).items()}
                 yield with_columns(batch.slice(first, end - first), arrow, found)
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(rows.mapInArrow(run, schema), docs, new=STATISTICS, without=(text,))
 
 
 Bound = tuple[str, str, float]  # statistic, "<=" or ">", value

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idwarden.llm.arrays import Texts, binaries, binary_values, fetch, ranges, run_starts, sliding, starts_of
+from idwarden.llm.arrays import Texts, binaries, binary_values, fetch, mix, ranges, run_starts, sliding, starts_of
 from idwarden.llm.store import save, shuffle_partitions, small
 
 #: Windows taken at once within a long text; bytes of text taken at once; anchors per chunk; bytes of contexts indexed at once.
@@ -155,7 +155,8 @@ def packed_rows(ids, texts, keys, row, order, partitions):
     local = np.repeat(shared, sizes)
     sent = ~local
     sent[begins] = True
-    bucket = ((keys >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
+    # Anchors are small hashes: they are mixed again, so that all ranges are alike.
+    bucket = ((mix(keys) >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
 
     def rows_of(which, where, reply, with_keys):
         sort = np.lexsort((order[which], row[which], where))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, run_starts, starts_of, with_columns
+from idwarden.llm.passing import packed, unpacked, widened
 
 MIN_WORDS, MAX_PERCENT, MAX_REPEAT, MAX_REPEAT_PERCENT = 8, 15, 25, 5
 WINDOW, LEAST_WORDS, BASE_PERCENT = 5, 10, 20
@@ -155,7 +156,8 @@ MEASURES = {
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts and verdicts of ``MEASURES``. Columns of their names are replaced."""
-    schema = T.StructType([f for f in docs.schema if f.name not in MEASURES] + [T.StructField(k, v) for k, v in MEASURES.items()])
+    rows = packed(docs, text, without=tuple(MEASURES))
+    schema = widened(rows, MEASURES)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -168,7 +170,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
                 new = {k: pa.array(v.astype(bool if MEASURES[k] == T.BooleanType() else np.int64)) for k, v in found.items()}
                 yield with_columns(batch.slice(first, end - first), arrow, new)
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(rows.mapInArrow(run, schema), docs, text, new=tuple(MEASURES))
 
 
 def verdicts(docs: DataFrame) -> DataFrame:

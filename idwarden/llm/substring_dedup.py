@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, binaries, binary_values, ranges, starts_of, window_hashes, with_columns
+from idwarden.llm.passing import packed, unpacked, widened
 from idwarden.llm.repeats import Kind, covered_spans, keyed
 from idwarden.llm.repetition import suffix_ranks
 from idwarden.llm.store import small
@@ -151,8 +152,8 @@ OUT = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept": T.StringType(
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, n_removed and ``kept``: the words left, joined by a space. Columns of these names are replaced."""
     found = small(spans_of(docs))
-    others = [c for c in docs.columns if c not in OUT]
-    schema = T.StructType([*(docs.schema[c] for c in others), *(T.StructField(k, v) for k, v in OUT.items())])
+    plain = packed(docs, "doc_id", "text", without=tuple(OUT))
+    schema = widened(plain, OUT)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -179,8 +180,8 @@ def remove(docs: DataFrame) -> DataFrame:
                     "kept": pa.array([k[:-1].decode() for k in kept], pa.string()),
                 })
 
-    rows = keyed(docs, *others).join(found, ["__id", "__text"], "left").select(*others, "marks")
-    return rows.mapInArrow(run, schema)
+    rows = keyed(plain, *plain.columns).join(found, ["__id", "__text"], "left").select(*plain.columns, "marks")
+    return unpacked(rows.mapInArrow(run, schema), docs, "doc_id", "text", new=tuple(OUT))
 
 
 def digests(docs: DataFrame) -> DataFrame:

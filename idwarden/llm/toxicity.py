@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, binaries, starts_of, with_columns
 from idwarden.llm.labelled import held_out, training_rows
+from idwarden.llm.passing import packed, unpacked, widened
 
 BITS, STEM = 22, 6
 #: Times a word is found, at least, for each of its features.
@@ -184,7 +185,8 @@ def _curvature(row, col, n, m, rounds: int = 20):
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the toxicity of each text in ``out``, 0 to 1. A column of that name is replaced."""
-    schema = T.StructType([f for f in docs.schema if f.name != out] + [T.StructField(out, T.DoubleType())])
+    rows = packed(docs, text, without=(out,))
+    schema = widened(rows, {out: T.DoubleType()})
     ids = np.array(sorted(model.weights), np.int64)
     values = np.array([model.weights[i] for i in ids.tolist()])
     intercept = model.intercept
@@ -206,7 +208,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 logit = intercept + np.bincount(rows, weight[found], minlength=end - first)
                 yield with_columns(batch.slice(first, end - first), arrow, {out: pa.array(1 / (1 + np.exp(-logit)))})
 
-    return docs.mapInArrow(run, schema)
+    return unpacked(rows.mapInArrow(run, schema), docs, text, new=(out,))
 
 
 def model_for(docs: DataFrame, labels: DataFrame) -> Model:
