@@ -68,9 +68,9 @@ def _features(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key >> BITS, key & ((1 << BITS) - 1)
 
 
-def _term_ids(groups) -> list[list[int]]:
-    """The feature of each term as a word."""
-    return [_word_ids(Texts(pa.array(list(group))))[1][: len(group)].tolist() for group in groups]
+def _term_ids(groups) -> list[np.ndarray]:
+    """For each group, the first features of each term, as a word and as a stem."""
+    return [_word_ids(Texts(pa.array(list(group))))[1].reshape(2, -1).T for group in groups]
 
 
 @dataclass(frozen=True)
@@ -96,15 +96,31 @@ def examples(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "label int, features binary")
 
 
-def counterfactuals(ids: np.ndarray, rows: np.ndarray, groups) -> list[tuple[int, int | None]]:
-    """(term, other term or None for left out) of each pair that the texts give."""
-    pairs = []
+def counterfactuals(ids: np.ndarray, rows: np.ndarray, groups) -> dict[tuple[tuple[int, int], ...], int]:
+    """Changes of features that the counterfactuals of the texts make, as (feature, +1 or -1), and how many texts each change concerns."""
+    found: dict[tuple, int] = {}
     for terms in _term_ids(groups):
-        for k, term in enumerate(terms):
-            found = rows[ids == term]
-            for other in [*terms[:k], *terms[k + 1:], None]:
-                pairs += [(term, other)] * len(found)
-    return pairs
+        for k, term in enumerate(terms.tolist()):
+            of = np.array([t + n for t in term for n in range(len(TIMES))])
+            place = np.flatnonzero(np.isin(ids, of))
+            holds: dict[int, list[int]] = {}
+            for row, feature in zip(rows[place].tolist(), ids[place].tolist()):
+                holds.setdefault(row, []).append(feature)
+            for features in holds.values():
+                if term[0] not in features:  # another word of the same stem
+                    continue
+                for other in [*terms[:k].tolist(), *terms[k + 1:].tolist(), None]:
+                    change: dict[int, int] = {}
+                    for f in features:
+                        change[f] = change.get(f, 0) + 1
+                        if other is not None:
+                            kind = 0 if f & ~3 == term[0] else 1
+                            new = other[kind] + (f & 3)
+                            change[new] = change.get(new, 0) - 1
+                    key = tuple(sorted((f, c) for f, c in change.items() if c))
+                    if key:
+                        found[key] = found.get(key, 0) + 1
+    return found
 
 
 def fit(rows: DataFrame, groups=GROUPS, pair_weight: float = PAIR_WEIGHT, l1: float = L1, features: int = FEATURES,
@@ -130,7 +146,7 @@ def fit(rows: DataFrame, groups=GROUPS, pair_weight: float = PAIR_WEIGHT, l1: fl
         z = np.abs(positive - total * p) / np.sqrt(total * p * q)
     z[total < 5] = 0
     pairs = counterfactuals(ids, row, groups)
-    terms = sorted({t for pair in pairs for t in pair if t is not None})
+    terms = sorted({f for change in pairs for f, _ in change})
     chosen = np.argsort(-z, kind="stable")[:features]
     chosen = np.union1d(chosen[z[chosen] > 0], np.array(terms, np.int64)).astype(np.int64)
     place = np.full(size, -1)
@@ -139,30 +155,27 @@ def fit(rows: DataFrame, groups=GROUPS, pair_weight: float = PAIR_WEIGHT, l1: fl
     col, row = place[ids[inside]], row[inside]
     m = len(chosen)
 
-    left = np.array([place[a] for a, _ in pairs], np.int64)
-    right = np.array([m if b is None else place[b] for _, b in pairs], np.int64)
-    if len(pairs):  # equal pairs as one, weighted
-        both, weight = np.unique(np.stack([left, right]), axis=1, return_counts=True)
-        left, right = both
-        weight = weight * (pair_weight / n)
-    else:
-        weight = np.zeros(0)
+    changes = sorted(pairs)
+    of = np.repeat(np.arange(len(changes)), [len(c) for c in changes])
+    feature = np.array([place[f] for c in changes for f, _ in c], np.int64)
+    sign = np.array([x for c in changes for _, x in c], float)
+    weight = np.array([pairs[c] for c in changes]) * (pair_weight / n)
 
     # Accelerated proximal gradient; the step comes from a bound of the curvature.
-    at, slope = _curvature(row, col, n, m)
-    step = 1 / (0.25 * slope + 4 * np.bincount(np.append(left, right), np.append(weight, weight), minlength=m + 1).max(initial=0) + 1e-9)
-    w = np.zeros(m + 1)  # the last place is the left-out term: always 0
+    length = np.bincount(of, np.abs(sign), minlength=len(changes))
+    steepest = np.bincount(feature, np.abs(sign) * (weight * length)[of], minlength=m).max(initial=0)
+    step = 1 / (0.25 * _curvature(row, col, n, m) + 2 * steepest + 1e-9)
+    w = np.zeros(m)
     b = float(np.log(p / q))
     v, c, t = w.copy(), b, 1.0
     for _ in range(rounds):
         score = c + np.bincount(row, v[col], minlength=n)
         residual = 1 / (1 + np.exp(-score)) - y
-        gradient = np.bincount(col, residual[row], minlength=m + 1) / n
-        change = 2 * weight * (v[left] - v[right])
-        gradient += np.bincount(left, change, minlength=m + 1) - np.bincount(right, change, minlength=m + 1)
+        gradient = np.bincount(col, residual[row], minlength=m) / n
+        change = 2 * weight * np.bincount(of, sign * v[feature], minlength=len(changes))
+        gradient += np.bincount(feature, sign * change[of], minlength=m)
         new = v - step * gradient
         new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        new[m] = 0
         new_b = c - step * float(residual.mean())
         new_t = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v = new + (t - 1) / new_t * (new - w)
@@ -180,7 +193,7 @@ def _curvature(row, col, n, m, rounds: int = 20):
         s = x[m] + np.bincount(row, x[col], minlength=n)
         x = np.append(np.bincount(col, s[row], minlength=m), s.sum()) / n
         value = float(np.linalg.norm(x))
-    return x, 1.1 * value
+    return 1.1 * value
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

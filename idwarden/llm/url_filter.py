@@ -1,13 +1,13 @@
 """URL filters: rules first, link-graph propagation for the rest.
 
 A rule is a host and a path prefix; it fits the host and its subdomains, and the longest rule that fits wins. Every
-other url gets the verdict of its host. Pages decided by rules are seeds: rank flows from the allowed and the undecided
-pages along the links between hosts (personalised PageRank), and distrust from the blocked pages against the links,
-so that hosts that link to blocked ones lose standing; a host passes distrust on as far as its own pages are not
-allowed. A host is blocked if over ``BLOCK_SHARE`` of what it holds is distrust.
+other url gets the verdict of its host. The shares of a host's pages that rules allow and block make it a seed: trust flows from
+the allowed along the links between hosts (personalised PageRank), distrust from the blocked against them, so that hosts
+that link to blocked ones lose standing; a host passes distrust on as far as its own pages are not allowed. A host is
+blocked if it receives ``BLOCK_FROM`` of distrust or more, and more than trust; what its own pages are does not count.
 
 Only DataFrame functions: links are taken from href and src attributes, counted per pair of hosts before they are
-shuffled; a host without links keeps its own share. Ranks are written to the shared folder every few rounds.
+shuffled. Ranks are written to the shared folder every few rounds.
 
 NULL urls and urls without ``://`` have an empty host and path, which no rule fits; the host '' is judged like any other. NULL
 html has no links. Repeated pages count as often as they occur.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from idwarden.llm.store import save, small
 
-DAMPING, ROUNDS, ROUNDS_A_FILE, BLOCK_SHARE = 0.85, 20, 5, 0.5
+DAMPING, ROUNDS, ROUNDS_A_FILE, BLOCK_FROM = 0.85, 20, 5, 0.02
 
 #: Attributes whose value is a link.
 LINK = r"(?i)(?:href|src)\s*=\s*[\"']?([^\"'\s>]+)"
@@ -84,64 +84,48 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def seeds(judged: DataFrame) -> DataFrame:
-    """host and the shares of its pages that are allowed, blocked and undecided."""
-    share = lambda test: F.avg(F.when(test, 1.0).otherwise(0.0))
-    return judged.groupBy("host").agg(
-        share(F.col("ruled") == "allow").alias("allowed"),
-        share(F.col("ruled") == "block").alias("blocked"),
-        share(F.col("ruled").isNull()).alias("undecided"),
-    )
+    """host and the shares of its pages that are allowed and blocked."""
+    share = lambda verdict: F.avg(F.when(F.col("ruled") == verdict, 1.0).otherwise(0.0))
+    return judged.groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
 
 
 def propagate(edges: DataFrame, start: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host, trust, neutral and distrust after ``rounds`` of personalised PageRank.
+    """host and the trust and distrust it receives after ``rounds`` of personalised PageRank.
 
-    edges: source, target, n; start: host, allowed, blocked, undecided. Ranks are in units of a host's own start.
+    edges: source, target, n; start: host, allowed, blocked.
     """
-    hosts = save(
-        start.unionByName(
-            edges.select(F.explode(F.array("source", "target")).alias("host"))
-            .distinct().join(start, "host", "left_anti")
-            .select("host", F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"), F.lit(1.0).alias("undecided"))
-        ), "hosts",
-    )
+    linked = edges.select(F.explode(F.array("source", "target")).alias("host")).distinct()
+    others = linked.join(start, "host", "left_anti").select("host", F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"))
+    hosts = save(start.unionByName(others), "hosts")
     out = edges.groupBy("source").agg(F.sum("n").alias("out"))
     into = edges.groupBy("target").agg(F.sum("n").alias("in"))
     weighted = edges.join(out, "source").join(into, "target")
-    step = weighted.select(
-        F.col("source").alias("host"), F.col("target").alias("to"), (F.col("n") / F.col("out")).alias("along"), F.lit(0.0).alias("against"),
-    ).unionByName(weighted.select(
-        F.col("target").alias("host"), F.col("source").alias("to"), F.lit(0.0).alias("along"), (F.col("n") / F.col("in")).alias("against"),
-    )).unionByName(
-        hosts.join(edges, F.col("host") == F.col("source"), "left_anti")
-        .select("host", F.col("host").alias("to"), F.lit(1.0).alias("along"), F.lit(0.0).alias("against"))
-    ).unionByName(
-        hosts.join(edges, F.col("host") == F.col("target"), "left_anti")
-        .select("host", F.col("host").alias("to"), F.lit(0.0).alias("along"), F.lit(1.0).alias("against"))
-    )
-    step = small(save(step, "host-steps"))
-    ranks = hosts.select("host", F.col("allowed").alias("trust"), F.col("undecided").alias("neutral"), F.col("blocked").alias("distrust"), (1 - F.col("allowed")).alias("passes"))
+    along = weighted.select(
+        F.col("source").alias("host"), F.col("target").alias("to"), (F.col("n") / F.col("out")).alias("along"), F.lit(0.0).alias("against"))
+    against = weighted.select(
+        F.col("target").alias("host"), F.col("source").alias("to"), F.lit(0.0).alias("along"), (F.col("n") / F.col("in")).alias("against"))
+    step = small(save(along.unionByName(against), "host-steps"))
+    trust = lambda got: F.lit(1 - DAMPING) * F.col("allowed") + got
+    distrust = lambda got: (1 - F.col("allowed")) * (F.lit(1 - DAMPING) * F.col("blocked") + got)
+    ranks = hosts.select("host", trust(F.lit(0.0)).alias("trust"), distrust(F.lit(0.0)).alias("distrust"))
     for k in range(1, rounds + 1):
         moved = ranks.join(step, "host").groupBy(F.col("to").alias("host")).agg(
-            F.sum(F.col("trust") * F.col("along")).alias("t"),
-            F.sum(F.col("neutral") * F.col("along")).alias("u"),
-            F.sum(F.col("distrust") * F.col("passes") * F.col("against")).alias("d"),
-        )
-        mixed = lambda own, got: F.lit(1 - DAMPING) * F.col(own) + F.lit(DAMPING) * F.coalesce(got, F.lit(0.0))
-        ranks = hosts.join(moved, "host", "left").select(
-            "host", mixed("allowed", "t").alias("trust"), mixed("undecided", "u").alias("neutral"), mixed("blocked", "d").alias("distrust"), (1 - F.col("allowed")).alias("passes"),
-        )
-        if k % ROUNDS_A_FILE == 0 or k == rounds:
+            (DAMPING * F.sum(F.col("trust") * F.col("along"))).alias("t"), (DAMPING * F.sum(F.col("distrust") * F.col("against"))).alias("d"))
+        got = hosts.join(moved, "host", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("t", "d")})
+        if k == rounds:
+            return save(got.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust")), "host-ranks")
+        ranks = got.select("host", trust(F.col("t")).alias("trust"), distrust(F.col("d")).alias("distrust"))
+        if k % ROUNDS_A_FILE == 0:
             ranks = save(ranks, "host-ranks")
-    return ranks
+    return hosts.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], block_share: float = BLOCK_SHARE) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], block_from: float = BLOCK_FROM) -> DataFrame:
     """page_id, host, path, rule and verdict of each row of ``pages`` (page_id, url, html)."""
     judged = parsed(pages, rules)
     ranks = propagate(save(links(pages), "host-links"), seeds(judged))
-    held = F.col("trust") + F.col("neutral") + F.col("distrust")
-    verdicts = ranks.select("host", F.when(F.col("distrust") > block_share * held, "block").otherwise("allow").alias("host_verdict"), "trust", "neutral", "distrust")
-    return judged.join(small(save(verdicts, "host-verdicts")), "host", "left").select(
+    blocked = (F.col("distrust") >= block_from) & (F.col("distrust") > F.col("trust"))
+    verdicts = ranks.select("host", F.when(blocked, "block").otherwise("allow").alias("host_verdict"))
+    return judged.join(small(verdicts), "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "host_verdict", F.lit("allow")).alias("verdict"),
     )
