@@ -11,7 +11,7 @@ hashes. Equal sets are one node from the start, so copies cost one comparison in
    neighbouring bands with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
    link between components is lost.
 4. Each pair is held against its bounds: the shingles that can still follow the shared one, and, by bitmap, the bits in which
-   the signatures differ (no fewer shingles differ). What is left is decided by exact intersection of the sorted arrays.
+   the signatures differ (no fewer shingles differ; a bit is the parity of its shingles, and there are as many bits as shingles). What is left is decided by exact intersection of the sorted arrays.
 5. Components over the links (``components``).
 
 NULL, empty and blank texts have an empty set and are linked with nothing. Repeated rows are one node. A NULL doc_id has a
@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idwarden.llm.arrays import Texts, Words, binaries, binary_values, join_hashes, mix, ranges, run_starts, starts_of, window_hashes
+from idwarden.llm.arrays import Texts, Words, binaries, join_hashes, mix, ranges, run_starts, starts_of, window_hashes
 from idwarden.llm.components import components
 from idwarden.llm.repeats import keyed
 from idwarden.llm.store import save, shuffle_partitions, small
 
 WORDS = 5
-#: Bits of a signature (as 64-bit words) and cells of the sketch (in blocks that are summed apart).
-SIGNATURE, CELLS, BLOCK = 8, 1 << 18, 1 << 10
+#: Bits of a signature, at least and at most; cells of the sketch, in blocks that are summed apart.
+LEAST_BITS, MOST_BITS, CELLS, BLOCK = 512, 1 << 20, 1 << 18, 1 << 10
 #: Pairs of a tile that are looked at together; pairs of one node that are intersected in one place.
 PAIRS, PLACE_PAIRS = 1 << 20, 2000
 #: Leading bytes of the hashes of a set that travel to where it is intersected: two shingles of a pair share them once in 2 ** 48.
@@ -74,6 +74,23 @@ def nodes_of(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def signatures(shingles: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """For each set, the parity of its shingles in each of as many cells as it has shingles, or up to twice as many."""
+    bits = 1 << np.ceil(np.log2(np.clip(counts, LEAST_BITS, MOST_BITS))).astype(np.int64)
+    bits[counts == 0] = 0
+    at = starts_of(bits)
+    cell = np.repeat(at[:-1], counts) + (shingles & (np.repeat(bits, counts) - 1).astype(U64)).astype(np.int64)
+    return binaries(np.packbits(np.bincount(cell, minlength=at[-1]).astype(np.uint8) & 1), at // 8)
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Bits in which signatures differ, the longer folded to the length of the shorter."""
+    if len(x) > len(y):
+        x, y = y, x
+    x, y = np.frombuffer(x, np.uint8), np.bitwise_xor.reduce(np.frombuffer(y, np.uint8).reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def profiles(rows: DataFrame) -> DataFrame:
     """One row for each text (__id, __text, n, node, signature), and each task's sketch in rows of (block, cells)."""
     def run(batches):
@@ -83,12 +100,10 @@ def profiles(rows: DataFrame) -> DataFrame:
             for first, end in texts.slices():
                 shingles, counts = sets_of(texts.piece(first, end))
                 cells += np.bincount((shingles >> U64(40)).astype(np.int64) & (CELLS - 1), minlength=CELLS)
-                bits = np.zeros((end - first) * SIGNATURE * 64, bool)
-                bits[np.repeat(np.arange(end - first), counts) * SIGNATURE * 64 + (shingles & U64(SIGNATURE * 64 - 1)).astype(np.int64)] = True
                 size = end - first
                 yield pa.RecordBatch.from_arrays([
                     batch.column("__id").slice(first, size), batch.column("__text").slice(first, size), pa.array(counts.astype(np.int32)),
-                    pa.array(nodes_of(shingles, counts)), binaries(np.packbits(bits), np.arange(size + 1) * SIGNATURE * 8),
+                    pa.array(nodes_of(shingles, counts)), signatures(shingles, counts),
                     pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
                 ], names=["__id", "__text", "n", "node", "signature", "block", "cells"])
         blocks = CELLS // BLOCK
@@ -243,25 +258,30 @@ def cross_pairs(shared: DataFrame) -> DataFrame:
             at = to
             good = _possible(size, place, i, j)
             a, b = _pairs(node[i[good]], node[j[good]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), np.int64))], names=["a", "b", "n"])
 
-    return shared.mapInArrow(run, "a long, b long")
+    return shared.mapInArrow(run, "a long, b long, n long")
 
 
-def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar. nodes: node, n, signature and the row (__id, __text) that holds the set."""
-    sides = [nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"s_{s}"), "__id", "__text") for s in "ab"]
-    both = pairs.distinct().join(sides[0].drop("__id", "__text"), "a").join(sides[1].drop("__id", "__text"), "b")
+def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = False) -> DataFrame:
+    """The pairs (a, b; of ``best``, for each b that of most tiles, n) that are similar.
+
+    nodes: node, n, signature and the row (__id, __text) that holds the set.
+    """
+    sides = [nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("signature").alias(f"s_{s}")) for s in "ab"]
+    both = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).join(sides[0], "a").join(sides[1], "b")
 
     def bounded(batches):
         for batch in batches:
-            a, b = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
-            x, y = (binary_values(batch.column(c), "<u8")[0].reshape(-1, SIGNATURE) for c in ("s_a", "s_b"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            keep = (a + b - apart) // 2 >= needed(a, b)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
-
-    left = save(both.mapInArrow(bounded, "a long, b long"), "pairs")
+            keep = [
+                (n + m - apart(x, y)) // 2 >= needed(n, m)
+                for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "s_a", "s_b")))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b", "n")], names=["a", "b", "n"])
+
+    left = save(both.mapInArrow(bounded, "a long, b long, n long"), "pairs")
+    if best:
+        left = save(left.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "pairs")
     # The sets of a's pairs meet at a; a busy a has several places, each with its set and a part of the others.
     places = left.groupBy("a").agg(F.ceil(F.count("*") / PLACE_PAIRS).alias("places"))
     others = left.join(small(save(places, "places")), "a").select(
@@ -333,8 +353,7 @@ def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
     )
     tiles = save(star_pairs(postings(rows, classes).repartition(partitions, "token")), "tiles")
     # A node is held against the pivot with which it shares most tiles; whatever that leaves apart is the second round's.
-    stars = tiles.where("token IS NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max(F.struct("n", "a")).alias("best"))
-    first = links(stars.select("best.a", "b"), nodes, rows)
+    first = links(tiles.where("token IS NULL").select("a", "b", "n"), nodes, rows, best=True)
     known = save(components(first), "components")
     shared = tiles.where("token IS NOT NULL").select("token", F.col("a").alias("node"), F.col("b").alias("at"))
     shared = shared.join(small(known), "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component"))

@@ -313,6 +313,8 @@ def covered_windows(part: pa.Table, kind: Kind):
     place = np.arange(len(at)) - starts_of(n.astype(np.int64))[row]
     hit = holder[at] < ids[row]
     row, place = row[hit], place[hit]
+    if not len(row):
+        return ids[:0], texts[:0], first[:0], first[:0]
     begins = run_starts(row, place - np.arange(len(place)))
     end = np.append(begins[1:], len(place)) - 1
     row = row[begins]
