@@ -21,7 +21,7 @@ from idwarden.llm.arrays import Texts, binaries, binary_values, join_hashes, ran
 from idwarden.llm.repeats import Kind, covered_spans, keyed
 from idwarden.llm.store import small
 
-WINDOW, ANCHOR = 50, 16
+WINDOW, ANCHOR = 50, 24
 #: Symbols (of 9 bits) that one sort key holds.
 PACKED = 7
 
@@ -142,7 +142,8 @@ class Bytes(Kind):
         for k in range(8):  # the eight bytes from each place on
             part = data[k:k + (n - k) // 8 * 8]
             eight[k::8][: len(part) // 8] = np.frombuffer(part.tobytes(), "<u8")
-        return texts.offsets, join_hashes(eight[:-8], eight[8:]) if n >= 16 else eight[:0], data
+        hashes = join_hashes(join_hashes(eight[:-16], eight[8:-8]), eight[16:]) if n >= self.k else eight[:0]
+        return texts.offsets, hashes, data
 
     def cut(self, state, starts, ends):
         lengths = ends - starts
