@@ -65,7 +65,7 @@ LOGIN_BAND_SEC = 7200
 MFA_WINDOW_SEC = 3600
 SESSION_HOURS = 8
 RISK_TOP = 100
-MAX_RECORDS_PER_FILE = 100_000
+MAX_RECORDS_PER_FILE = 20_000_000
 
 # Weights of the risk score.
 WEIGHT_FAILED_MFA = 2

@@ -3,6 +3,7 @@ from idwarden.functions.columns import (
     any_null,
     blank_to_null,
     elapsed,
+    first_rows,
     is_failure,
     labelled,
     seconds,
@@ -14,6 +15,7 @@ __all__ = [
     "any_null",
     "blank_to_null",
     "elapsed",
+    "first_rows",
     "is_failure",
     "labelled",
     "seconds",

@@ -2,9 +2,11 @@
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from idwarden.functions.checks import positive
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -45,3 +47,11 @@ def all_not_null(*cols) -> Column:
 def within_rate(part, whole) -> Column:
     """``part / whole`` rounded to six places, NULL when ``whole`` is zero."""
     return F.round(F.try_divide(_col(part).cast("double"), _col(whole)), 6)
+
+
+def first_rows(df: DataFrame, top: int | None) -> DataFrame:
+    """The first ``top`` rows of a sorted frame, all of them for None."""
+    if top is None:
+        return df
+    positive(top=top)
+    return df.limit(top)

@@ -46,6 +46,16 @@ def daily_activity(events: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def employment(hr: DataFrame) -> DataFrame:
+    """user, join_date and termination_date, one row for each user, however often HR delivered it.
+
+    Of several rows the one that joined last counts; of these the open one, else the one that ends last.
+    """
+    latest = F.max(F.struct("join_date", F.col("termination_date").isNull().alias("open"), "termination_date")).alias("_latest")
+    return hr.where(F.col("user").isNotNull()).groupBy("user").agg(latest).select(
+        "user", "_latest.join_date", "_latest.termination_date")
+
+
 def against_lifecycle(activity: DataFrame, hr: DataFrame) -> DataFrame:
     """Daily activity that HR does not cover, with a ``reason``.
 
@@ -53,7 +63,7 @@ def against_lifecycle(activity: DataFrame, hr: DataFrame) -> DataFrame:
     date or after the termination date. The plain join lets Spark broadcast a small HR table and
     otherwise split the days of a busy user over tasks.
     """
-    dates = hr.where(F.col("user").isNotNull()).select("user", "join_date", "termination_date", F.lit(True).alias("known"))
+    dates = employment(hr).withColumn("known", F.lit(True))
     outside = (F.col("day") < F.col("join_date")) | (F.col("day") > F.col("termination_date"))
     past_last_midnight = (F.col("day") == F.col("termination_date")) & (F.col("n_past_midnight") > 0)
     part = F.col("reason") == "part_of_day"

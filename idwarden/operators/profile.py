@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idwarden.constants import RISK_TOP, WEIGHT_ESCALATION, WEIGHT_FAILED_MFA, WEIGHT_UNEXPLAINED
-from idwarden.functions import is_failure, labelled
+from idwarden.functions import first_rows, is_failure, labelled
 from idwarden.functions.checks import non_negative, positive
 from idwarden.operators.access import unrequested_escalations
 from idwarden.operators.integrity import orphan_events
@@ -19,14 +19,12 @@ def unexplained_usage(src: Sources) -> DataFrame:
     return without_match(usage, src.requests, {"user": "user", "request_id": "req_id"})
 
 
-def risk_scores(src: Sources, *, top: int = RISK_TOP) -> DataFrame:
-    """The ``top`` users by risk score, among users with at least one login.
+def risk_scores(src: Sources, *, top: int | None = RISK_TOP) -> DataFrame:
+    """The ``top`` users (None: all) by risk score, among users with at least one login.
 
     All sources meet in one aggregation by user, so each row is combined on the map side
     and only per-user totals are shuffled.
     """
-    positive(top=top)
-
     def one(condition):
         return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
@@ -60,7 +58,7 @@ def risk_scores(src: Sources, *, top: int = RISK_TOP) -> DataFrame:
         + WEIGHT_ESCALATION * F.col("privilege_escalations")
         + WEIGHT_UNEXPLAINED * F.col("unexplained_app_usage")
     )
-    return totals.withColumn("risk_score", score).orderBy(F.desc("risk_score"), "user").limit(top)
+    return first_rows(totals.withColumn("risk_score", score).orderBy(F.desc("risk_score"), "user"), top)
 
 
 def timelines(src: Sources, *, ordered: bool = False) -> DataFrame:
@@ -113,9 +111,8 @@ def high_risk_sequences(src: Sources, *, window_sec: int = 86400, transfers=("up
     )
 
 
-def cleanest_users(src: Sources, *, max_findings: int | None = None, top: int = RISK_TOP) -> DataFrame:
-    """The ``top`` users with the fewest findings, the most active first among equals."""
-    positive(top=top)
+def cleanest_users(src: Sources, *, max_findings: int | None = None, top: int | None = None) -> DataFrame:
+    """The ``top`` users (None: all) with the fewest findings, the most active first among equals."""
     if max_findings is not None:
         non_negative(max_findings=max_findings)
 
@@ -134,4 +131,4 @@ def cleanest_users(src: Sources, *, max_findings: int | None = None, top: int =
     )
     if max_findings is not None:
         totals = totals.where(F.col("findings") <= max_findings)
-    return totals.orderBy("findings", F.desc("total_events"), "user").limit(top)
+    return first_rows(totals.orderBy("findings", F.desc("total_events"), "user"), top)

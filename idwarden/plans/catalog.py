@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idwarden.operators import access, activity, integrity, logins, profile, quality
+from idwarden.plans import files_trial
 from idwarden.sources import (
     Sources,
     drop_repeats,
@@ -97,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "d19_orphan_events": _on_sources(integrity.orphan_events),
     "d20_orphan_users": _on_sources(integrity.orphan_users),
     "d21_cleanest_users": _on_sources(profile.cleanest_users),
+    "d21_cleanest_users_top100": _on_sources(profile.cleanest_users, top=100),
     "d22_time_warp": _on_sources(integrity.time_warp),
     "q2_unused_approvals": _on_sources(access.unused_approvals),
     "q3_self_escalation": _on_sources(lambda src: access.unrequested_escalations(src).where("self_initiated")),
@@ -121,6 +123,9 @@ QUERIES: dict[str, Query] = {
     "n9_session_attribution": _on_sources(activity.session_attribution),
     "n11_unseen_files": _unseen,
     "n12_drop_repeats": _redelivered,
+    "r2_day_range": files_trial.day_ranges,
+    "r2_two_generations": files_trial.two_generations,
+    "j1_job_twice": files_trial.job_twice,
     "s1_ingest": trial.ingest_app_messages,
     "s2_streaming_repeats": trial.distinct_events,
     "s3_streaming_bypass": trial.bypass_pairs,

@@ -11,20 +11,25 @@ import logging
 import sys
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.functions.checks import one_of, positive
-from idwarden.plans.registry import CHECKS, DETECTORS
+from idwarden.plans.registry import CHECKS, DETECTORS, of_days
 from idwarden.plans.session import session
 from idwarden.plans.sinks import write_table
 from idwarden.sources import Sources, load_sources
+from idwarden.sources.readers import list_files, read_ledger, record_files, unseen_files
 
 log = logging.getLogger(__name__)
 
+WRITE_METHODS = ("direct", "indirect")
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -43,12 +48,13 @@ class Outcome:
 
 
 def run(
-    src: Sources, sink: Sink, *, tables: dict[str, str] | None = None, run_id: str | None = None,
-    keys: list[str] | None = None, parallel: int = 4,
+    src: Sources | Callable[..., Sources], sink: Sink, *, tables: dict[str, str] | None = None, run_id: str | None = None,
+    keys: list[str] | None = None, parallel: int = 4, first_day: str | None = None, last_day: str | None = None,
 ) -> list[Outcome]:
     """Fill the tables of ``keys`` (all by default). A table that fails does not stop the others.
 
     Several tables are computed at once so that one table's last tasks do not idle the cluster.
+    A range of days needs ``src`` as a function of ``days``, so that each table reads what it needs around the range.
     """
     positive(parallel=parallel)
     detectors = {**DETECTORS, **CHECKS}
@@ -56,11 +62,15 @@ def run(
     for key in [*names, *(keys or [])]:
         one_of("table key", key, detectors)
 
+    if not callable(src) and (first_day or last_day):
+        raise ValueError("a range of days needs a function that loads the sources")
+    load = src if callable(src) else lambda days=None: src
+
     def fill(key: str) -> Outcome:
         began = time.monotonic()
         try:
             rows = write_table(
-                detectors[key].fn(src), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
+                of_days(key, first_day, last_day, load), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
             )
             log.info("%s: %s rows", names[key], rows or "no")
             return Outcome(key, names[key], rows, time.monotonic() - began)
@@ -94,20 +104,24 @@ def warehouse_sink(project: str, dataset: str, write_method: str = "direct", tem
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Fill the identity-access result tables")
-    p.add_argument("--env", default="dev")
+    # Names of arguments and of the connector's options.
+    p.add_argument("--env", default="dev", help="stands for {env} in --config, and picks that entry of the file if it has one")
     p.add_argument("--config", help="JSON file with root or gcs_bucket, tables and the other settings")
+    p.add_argument("--ledger", help="folder with the files done so far: only unseen files of --source are read, and recorded afterwards")
+    p.add_argument("--unique", action="store_true", help="keep one row for each event id, for input that may be delivered twice")
+    p.add_argument("--same_columns", action="store_true", help="all files of a folder have the same columns: read one footer only")
     p.add_argument("--root", help="folder or URI that holds source/")
     p.add_argument("--gcs_bucket", help="short for --root gs://<bucket>")
     p.add_argument("--source", required=True, choices=SOURCE_KEYS)
     p.add_argument("--input_file", help="one file below root, used instead of the whole folder of --source")
-    p.add_argument("--first_day", metavar="YYYY-MM-DD", help="read no events before this day")
-    p.add_argument("--last_day", metavar="YYYY-MM-DD", help="read no events after this day")
+    p.add_argument("--first_day", metavar="YYYY-MM-DD", help="only result rows of this day and later, in tables that have days")
+    p.add_argument("--last_day", metavar="YYYY-MM-DD", help="only result rows of this day and earlier")
     p.add_argument("--sink_path", help="folder of the result tables; <root>/gold by default")
     p.add_argument("--sink_format", default="parquet")
     p.add_argument("--sink_option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--bq_project")
     p.add_argument("--bq_dataset")
-    p.add_argument("--write_method", default="direct", choices=["direct", "indirect"])
+    p.add_argument("--write_method", choices=WRITE_METHODS)
     p.add_argument("--temp_gcs_bucket")
     p.add_argument("--run_id", help="names this run; a rerun with the same name replaces its rows")
     p.add_argument("--only_affected", action="store_true", help="only tables that read --source")
@@ -124,11 +138,16 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser().parse_args(argv)
     config = {}
     if args.config:
-        with open(args.config, encoding="utf-8") as f:
+        with open(args.config.replace("{env}", args.env), encoding="utf-8") as f:
             config = json.load(f)
-    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket"):
+        config = config.get(args.env, config)
+        if config.get("env", args.env) != args.env:
+            raise ValueError(f"{args.config} is for {config['env']}, not for {args.env}")
+    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket", "write_method", "ledger"):
         if getattr(args, name) is None:
             setattr(args, name, config.get(name))
+    args.write_method = args.write_method or "direct"
+    one_of("write_method", args.write_method, WRITE_METHODS)
     named = {key: getattr(args, key) for key in TABLES if getattr(args, key)}
     args.tables = {**config.get("tables", {}), **named}
     if args.root is None:
@@ -137,14 +156,19 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
         args.root = f"gs://{args.gcs_bucket}"
     if args.bq_project and args.bq_dataset and not args.sink_path:
         args.sink = warehouse_sink(args.bq_project, args.bq_dataset, args.write_method, args.temp_gcs_bucket)
-        args.run_id = None
     else:
         options = dict(o.split("=", 1) for o in args.sink_option)
         args.sink = Sink(args.sink_path or f"{args.root}/gold", args.sink_format, options)
-        args.run_id = args.run_id or uuid.uuid4().hex
+    args.run_id = args.run_id or uuid.uuid4().hex
     return args
 
 
+def new_files(spark: SparkSession, root: str, source: str, ledger: str) -> list[str]:
+    """Files of a source that the ledger does not hold."""
+    listing = list_files(spark, f"{root}/source/{source}")
+    return sorted(r["path"] for r in unseen_files(listing, read_ledger(spark, ledger)).select("path").collect())
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     """Exit code 0 when every table was filled, 1 when any failed."""
     args = settings(argv)
@@ -153,11 +177,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sizing = {"spark.sql.shuffle.partitions": str(args.shuffle_partitions)} if args.shuffle_partitions else {}
         spark = session("idwarden", **sizing)
     try:
-        src = load_sources(
-            spark, args.root, args.source, args.input_file, first_day=args.first_day, last_day=args.last_day
-        )
+        files = args.input_file
+        if args.ledger and not files:
+            files = new_files(spark, args.root, args.source, args.ledger)
+            if not files:
+                log.info("no new files of %s", args.source)
+                return 0
+        load = partial(
+            load_sources, spark, args.root, args.source, files, merge_schema=not args.same_columns, unique=args.unique)
         keys = chosen(args.source, only_affected=args.only_affected, checks=args.checks)
-        outcomes = run(src, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel)
+        outcomes = run(
+            load, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel,
+            first_day=args.first_day, last_day=args.last_day,
+        )
+        if args.ledger and not any(o.error for o in outcomes):
+            # A run that failed in part is repeated as a whole; its rerun should bear the same run_id.
+            done = files if isinstance(files, list) else [files]
+            record_files(spark.createDataFrame([(f,) for f in done], "path string"), args.ledger)
     finally:
         if started:
             spark.stop()

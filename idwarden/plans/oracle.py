@@ -292,6 +292,13 @@ ORACLE: dict[str, str] = {
     "d21_cleanest_users": _sql("""
   SELECT u."user", coalesce(f.n, 0) AS findings, u.n AS total_events
   FROM (SELECT "user", count(*) AS n FROM all_events GROUP BY "user") u
+  LEFT JOIN (SELECT "user", count(*) AS n FROM (
+    SELECT "user" FROM logins WHERE status LIKE '%FAIL%' UNION ALL SELECT "user" FROM escalations
+    UNION ALL SELECT "user" FROM unexplained UNION ALL SELECT "user" FROM orphans) GROUP BY "user") f ON f."user" = u."user"
+  ORDER BY findings, total_events DESC, u."user" """, _ESCALATIONS, _UNEXPLAINED, _ORPHANS),
+    "d21_cleanest_users_top100": _sql("""
+  SELECT u."user", coalesce(f.n, 0) AS findings, u.n AS total_events
+  FROM (SELECT "user", count(*) AS n FROM all_events GROUP BY "user") u
   LEFT JOIN (SELECT "user", count(*) AS n FROM (
     SELECT "user" FROM logins WHERE status LIKE '%FAIL%' UNION ALL SELECT "user" FROM escalations
     UNION ALL SELECT "user" FROM unexplained UNION ALL SELECT "user" FROM orphans) GROUP BY "user") f ON f."user" = u."user"
@@ -360,17 +367,23 @@ ORACLE: dict[str, str] = {
     SELECT 'source/' || source || '/' || strftime(ts, '%Y%m%d') || '-data.parquet' AS path, CAST(ts AS DATE) AS day FROM all_events)
   WHERE day > (SELECT min(termination_date) FROM hr) GROUP BY path"""),
     "n12_drop_repeats": _sql("SELECT * FROM directory"),
-    "s1_ingest": _sql("SELECT *, CAST(NULL AS VARCHAR) AS _raw, strftime(ts, '%Y-%m-%d') AS event_date FROM app"),
+    "s1_ingest": _sql("""
+  SELECT *, strftime(ts, '%Y-%m-%d') AS event_date, (SELECT count(*) FROM app WHERE CAST(substr(usage_id, 2) AS BIGINT) % 10 = 0) AS n_bad FROM app"""),
     "s2_streaming_repeats": _sql("SELECT * FROM directory"),
     "s3_streaming_bypass": _sql(_bypass("TRUE", False, "a.session_id")),
     "s3_streaming_shadow_access": "",
     "s4_daily_counts": _sql("""
-  SELECT date_trunc('day', ts) AS day_start, "user", count(*) AS n FROM directory GROUP BY ALL
-  HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM directory)"""),
+  SELECT date_trunc('day', ts) AS day_start, "user", count(*) AS n FROM directory GROUP BY ALL"""),
     "s5_sessions": _sql("""
   SELECT "user", min(ts) AS session_start, max(ts) + INTERVAL 8 HOUR AS session_end, count(*) AS n FROM (
     SELECT "user", ts, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY "user" ORDER BY ts) AS run FROM (
       SELECT "user", ts, coalesce(ts - lag(ts) OVER (PARTITION BY "user" ORDER BY ts) > INTERVAL 8 HOUR, TRUE) AS new FROM app))
-  GROUP BY "user", run HAVING max(ts) + INTERVAL 8 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM app)"""),
+  GROUP BY "user", run"""),
 }
 ORACLE["s3_streaming_shadow_access"] = ORACLE["d01_shadow_access"]
+ORACLE["j1_job_twice"] = ORACLE["d02_impossible_login"]
+ORACLE["r2_two_generations"] = _sql("SELECT * FROM app")
+ORACLE["r2_day_range"] = f"""
+  SELECT 'escalation' AS kind, "user", ts, event_id AS detail FROM ({ORACLE["d08_unrequested_escalation"]})
+  UNION ALL SELECT 'orphan', "user", ts, missing_kind || ':' || event_id FROM ({ORACLE["d19_orphan_events"]})
+  UNION ALL SELECT 'bypass', "user", mfa_failure_time, app_accessed || ':' || seconds_after_failure FROM ({ORACLE["d03_mfa_bypass"]})"""

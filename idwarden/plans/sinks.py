@@ -1,6 +1,7 @@
 """Writers for result tables and source folders."""
 
 import posixpath
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,18 +19,20 @@ def write_table(
     Files go to ``<path>/<table>``; a connector without files takes ``path=None`` and finds the
     table in its options, where ``{table}`` stands for the name. With ``run_id`` the rows form the
     folder ``run_id=<id>`` of the table, which a rerun replaces, so a repeated run adds nothing
-    twice. Without it an empty frame is not written, at the price of a job that tests for it.
+    twice; a connector gets the id as a column, by which rows of an earlier try can be told and deleted. Without it an empty frame is not written, at the price of a job that tests for it.
     Rows are counted while they are written.
     """
     positive(max_records_per_file=max_records_per_file)
     if run_id is None and df.isEmpty():
         return 0
+    if path is None and run_id is not None:
+        df = df.withColumn("run_id", F.lit(run_id))
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.format(fmt)
     for key, value in (options or {}).items():
         writer = writer.option(key, value.replace("{table}", table))
     if path is None:
-        writer.mode("append").save()
+        writer.mode("append").save()  # the frame has its run_id
     else:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
         target = posixpath.join(path, table)
@@ -50,14 +53,22 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True) -> None:
     df.write.option("header", header).mode("overwrite").csv(path)
 
 
-def write_source(df: DataFrame, root: str, source: str, *, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
-    """Append normalised event rows to a source folder, split by day so that reads prune."""
+def write_source(
+    df: DataFrame, root: str, source: str, *, batch: str | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE,
+) -> None:
+    """Add normalised event rows to a source folder, split by day so that reads prune."""
+    write_days(df, posixpath.join(root, "source", source), batch=batch, max_records_per_file=max_records_per_file)
+
+
+def write_days(df: DataFrame, path: str, *, batch: str | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+    """Add rows below ``event_date=.../batch=...``; rows without ``ts`` go to ``batch=...`` alone.
+
+    ``batch`` names what is written: writing the same batch again replaces its folders, so a retry adds nothing twice. Rows are
+    dealt by day before they are written; a day that is large gets several tasks and files.
+    """
     positive(max_records_per_file=max_records_per_file)
-    writer = df
-    if "ts" in df.columns:
-        # Rows of one day that share an input partition share a file; a hot day is not sent to one task.
-        writer = df.withColumn("event_date", F.to_date("ts")).sortWithinPartitions("event_date")
-    out = writer.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+    rows, by = df.withColumn("batch", F.lit(batch or uuid.uuid4().hex)), ["batch"]
     if "ts" in df.columns:
-        out = out.partitionBy("event_date")
-    out.parquet(posixpath.join(root, "source", source))
+        rows, by = rows.withColumn("event_date", F.to_date("ts")).hint("rebalance", "event_date"), ["event_date", "batch"]
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
+    out.partitionBy(*by).parquet(path)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from idwarden.constants import SOURCE_KEYS
 from idwarden.functions.checks import one_of
+from idwarden.schemas import EVENT_ID
+from idwarden.sources.normalise import drop_repeats
 from idwarden.sources.readers import empty_source, read_parquet
 
 _SLOTS = {
@@ -55,20 +57,24 @@ class Sources:
 
 
 def load_sources(
-    spark: SparkSession, root: str, source: str | None = None, input_file: str | None = None,
-    *, first_day: str | None = None, last_day: str | None = None,
+    spark: SparkSession, root: str, source: str | None = None, input_file: str | list[str] | None = None,
+    *, days: dict[str, tuple[str | None, str | None]] | None = None, merge_schema: bool = True, unique: bool = False,
 ) -> Sources:
     """Read ``<root>/source/<key>`` for every key.
 
-    With ``source`` and ``input_file`` that one file (relative to ``root``) stands in for the
-    folder of ``source``; the other sources keep their whole history, or the days asked for.
+    With ``source`` and ``input_file`` that file, or those (relative to ``root``, or with a scheme), stand in for the folder of
+    ``source``; the other sources keep their whole history, or of ``days`` the first and last day given for them.
+    ``unique`` keeps one row for each event id.
     """
-    if source is not None:
-        one_of("source", source, SOURCE_KEYS)
+    for key in [*(days or {}), *([source] if source is not None else [])]:
+        one_of("source", key, SOURCE_KEYS)
     frames = {}
     for key in SOURCE_KEYS:
+        first, last = (days or {}).get(key, (None, None))
+        where = f"{root}/source/{key}"
         if key == source and input_file:
-            frames[key] = read_parquet(spark, key, f"{root}/{input_file}")
-        else:
-            frames[key] = read_parquet(spark, key, f"{root}/source/{key}", first_day=first_day, last_day=last_day)
+            files = [input_file] if isinstance(input_file, str) else input_file
+            where = [f if ":" in f or f.startswith("/") else f"{root}/{f}" for f in files]
+        frame = read_parquet(spark, key, where, first_day=first, last_day=last, merge_schema=merge_schema)
+        frames[key] = drop_repeats(frame, key) if unique and key in EVENT_ID else frame
     return Sources.of(spark, frames)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from idwarden import schemas
 from idwarden.constants import ACTION_ACCOUNTS, DEFAULT_ACCOUNT, GROUP_ACCOUNTS, HUMAN_PREFIX
-from idwarden.functions import blank_to_null
+from idwarden.functions import blank_to_null, first_rows
 
 
 def _shaped(df: DataFrame, field: T.StructField) -> Column:
@@ -30,15 +30,20 @@ def normalise(df: DataFrame, source: str, extra: list[str] | None = None) -> Dat
 
     ``extra`` names further columns to keep when present, such as ``attr_source`` or ``_raw``.
     """
-    present = set(df.columns)
-    renames = {
-        old: new for old, new in schemas.ALIASES[source].items() if old in present and new not in present
-    }
-    df = df.withColumnsRenamed(renames)
-    layout = [_shaped(df, field) for field in schemas.BY_SOURCE[source].fields]
+    layout = [shaped_field(df, source, field.name) for field in schemas.BY_SOURCE[source].fields]
     return df.select(*layout, *[c for c in extra or [] if c in df.columns])
 
 
+def shaped_field(df: DataFrame, source: str, name: str) -> Column:
+    """A column of the layout, from its name or, where that has no value, from an older name."""
+    field = schemas.BY_SOURCE[source][name]
+    older = [old for old, new in schemas.ALIASES[source].items() if new == name and old in df.columns and old not in schemas.BY_SOURCE[source].names]
+    names = [n for n in (name, *older) if n in df.columns]
+    if names in ([], [name]):
+        return _shaped(df, field)
+    return F.coalesce(*(_shaped(df.select(n), T.StructField(n, field.dataType)) for n in names)).alias(name)
+
+
 def to_messages(df: DataFrame, source: str) -> DataFrame:
     """One JSON message per row, every value as text, with its source as an attribute."""
     texts = F.struct(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])
@@ -96,13 +101,13 @@ def service_initiators(directory: DataFrame) -> DataFrame:
     return directory.withColumn("initiator", F.when(is_human, account).otherwise(F.col("initiator")))
 
 
-def initiator_counts(directory: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` most frequent initiators, and whether each is a person."""
-    return (
+def initiator_counts(directory: DataFrame, top: int | None = 10) -> DataFrame:
+    """The ``top`` most frequent initiators (None: all), and whether each is a person."""
+    return first_rows(
         directory.where(F.col("initiator").isNotNull())
         .groupBy("initiator")
         .agg(F.count("*").alias("n"))
         .withColumn("is_human", F.col("initiator").startswith(HUMAN_PREFIX))
-        .orderBy(F.desc("n"), "initiator")
-        .limit(top)
+        .orderBy(F.desc("n"), "initiator"),
+        top,
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from idwarden import schemas
 from idwarden.constants import CSV_SOURCES
-from idwarden.sources.normalise import normalise, parse_messages
+from idwarden.sources.normalise import normalise, parse_messages, shaped_field
 
 
 def has_column(df: DataFrame, name: str) -> bool:
@@ -40,31 +40,41 @@ def _or_empty(spark, source, load):
 
 
 def read_parquet(
-    spark: SparkSession, source: str, path: str, *, merge_schema: bool = False, keep_file: bool = False,
+    spark: SparkSession, source: str, path: str | list[str], *, merge_schema: bool = True, keep_file: bool = False,
     first_day: str | None = None, last_day: str | None = None,
 ) -> DataFrame:
-    """A source from one Parquet file, a folder or a glob.
+    """A source from one Parquet file, several, a folder or a glob.
 
-    Files may hold typed columns or all-string columns; both end in the fixed layout.
-    ``merge_schema`` reads every footer and is needed only when files of one folder differ.
+    Files may hold typed columns or all-string columns, under current or older names; both end in the fixed layout.
+    ``merge_schema`` reads every footer, in a Spark job; it can be left out where all files of a folder have the same columns.
     ``first_day`` and ``last_day`` (``yyyy-MM-dd``) keep the events of those days; where the folder is
-    split by ``event_date`` the other days are not read.
+    split by ``event_date`` the other days are not read. Lines that ingest could not parse are left out.
     """
     def load():
-        raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-        if "ts" in schemas.BY_SOURCE[source].fieldNames():
-            day = F.col("event_date") if "event_date" in raw.columns else F.to_date(F.col("ts").try_cast("timestamp_ntz"))
-            if first_day is not None:
-                raw = raw.where(day >= F.lit(first_day).cast("date"))
-            if last_day is not None:
-                raw = raw.where(day <= F.lit(last_day).cast("date"))
-        if keep_file:
-            raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
-        return normalise(raw, source, extra=["source_file"] if keep_file else [])
+        paths = [path] if isinstance(path, str) else path
+        raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        return from_raw(raw, source, first_day=first_day, last_day=last_day, keep_file=keep_file)
 
     return _or_empty(spark, source, load)
 
 
+def from_raw(
+    raw: DataFrame, source: str, *, first_day: str | None = None, last_day: str | None = None, keep_file: bool = False,
+) -> DataFrame:
+    """The layout of ``source`` from its files' rows, of the days asked for."""
+    if "_raw" in raw.columns:
+        raw = raw.where(F.col("_raw").isNull())
+    if "ts" in schemas.BY_SOURCE[source].fieldNames() and (first_day or last_day):
+        day = F.col("event_date").cast("date") if "event_date" in raw.columns else F.to_date(shaped_field(raw, source, "ts"))
+        if first_day is not None:
+            raw = raw.where(day >= F.lit(first_day).cast("date"))
+        if last_day is not None:
+            raw = raw.where(day <= F.lit(last_day).cast("date"))
+    if keep_file:
+        raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
+    return normalise(raw, source, extra=["source_file"] if keep_file else [])
+
+
 def read_csv(spark: SparkSession, source: str, path: str) -> DataFrame:
     """A source from CSV with a header. Columns are taken by name; undecodable bytes are replaced."""
     def load():

@@ -5,8 +5,13 @@ on the way in, and come back on the way out. The session time zone should be UTC
 one, clock times that a switch to summer time skips do not survive the way.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import zlib
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from idwarden import schemas
@@ -14,24 +19,35 @@ from idwarden.constants import MAX_RECORDS_PER_FILE, MFA_WINDOW_SEC, PRIVILEGED_
 from idwarden.functions import elapsed, is_failure, seconds
 from idwarden.functions.checks import one_of, positive
 from idwarden.operators.keyed import without_match
+from idwarden.plans.sinks import write_days
 from idwarden.sources import normalise, parse_messages
 
 
 def source_stream(
     spark: SparkSession, source: str, path: str, *, fmt: str = "json", files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = 10 << 30, typed: bool = False,
 ) -> DataFrame:
-    """A source folder as a stream: JSON messages (one per line), CSV or Parquet with text columns."""
+    """A source folder as a stream: JSON messages (one per line), CSV or Parquet, under current or older names.
+
+    Parquet columns are text, or with ``typed`` of the layout's types. A CSV file must have the layout's columns in order: one
+    with another header stops the stream. A backlog is taken in batches of ``bytes_per_trigger``.
+    """
     one_of("fmt", fmt, ("json", "csv", "parquet"))
     reader = spark.readStream
     if files_per_trigger is not None:
         positive(files_per_trigger=files_per_trigger)
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    elif bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if fmt == "json":
         messages = reader.text(path).withColumnRenamed("value", "payload")
         return normalise(parse_messages(messages, source), source, extra=["_raw"])
     layout = schemas.text_schema(source)
     if fmt == "csv":
-        return normalise(reader.schema(layout).option("header", True).csv(path), source)
+        return normalise(reader.schema(layout).option("header", True).option("enforceSchema", False).csv(path), source)
+    layout = schemas.BY_SOURCE[source] if typed else layout
+    older = {old: new for old, new in schemas.ALIASES[source].items() if old not in layout.names}
+    layout = T.StructType([*layout.fields, *(T.StructField(old, layout[new].dataType) for old, new in older.items())])
     return normalise(reader.schema(layout).parquet(path), source)
 
 
@@ -68,11 +84,61 @@ def append_stream(
         conf.set(setting, before)
 
 
-def ingest(rows: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    """Append normalised event rows under ``event_date=...`` folders, so later reads prune by day."""
-    return append_stream(
-        rows.withColumn("event_date", F.to_date("ts")), path, checkpoint, partition_by="event_date", **options
-    )
+def in_batches(rows: DataFrame, checkpoint: str, write: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    """Hand all input that is there now to ``write``, batch by batch, and stop.
+
+    ``write`` gets the rows and the batch's name, which is the same when a batch is tried again: what it writes under that
+    name it must replace. Plain files result, without a log of their own, to which other jobs may add.
+    """
+    label = f"{zlib.crc32(checkpoint.encode()):08x}"
+
+    def one(batch: DataFrame, number: int) -> None:
+        write(batch, f"{label}-{number:06d}")
+
+    return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def bad_lines(path: str) -> str:
+    """Where lines that are no message go: readers of ``path`` do not look into it."""
+    return f"{path}/_bad"
+
+
+def ingest(
+    rows: DataFrame, path: str, checkpoint: str, *, event_id: str | None = None,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
+) -> StreamingQuery:
+    """Add normalised event rows under ``event_date=...`` folders, each row once.
+
+    Lines that could not be parsed go to ``bad_lines(path)``. With ``event_id`` an event that came before, in this run or
+    any other, is left out: a batch is held against the ids of its days in ``path``, so however late an event comes, it is
+    kept if it is new.
+    """
+    def write(batch: DataFrame, name: str) -> None:
+        if "_raw" in batch.columns:
+            bad = batch.where(F.col("_raw").isNotNull()).select("_raw")
+            write_days(bad, bad_lines(path), batch=name, max_records_per_file=max_records_per_file)
+            batch = batch.where(F.col("_raw").isNull()).drop("_raw")
+        if event_id is not None:
+            batch = _new_events(batch, path, event_id, name)
+        write_days(batch, path, batch=name, max_records_per_file=max_records_per_file)
+
+    return in_batches(rows, checkpoint, write)
+
+
+def _new_events(batch: DataFrame, path: str, event_id: str, name: str) -> DataFrame:
+    """Rows without an id, and of each new id one row. Rows that an earlier try of the batch wrote do not count as known."""
+    named = batch.where(F.col(event_id).isNotNull()).dropDuplicates([event_id])
+    try:
+        known = batch.sparkSession.read.option("mergeSchema", True).parquet(path).where(F.col("batch") != name)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        # An event keeps its time when it comes again, so only folders of the batch's days are read.
+        days = batch.select(F.to_date("ts").alias("event_date")).distinct()
+        known = known.join(days, known["event_date"].eqNullSafe(days["event_date"]), "left_semi").select(event_id).distinct()
+        named = named.join(known, event_id, "left_anti").select(*batch.columns)
+    return named.unionByName(batch.where(F.col(event_id).isNull()))
 
 
 def _event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -89,22 +155,17 @@ def _untimed(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: _clock(c) for c in columns})
 
 
-def distinct_stream(rows: DataFrame, event_id: str, *, delay: str = "1 day") -> DataFrame:
-    """Drop redelivered events that arrive within ``delay`` of the first copy."""
-    keyed = _event_time(rows.where(F.col(event_id).isNotNull()), "ts", delay)
-    keyed = _untimed(keyed.dropDuplicatesWithinWatermark([event_id]), "ts")
-    return keyed.unionByName(rows.where(F.col(event_id).isNull()))
-
-
 def _band_stream_join(
-    left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, lo: int, hi: int, delay: str,
+    left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, lo: int, hi: int, delay: str, chunk_sec: int,
 ) -> DataFrame:
     """Stream-stream inner join with ``lo <= right_ts - left_ts <= hi`` seconds.
 
-    As in batch, rows meet per (key, time chunk), which spreads the state of a busy key. The
-    plain range on the event times lets Spark drop state that can no longer match.
+    Rows meet per (key, chunk of ``chunk_sec``), which spreads the state of a busy key; a left row goes to all chunks of its
+    range. The plain range on the event times lets Spark drop state that can no longer match. Rows that come later than ``delay``
+    are dropped; the query's progress counts them (``numRowsDroppedByWatermark``).
     """
-    width = hi - lo + 1
+    positive(chunk_sec=chunk_sec)
+    width = min(chunk_sec, hi - lo + 1)
 
     def chunk(ts: str, shift: int) -> Column:
         return F.floor((seconds(ts) + F.lit(shift)) / F.lit(width))
@@ -122,7 +183,7 @@ def _band_stream_join(
 
 
 def bypass_stream(
-    logins: DataFrame, app: DataFrame, *, window_sec: int = MFA_WINDOW_SEC, delay: str = "1 hour",
+    logins: DataFrame, app: DataFrame, *, window_sec: int = MFA_WINDOW_SEC, delay: str = "1 hour", chunk_sec: int = 900,
 ) -> DataFrame:
     """Every app access of a user within the window after a failed login, from two streams."""
     positive(window_sec=window_sec)
@@ -133,13 +194,13 @@ def bypass_stream(
         "user", F.col("app").alias("app_accessed"), F.col("ts").alias("app_access_time"),
         F.col("session_id").alias("app_session_id"), F.col("duration").alias("app_usage_duration_sec"),
     )
-    joined = _band_stream_join(failed, access, "user", "mfa_failure_time", "app_access_time", 1, window_sec, delay)
+    joined = _band_stream_join(failed, access, "user", "mfa_failure_time", "app_access_time", 1, window_sec, delay, chunk_sec)
     return joined.withColumn("seconds_after_failure", elapsed("app_access_time", "mfa_failure_time"))
 
 
 def shadow_stream(
     directory: DataFrame, requests: DataFrame, app: DataFrame, *, privileged_groups=PRIVILEGED_GROUPS,
-    window_sec: int = SHADOW_WINDOW_SEC, delay: str = "1 hour",
+    window_sec: int = SHADOW_WINDOW_SEC, delay: str = "1 hour", chunk_sec: int = 3600,
 ) -> DataFrame:
     """Shadow access with streaming grants and usage; ``requests`` is a static table."""
     positive(window_sec=window_sec)
@@ -151,24 +212,39 @@ def shadow_stream(
     )
     usage = app.select("user", F.col("app").alias("app_accessed"), F.col("ts").alias("time_of_app_access"))
     return _band_stream_join(
-        grants, usage, "user", "time_of_privilege_grant", "time_of_app_access", 0, window_sec, delay
+        grants, usage, "user", "time_of_privilege_grant", "time_of_app_access", 0, window_sec, delay, chunk_sec
     )
 
 
-def daily_count_stream(rows: DataFrame, *, delay: str = "1 hour") -> DataFrame:
-    """Events per user and day; a day is emitted once the watermark has passed its end."""
-    counted = _event_time(rows.select("user", "ts"), "ts", delay).groupBy(F.window("ts", "1 day"), "user").agg(
-        F.count("*").alias("n")
-    )
-    return counted.select(_clock("window.start").alias("day_start"), "user", "n")
+def count_days(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the events per user and day of ``rows`` in ``path``: each batch adds its own counts, however late its events."""
+    def write(batch: DataFrame, name: str) -> None:
+        write_days(batch.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("ts"), "user").agg(F.count("*").alias("n")), path, batch=name)
 
+    return in_batches(rows.select("user", "ts"), checkpoint, write)
 
-def session_stream(rows: DataFrame, *, gap: str = f"{SESSION_HOURS} hours", delay: str = "1 hour") -> DataFrame:
-    """Runs of a user's events without a pause of ``gap``; emitted once the watermark has passed them."""
-    grouped = _event_time(rows.select("user", "ts"), "ts", delay).groupBy(F.session_window("ts", gap), "user").agg(
-        F.count("*").alias("n")
-    )
-    return grouped.select(
-        "user", _clock("session_window.start").alias("session_start"),
-        _clock("session_window.end").alias("session_end"), "n",
-    )
+
+def read_day_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Events per user and day so far, days that are not over included. Events without a time count for day NULL."""
+    parts = spark.read.parquet(path)
+    return parts.groupBy(F.col("ts").alias("day_start"), "user").agg(F.sum("n").alias("n"))
+
+
+def collect_sessions(rows: DataFrame, path: str, checkpoint: str, *, gap: str = f"{SESSION_HOURS} hours") -> StreamingQuery:
+    """Keep runs of a user's events in ``path``: each batch adds the runs of its own events, which ``read_sessions`` joins."""
+    def write(batch: DataFrame, name: str) -> None:
+        runs = batch.where(F.col("ts").isNotNull()).groupBy(F.session_window("ts", gap).alias("w"), "user").agg(F.count("*").alias("n"))
+        write_days(runs.select("user", F.col("w.start").alias("ts"), F.col("w.end").alias("session_end"), "n"), path, batch=name)
+
+    return in_batches(rows.select("user", "ts"), checkpoint, write)
+
+
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """Runs of a user's events without a pause of the gap, so far: runs of batches that touch are one."""
+    by_user = Window.partitionBy("user").orderBy("ts", "session_end")
+    reached = F.max("session_end").over(by_user.rowsBetween(Window.unboundedPreceding, -1))
+    parts = spark.read.parquet(path).withColumn("new", F.coalesce(F.col("ts") > reached, F.lit(True)).cast("int"))
+    runs = parts.withColumn("run", F.sum("new").over(by_user.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("user", "run").agg(
+        F.min("ts").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("n").alias("n")
+    ).drop("run")

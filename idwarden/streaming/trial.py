@@ -1,7 +1,10 @@
 """Streaming jobs run to the end over the test tables, read back as batch results."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from idwarden.sources import Sources
 from idwarden.sources.events_view import messages_from_events, read_events, sources_from_events
@@ -21,20 +24,41 @@ def _finished(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 
+def _in_two_runs(spark: SparkSession, sf_dir: str, folder: str, start: Callable[[Sources], StreamingQuery]) -> None:
+    """Run a job twice: on the events of even ids, then, of the same days, on the others."""
+    events = read_events(spark, sf_dir)
+    for odd in (0, 1):
+        events.where(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{folder}/in")
+        start(sources_from_events(spark.readStream.schema(events.schema).parquet(f"{folder}/in"))).awaitTermination()
+
+
 def ingest_app_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON messages in a folder, streamed into day folders, read back without the bad-line column."""
+    """JSON messages of three deliveries, the second under older names and the third with broken lines; and how many those were."""
     folder = run_folder(spark, "ingest")
-    messages_from_events(read_events(spark, sf_dir), "app_usage").select("payload").write.text(f"{folder}/in")
-    rows = jobs.source_stream(spark, "app_usage", f"{folder}/in", fmt="json")
-    jobs.ingest(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    back = spark.read.parquet(f"{folder}/out")
+    payload = messages_from_events(read_events(spark, sf_dir), "app_usage").select("payload")
+    number = F.regexp_extract("payload", r'"usage_id":"u(\d+)"', 1).cast("long")
+    older = F.regexp_replace("payload", '"ts":', '"timestamp":')
+    broken = F.explode(F.when(number % 10 == 0, F.array("payload", F.lit("{broken"))).otherwise(F.array("payload")))
+    for third, shown in enumerate((F.col("payload"), older, F.explode(F.array("payload")))):
+        payload.where(number % 3 == third).select(shown.alias("value")).write.mode("append").text(f"{folder}/in")
+        if third == 2:
+            payload.select(broken.alias("value")).where("value = '{broken'").write.mode("append").text(f"{folder}/in")
+        rows = jobs.source_stream(spark, "app_usage", f"{folder}/in", fmt="json")
+        jobs.ingest(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    n_bad = spark.read.parquet(jobs.bad_lines(f"{folder}/out")).count()
+    back = spark.read.parquet(f"{folder}/out").drop("batch").withColumn("n_bad", F.lit(n_bad).cast("bigint"))
     return back.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
 
 
 def distinct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every directory event arrives twice and is kept once."""
-    directory = _streamed(spark, sf_dir).directory.unionByName(_streamed(spark, sf_dir).directory)
-    return _finished(spark, jobs.distinct_stream(directory, "event_id", delay="1 day"), "distinct")
+    """Directory events of even ids, then all of them: each is kept once, the late ones too."""
+    folder = run_folder(spark, "distinct")
+    directory = sources_from_events(read_events(spark, sf_dir)).directory
+    for part in (directory.where(F.substring("event_id", 2, 20).cast("long") % 2 == 0), directory):
+        part.write.mode("append").parquet(f"{folder}/in")
+        rows = jobs.source_stream(spark, "ad", f"{folder}/in", fmt="parquet", typed=True)
+        jobs.ingest(rows, f"{folder}/out", f"{folder}/checkpoint", event_id="event_id").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(*directory.columns)
 
 
 def bypass_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +73,12 @@ def shadow_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _finished(spark, jobs.daily_count_stream(_streamed(spark, sf_dir).directory), "daily")
+    folder = run_folder(spark, "daily")
+    _in_two_runs(spark, sf_dir, folder, lambda src: jobs.count_days(src.directory, f"{folder}/out", f"{folder}/checkpoint"))
+    return jobs.read_day_counts(spark, f"{folder}/out")
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _finished(spark, jobs.session_stream(_streamed(spark, sf_dir).app), "sessions")
+    folder = run_folder(spark, "sessions")
+    _in_two_runs(spark, sf_dir, folder, lambda src: jobs.collect_sessions(src.app, f"{folder}/out", f"{folder}/checkpoint"))
+    return jobs.read_sessions(spark, f"{folder}/out")

@@ -77,7 +77,39 @@ def test_warehouse_settings():
     args = job.settings(["--gcs_bucket", "b", "--source", "ad", "--bq_project", "p", "--bq_dataset", "d",
                          "--write_method", "indirect", "--temp_gcs_bucket", "tmp"])
     assert args.sink.fmt == "bigquery" and args.sink.options["table"] == "p:d.{table}"
-    assert args.sink.options["temporaryGcsBucket"] == "tmp" and args.run_id is None
+    assert args.sink.options["temporaryGcsBucket"] == "tmp" and args.run_id
+
+
+def test_settings_of_an_environment(tmp_path):
+    (tmp_path / "prod.json").write_text(json.dumps({"env": "prod", "root": "/lake", "bq_project": "p", "bq_dataset": "d", "write_method": "indirect"}))
+    (tmp_path / "all.json").write_text(json.dumps({"dev": {"root": "/a"}, "prod": {"root": "/b"}}))
+    args = job.settings(["--env", "prod", "--config", f"{tmp_path}/{{env}}.json", "--source", "ad"])
+    assert args.root == "/lake" and args.sink.options["writeMethod"] == "indirect"
+    assert job.settings(["--env", "prod", "--config", f"{tmp_path}/all.json", "--source", "ad"]).root == "/b"
+    with pytest.raises(ValueError):
+        job.settings(["--env", "dev", "--config", f"{tmp_path}/prod.json", "--source", "ad"])
+
+
+def test_ledger_reads_new_files_once(spark, tmp_path):
+    src = sources_from_events(read_events(spark, SMALL))
+    folder = str(tmp_path)
+    for key in SOURCE_KEYS:
+        write_source(src.get(key), folder, key)
+    argv = ["--root", folder, "--source", "hrlifecycle", "--only_affected", "--ledger", f"{folder}/ledger", "--run_id", "a"]
+    assert job.main(argv, spark) == 0
+    assert job.new_files(spark, folder, "hrlifecycle", f"{folder}/ledger") == []
+    write_source(src.hr, folder, "hrlifecycle")
+    assert len(job.new_files(spark, folder, "hrlifecycle", f"{folder}/ledger")) >= 1
+
+
+def test_a_table_is_one_write(spark, tmp_path):
+    """Without a test for emptiness before it: the rows are computed once."""
+    from idwarden.plans.sinks import write_table
+
+    seen = spark.sparkContext.accumulator(0)
+    once = spark.createDataFrame([(i,) for i in range(10)], "a long").rdd.map(lambda r: (seen.add(1), r)[1]).toDF("a long")
+    assert write_table(once, "t", path=str(tmp_path), run_id="r") == 10
+    assert seen.value == 10
 
 
 def test_bad_settings():

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from check import TABLES, rows_of
+from idwarden.plans.catalog import QUERIES
+from idwarden.plans.oracle import ORACLE as SQL
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
-STREAMED = {name for name in QUERIES if name.startswith(("s1", "s2", "s3", "s4", "s5"))}
+STREAMED = {name for name in QUERIES if name.startswith(("s1", "s2", "s3", "s4", "s5", "r2", "j1"))}
 
 
 @pytest.fixture(scope="module")

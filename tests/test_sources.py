@@ -124,7 +124,7 @@ def test_days_are_pruned(spark, make, tmp_path):
     day = 86400
     src = make(okta=[dict(req_id=f"l{i}", ts=at(i * day)) for i in range(4)])
     write_source(src.logins, str(tmp_path), "okta")
-    some = load_sources(spark, str(tmp_path), first_day="2025-10-07", last_day="2025-10-08").logins
+    some = load_sources(spark, str(tmp_path), days={"okta": ("2025-10-07", "2025-10-08")}).logins
     assert rows(some, "req_id") == [("l1",), ("l2",)]
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan

@@ -3,9 +3,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import at, rows
 
 from idwarden.operators.logins import mfa_bypass_all_apps
+from idwarden.plans.sinks import write_days
+from idwarden.sources.readers import read_parquet
 from idwarden.streaming import jobs
 from idwarden.streaming.folders import run_folder, shared_folder
 
@@ -26,16 +29,19 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     def run():
         stream = jobs.source_stream(spark, "okta", str(inbox), fmt="json")
         jobs.ingest(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-        return rows(spark.read.parquet(f"{tmp_path}/out"), "req_id", "session_id", "_raw")
+        return rows(spark.read.parquet(f"{tmp_path}/out"), "req_id", "session_id")
 
     put(inbox, "a.json", {"req_id": "l1", "ts": "2025-10-06 12:00:00", "session_id": ""}, "broken")
-    first = run()
-    assert first == sorted([("l1", None, None), (None, None, "broken")], key=repr)
-    assert run() == first
+    assert run() == [("l1", None)]
+    assert rows(spark.read.parquet(jobs.bad_lines(f"{tmp_path}/out")), "_raw") == [("broken",)]
+    assert run() == [("l1", None)]
     put(inbox, "late.json", {"req_id": "l2", "ts": "2025-10-01 12:00:00", "session_id": "s"})
-    assert run() == sorted([*first, ("l2", "s", None)], key=repr)
+    assert run() == [("l1", None), ("l2", "s")]
     days = {r.event_date for r in spark.read.parquet(f"{tmp_path}/out").select("event_date").collect()}
-    assert len(days) == 3  # two days, and the rows without a time
+    assert len(days) == 2
+    # What another job adds is read too.
+    write_days(spark.createDataFrame([("l3", None)], "req_id string, session_id string").withColumn("ts", F.to_timestamp_ntz(F.lit("2025-10-06 13:00:00"))), f"{tmp_path}/out")
+    assert rows(read_parquet(spark, "okta", f"{tmp_path}/out"), "req_id") == [("l1",), ("l2",), ("l3",)]
 
 
 def test_csv_stream(spark, tmp_path):
@@ -45,19 +51,43 @@ def test_csv_stream(spark, tmp_path):
     assert rows(drained(stream, tmp_path), "user", "termination_date", "location") == [("u", None, "UK")]
 
 
-def test_repeats_over_two_files(spark, tmp_path):
+def test_csv_with_another_header_stops(spark, tmp_path):
     inbox = tmp_path / "in"
-    event = {"event_id": "e1", "ts": "2025-10-06 12:00:00"}
-    put(inbox, "a.json", event, {"event_id": "e2", "ts": "2025-10-06 12:00:05"}, {"user": "no id"}, {"user": "no id"})
+    put(inbox, "ad.csv", "ts,event_id,user,group,action,initiator,ip,request_id", "2025-10-06 12:00:00,e1,u,g,add,i,ip,r")
+    with pytest.raises(Exception, match="(?i)header|STREAM_FAILED"):
+        drained(jobs.source_stream(spark, "ad", str(inbox), fmt="csv"), tmp_path)
+
+
+def test_older_names_stream_in(spark, tmp_path):
+    spark.createDataFrame([("l1", "2025-10-06 12:00:00", "FAILED")], "req_id string, timestamp string, login_status string").write.parquet(f"{tmp_path}/in")
+    out = drained(jobs.source_stream(spark, "okta", f"{tmp_path}/in", fmt="parquet"), tmp_path)
+    assert rows(out, "req_id", "ts", "status") == [("l1", at(0), "FAILED")]
+
+
+def test_repeats_over_three_runs(spark, tmp_path):
+    """A late event that is new is kept, whatever came before it."""
+    inbox = tmp_path / "in"
+    event = {"event_id": "e1", "ts": "2025-10-10 12:00:00"}
+    put(inbox, "a.json", event, {"event_id": "e2", "ts": "2025-10-10 12:00:05"}, event, {"user": "no id"}, {"user": "no id"})
 
     def run():
         stream = jobs.source_stream(spark, "ad", str(inbox), fmt="json", files_per_trigger=1)
-        return rows(drained(jobs.distinct_stream(stream, "event_id"), tmp_path), "event_id", "user")
+        jobs.ingest(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", event_id="event_id").awaitTermination()
+        return rows(spark.read.parquet(f"{tmp_path}/out"), "event_id")
 
     assert len(run()) == 4
-    put(inbox, "b.json", event, {"event_id": "e3", "ts": "2025-10-06 12:00:09"})
-    ids = [i for i, _ in run() if i]
-    assert ids == ["e1", "e2", "e3"]
+    put(inbox, "b.json", event, {"event_id": "e3", "ts": "2025-10-05 12:00:09"})
+    assert [i for i, in run() if i] == ["e1", "e2", "e3"]
+    put(inbox, "c.json", {"event_id": "e3", "ts": "2025-10-05 12:00:09"}, {"event_id": "e4", "ts": "2025-10-01 00:00:00"})
+    assert [i for i, in run() if i] == ["e1", "e2", "e3", "e4"]
+
+
+def test_a_batch_written_twice_counts_once(spark, tmp_path):
+    df = spark.createDataFrame([("e1",)], "event_id string").withColumn("ts", F.to_timestamp_ntz(F.lit("2025-10-06 13:00:00")))
+    for _ in range(2):
+        write_days(jobs._new_events(df, f"{tmp_path}/out", "event_id", "b-1"), f"{tmp_path}/out", batch="b-1")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    assert jobs._new_events(df, f"{tmp_path}/out", "event_id", "b-2").count() == 0
 
 
 def test_bypass_over_two_runs_equals_batch(spark, make, tmp_path):
@@ -102,11 +132,14 @@ def test_formats_are_checked(spark):
 
 
 def test_state_partitions_leave_the_session_as_it_was(spark, make, tmp_path):
-    make(ad=[dict(event_id="e1", ts=at(0))]).directory.write.parquet(f"{tmp_path}/in")
+    made = make(ad=[dict(event_id="e1", ts=at(0))], app_usage=[dict(usage_id="u1", ts=at(0))])
+    made.directory.write.parquet(f"{tmp_path}/in")
+    made.app.write.parquet(f"{tmp_path}/app")
     stream = spark.readStream.schema(make().directory.schema).parquet(f"{tmp_path}/in")
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    usage = spark.readStream.schema(make().app.schema).parquet(f"{tmp_path}/app")
     query = jobs.append_stream(
-        jobs.distinct_stream(stream, "event_id"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", state_partitions=3
+        jobs.shadow_stream(stream, make().requests, usage), f"{tmp_path}/out", f"{tmp_path}/checkpoint", state_partitions=3
     )
     query.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
