@@ -7,7 +7,7 @@ hashes. Equal sets are one node from the start, so copies cost one comparison in
 2. ``postings``: two sets that similar share one of the first quarter of their shingles, in any order that all texts share. The
    order is by the sketch, rare first, so a passage in a third of all texts comes last and forms no tile.
 3. Tiles: nodes that share such a shingle, in bands of size within which sizes differ by a quarter. In a tile, first each node is
-   compared with a band's pivot alone (that of most of its tiles); then, once components are known, nodes of different components and
+   compared with a few pivots alone (those of most of its tiles); then, once components are known, nodes of different components and
    neighbouring bands with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
    link between components is lost.
 4. Each pair is held against its bounds: the shingles that can still follow the shared one, and, by bitmap, the bits in which
@@ -34,7 +34,9 @@ WORDS = 5
 #: Bits of a signature, at least and at most; cells of the sketch, in blocks that are summed apart.
 LEAST_BITS, MOST_BITS, CELLS, BLOCK = 512, 1 << 20, 1 << 18, 1 << 10
 #: Pairs of a tile that are looked at together; pairs of one node that are intersected in one place.
-PAIRS, PLACE_PAIRS = 1 << 20, 2000
+PAIRS, PLACE_PAIRS = 1 << 20, 500
+#: Pivots that a node is compared with in the first round; the second round misses none, whatever their number.
+PIVOTS = 4
 #: Leading bytes of the hashes of a set that travel to where it is intersected: two shingles of a pair share them once in 2 ** 48.
 KEPT_BYTES = 6
 U64 = np.uint64
@@ -264,7 +266,7 @@ def cross_pairs(shared: DataFrame) -> DataFrame:
 
 
 def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = False) -> DataFrame:
-    """The pairs (a, b; of ``best``, for each b that of most tiles, n) that are similar.
+    """The pairs (a, b) that are similar; with ``best``, of each b's pairs only those of most tiles (n) are looked at.
 
     nodes: node, n, signature and the row (__id, __text) that holds the set.
     """
@@ -281,7 +283,8 @@ def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = Fals
 
     left = save(both.mapInArrow(bounded, "a long, b long, n long"), "pairs")
     if best:
-        left = save(left.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b"), "pairs")
+        ranked = left.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), asc=False), 1, PIVOTS).alias("best"))
+        left = save(ranked.select(F.explode("best").alias("best"), "b").select("best.a", "b"), "pairs")
     # The sets of a's pairs meet at a; a busy a has several places, each with its set and a part of the others.
     places = left.groupBy("a").agg(F.ceil(F.count("*") / PLACE_PAIRS).alias("places"))
     others = left.join(small(save(places, "places")), "a").select(
@@ -352,7 +355,7 @@ def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
         ).select("node", "n", "signature", "least", "row.*"), "nodes",
     )
     tiles = save(star_pairs(postings(rows, classes).repartition(partitions, "token")), "tiles")
-    # A node is held against the pivot with which it shares most tiles; whatever that leaves apart is the second round's.
+    # A node is held against the pivots with which it shares most tiles; whatever that leaves apart is the second round's.
     first = links(tiles.where("token IS NULL").select("a", "b", "n"), nodes, rows, best=True)
     known = save(components(first), "components")
     shared = tiles.where("token IS NOT NULL").select("token", F.col("a").alias("node"), F.col("b").alias("at"))
