@@ -6,6 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Freed batches go back to the system, so that idle Python workers stay small.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 1 << 20
 
@@ -88,8 +91,10 @@ class Texts:
     """Rows of a string column as one byte array. NULL counts as empty."""
 
     def __init__(self, column: pa.Array):
-        column = pc.fill_null(column.cast(pa.large_string()), "")
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        if column.null_count:
+            column = pc.fill_null(column, "")
+        wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+        offsets = np.frombuffer(column.buffers()[1] or bytes(8), np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
         data = column.buffers()[2]
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         self.offsets = offsets - offsets[0]

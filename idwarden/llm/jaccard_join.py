@@ -7,8 +7,8 @@ hashes. Equal sets are one node from the start, so copies cost one comparison in
 2. ``postings``: two sets that similar share one of the first quarter of their shingles, in any order that all texts share. The
    order is by the sketch, rare first, so a passage in a third of all texts comes last and forms no tile.
 3. Tiles: nodes that share such a shingle, in bands of size within which sizes differ by a quarter. In a tile, first each node is
-   compared with a few pivots alone (those of most of its tiles); then, once components are known, nodes of different components and
-   neighbouring bands with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
+   compared with a few pivots alone (those of most of its tiles); then, once components are known, with one node of each larger component;
+   at last all nodes of different components with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
    link between components is lost.
 4. Each pair is held against its bounds: the shingles that can still follow the shared one, and, by bitmap, the bits in which
    the signatures differ (no fewer shingles differ; a bit is the parity of its shingles, and there are as many bits as shingles). What is left is decided by exact intersection of the sorted arrays.
@@ -218,11 +218,18 @@ def star_pairs(shared: DataFrame) -> DataFrame:
         band = band_of(size)
         order = np.lexsort((node, band, token))
         begins = run_starts(token[order], band[order])
-        pivot = np.empty(len(token), np.int64)
-        pivot[order] = np.repeat(order[begins], np.diff(np.append(begins, len(order))))
-        i = np.arange(len(token))
-        good = (node != node[pivot]) & _possible(size, place, i, pivot)
-        (a, b), n = np.unique(np.stack([node[pivot[good]], node[good]]), axis=1, return_counts=True)
+        first = order[begins]
+        # The pivot of the band below as well, so that groups of both bands become one.
+        below = np.arange(len(begins)) - 1
+        below = np.where((below >= 0) & (token[first[below]] == token[first]) & (band[first[below]] + 1 == band[first]), below, np.arange(len(begins)))
+        mine, other = [], []
+        for group in (np.arange(len(begins)), below):
+            pivot = np.empty(len(token), np.int64)
+            pivot[order] = np.repeat(first[group], np.diff(np.append(begins, len(order))))
+            good = np.flatnonzero((node != node[pivot]) & _possible(size, place, np.arange(len(token)), pivot))
+            mine.append(node[good])
+            other.append(node[pivot[good]])
+        (a, b), n = np.unique(np.stack([np.concatenate(other), np.concatenate(mine)]), axis=1, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.array(n)], names=["token", "a", "b", "n"])
         for at in range(0, len(token), 1 << 18):
             part = slice(at, at + (1 << 18))
@@ -232,8 +239,9 @@ def star_pairs(shared: DataFrame) -> DataFrame:
     return shared.mapInArrow(run, "token long, a long, b long, n long")
 
 
-def cross_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components in a tile. shared: token, node, at, component."""
+def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
+    """Pairs of nodes of different components in a tile; with ``some``, of each node and one node, by hash, of each larger component of
+    several nodes. shared: token, node, at, component."""
     def run(batches):
         found = _tiles(batches)
         if found is None or not len(found[0]):
@@ -250,7 +258,11 @@ def cross_pairs(shared: DataFrame) -> DataFrame:
         token, node, size, place, group = token[by], node[by], size[by], place[by], group[by]
         ends = np.searchsorted(token, token, "right")
         runs = run_starts(token, group)
-        after = np.repeat(np.append(runs[1:], len(token)), np.diff(np.append(runs, len(token))))  # the next component
+        lengths = np.diff(np.append(runs, len(token)))
+        after = np.repeat(np.append(runs[1:], len(token)), lengths)  # the next component
+        if some:  # runs, not nodes: those after the node's own, of several nodes
+            after = np.maximum(np.repeat(np.arange(1, len(runs) + 1), lengths), np.searchsorted(runs, _first_long(runs, lengths, token)))
+            ends = np.searchsorted(runs, ends)
         counts = np.maximum(ends - after, 0)
         sums = starts_of(counts)
         at = 0
@@ -258,6 +270,8 @@ def cross_pairs(shared: DataFrame) -> DataFrame:
             to = max(int(np.searchsorted(sums, sums[at] + PAIRS, "right")) - 1, at + 1)
             i, j = np.repeat(np.arange(at, to), counts[at:to]), ranges(after[at:to], counts[at:to])
             at = to
+            if some:
+                j = runs[j] + (mix(token[i].view(U64) ^ node[i].view(U64)) % lengths[j].astype(U64)).astype(np.int64)
             good = _possible(size, place, i, j)
             a, b = _pairs(node[i[good]], node[j[good]])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), np.int64))], names=["a", "b", "n"])
@@ -265,6 +279,14 @@ def cross_pairs(shared: DataFrame) -> DataFrame:
     return shared.mapInArrow(run, "a long, b long, n long")
 
 
+def _first_long(runs: np.ndarray, lengths: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """For each entry, where the first run of several entries begins in its tile (runs of a tile grow), or the tile's end."""
+    tiles = run_starts(token)
+    ends = np.append(tiles[1:], len(token))
+    long = np.append(runs[lengths > 1], len(token))
+    return np.repeat(np.minimum(long[np.searchsorted(long, tiles)], ends), ends - tiles)
+
+
 def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = False) -> DataFrame:
     """The pairs (a, b) that are similar; with ``best``, of each b's pairs only those of most tiles (n) are looked at.
 
@@ -359,10 +381,11 @@ def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
     first = links(tiles.where("token IS NULL").select("a", "b", "n"), nodes, rows, best=True)
     known = save(components(first), "components")
     shared = tiles.where("token IS NOT NULL").select("token", F.col("a").alias("node"), F.col("b").alias("at"))
-    shared = shared.join(small(known), "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component"))
-    second = links(cross_pairs(shared.repartition(partitions, "token")), nodes, rows)
-    member = save(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)), "components")
-    named = nodes.join(member, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    for some in (True, False):
+        dealt = shared.join(small(known), "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component"))
+        more = links(cross_pairs(dealt.repartition(partitions, "token"), some), nodes, rows)
+        known = save(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
+    named = nodes.join(known, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = save(named.join(smallest, "component").select("node", "component", "component_id"), "names")
     doc_id = F.when(F.col("__id") > -(2**63), F.col("__id"))

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, binaries, binary_values, ranges, starts_of, window_hashes, with_columns
 from idwarden.llm.passing import packed, unpacked, widened
-from idwarden.llm.repeats import Kind, covered_spans, keyed
+from idwarden.llm.repeats import PIECE_BYTES, Kind, covered_spans, keyed
 from idwarden.llm.repetition import suffix_ranks
 from idwarden.llm.store import small
 
@@ -164,7 +164,7 @@ def remove(docs: DataFrame) -> DataFrame:
             texts = Texts(batch.column("text"))
             pairs, counts = binary_values(batch.column("marks"), "<i8")
             pairs, counts = pairs.reshape(-1, 2), starts_of(counts // 2)
-            for first, end in texts.slices():
+            for first, end in texts.slices(PIECE_BYTES):
                 words = Words(texts.piece(first, end))
                 some = pairs[counts[first]:counts[end]]
                 row = np.repeat(np.arange(end - first), np.diff(counts[first:end + 1]))
