@@ -124,23 +124,40 @@ def flagged(docs: DataFrame, kind: Kind) -> DataFrame:
             return
         table = pa.Table.from_batches(kept)
         done = table.filter(pc.is_null(table.column("keys"))).combine_chunks()
-        for b in done.to_batches():
-            yield from marks_of(*_entries(b)[1:])
+        found = [_entries(b)[1:] for b in done.to_batches()]
         rest = table.filter(pc.is_valid(table.column("keys"))).combine_chunks().to_batches()
-        if not rest:
+        if rest:
+            keys, ids, texts, order = (np.concatenate(x) for x in zip(*map(_entries, rest)))
+            by = np.argsort(keys, kind="stable")
+            begins = run_starts(keys[by])
+            shared = np.minimum.reduceat(ids[by], begins) != np.maximum.reduceat(ids[by], begins)
+            held = np.empty(len(keys), bool)
+            held[by] = np.repeat(shared, np.diff(np.append(begins, len(by))))
+            held &= order != _NO_REPLY
+            found.append((ids[held], texts[held], order[held]))
+        ids, texts, order = (np.concatenate(x) for x in zip(*found))
+        home = (mix(ids.view(np.uint64) ^ mix(texts.view(np.uint64))) % np.uint64(partitions)).astype(np.int64)
+        yield blobs(home, ids, texts, order)
+
+    def gather(batches):
+        kept = [_entries(b)[1:] for b in batches if b.num_rows]
+        if not kept:
             return
-        keys, ids, texts, order = (np.concatenate(x) for x in zip(*map(_entries, rest)))
-        by = np.argsort(keys, kind="stable")
-        begins = run_starts(keys[by])
-        shared = np.minimum.reduceat(ids[by], begins) != np.maximum.reduceat(ids[by], begins)
-        held = np.empty(len(keys), bool)
-        held[by] = np.repeat(shared, np.diff(np.append(begins, len(by))))
-        held &= order != _NO_REPLY
-        yield from marks_of(ids[held], texts[held], order[held])
-
-    packed = docs.mapInArrow(pack, "bucket int, ids binary, texts binary, counts binary, orders binary, keys binary")
-    matched = packed.repartitionById(partitions, "bucket").mapInArrow(match, "__id long, __text long, orders binary")
-    return merged(matched, "orders", "<u4")
+        ids, texts, order = (np.concatenate(x) for x in zip(*kept))
+        by = np.lexsort((order, texts, ids))
+        ids, texts, order = ids[by], texts[by], order[by].astype(np.int64)
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1]) | (order[1:] > order[:-1] + 1)
+        at = np.flatnonzero(new)
+        pairs = np.stack([order[at], order[np.append(at[1:], len(ids)) - 1] + 1], axis=1).astype("<u4")
+        ids, texts = ids[at], texts[at]
+        rows = run_starts(ids, texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[rows]), pa.array(texts[rows]), binaries(pairs, 8 * np.append(rows, len(ids)))], names=["__id", "__text", "marks"])
+
+    kind_of = "bucket int, ids binary, texts binary, counts binary, orders binary, keys binary"
+    matched = docs.mapInArrow(pack, kind_of).repartitionById(partitions, "bucket").mapInArrow(match, kind_of)
+    return matched.repartitionById(partitions, "bucket").mapInArrow(gather, "__id long, __text long, marks binary")
 
 
 def packed_rows(ids, texts, keys, row, order, partitions):
@@ -158,26 +175,27 @@ def packed_rows(ids, texts, keys, row, order, partitions):
     # Anchors are small hashes: they are mixed again, so that all ranges are alike.
     bucket = ((mix(keys) >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
 
-    def rows_of(which, where, reply, with_keys):
-        sort = np.lexsort((order[which], row[which], where))
-        where, r, o, k = where[sort], row[which][sort], reply[sort], keys[which][sort]
-        docs = run_starts(where, r)
-        counts = np.diff(np.append(docs, len(r))).astype("<u4")
-        parts = run_starts(where[docs])
-        ends = np.append(parts, len(docs))
-        entry = np.append(docs, len(r))[ends]
-        return pa.RecordBatch.from_arrays([
-            pa.array(where[docs][parts].astype(np.int32)),
-            binaries(ids[r[docs]], 8 * ends), binaries(texts[r[docs]], 8 * ends), binaries(counts, 4 * ends),
-            binaries(o.astype("<u4"), 4 * entry),
-            binaries(k, 8 * entry) if with_keys else pa.nulls(len(parts), pa.binary()),
-        ], names=["bucket", "ids", "texts", "counts", "orders", "keys"])
-
     which = np.flatnonzero(sent)
-    yield rows_of(which, bucket[which], np.where(local[which], _NO_REPLY, order[which]), True)
+    yield blobs(bucket[which], ids[row[which]], texts[row[which]], np.where(local[which], _NO_REPLY, order[which]), keys[which])
     which = np.flatnonzero(local)
     if len(which):
-        yield rows_of(which, texts[row[which]].astype(np.uint64) % np.uint64(partitions), order[which], False)
+        yield blobs(bucket[which], ids[row[which]], texts[row[which]], order[which])
+
+
+def blobs(bucket, ids, texts, order, keys=None) -> pa.RecordBatch:
+    """Entries as one row for each bucket: its texts, the number of entries of each, and their ordinals and keys."""
+    by = np.lexsort((order, texts, ids, bucket))
+    bucket, ids, texts, order = bucket[by], ids[by], texts[by], order[by]
+    docs = run_starts(bucket, ids, texts)
+    counts = np.diff(np.append(docs, len(by))).astype("<u4")
+    parts = run_starts(bucket[docs])
+    ends = np.append(parts, len(docs))
+    entry = np.append(docs, len(by))[ends]
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[docs][parts].astype(np.int32)),
+        binaries(ids[docs], 8 * ends), binaries(texts[docs], 8 * ends), binaries(counts, 4 * ends), binaries(order.astype("<u4"), 4 * entry),
+        binaries(keys[by], 8 * entry) if keys is not None else pa.nulls(len(parts), pa.binary()),
+    ], names=["bucket", "ids", "texts", "counts", "orders", "keys"])
 
 
 def _entries(batch: pa.RecordBatch):
@@ -190,40 +208,23 @@ def _entries(batch: pa.RecordBatch):
     return keys, np.repeat(ids, counts), np.repeat(texts, counts), order
 
 
-def marks_of(ids, texts, order):
-    """Rows of __id, __text and the ordinals of each."""
-    if not len(ids):
-        return
-    by = np.lexsort((order, texts, ids))
-    ids, texts, order = ids[by], texts[by], order[by]
-    at = run_starts(ids, texts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(ids[at]), pa.array(texts[at]), binaries(order.astype("<u4"), 4 * np.append(at, len(ids)))],
-        names=["__id", "__text", "orders"],
-    )
-
-
-def merged(rows: DataFrame, column: str, kind: str) -> DataFrame:
-    """One row for each __id and __text: all values of ``column`` as sorted, disjoint ranges of the same type, in ``marks``.
-
-    "<u4": single places; "<i8": pairs of first and end.
-    """
+def merged(rows: DataFrame) -> DataFrame:
+    """One row for each __id and __text: all pairs (int64: first, end) of ``spans``, sorted and disjoint, in ``marks``."""
     def run(batches):
         for batch in batches:
             out = []
-            for blobs in batch.column("parts").to_pylist():
-                values = np.frombuffer(b"".join(blobs), kind)
-                first, end = (values, values + 1) if kind == "<u4" else (values[::2], values[1::2])
-                by = np.argsort(first, kind="stable")
-                first, end = first[by], np.maximum.accumulate(end[by])
+            for blobs_of in batch.column("parts").to_pylist():
+                values = np.frombuffer(b"".join(blobs_of), "<i8")
+                by = np.argsort(values[::2], kind="stable")
+                first, end = values[::2][by], np.maximum.accumulate(values[1::2][by])
                 new = np.ones(len(first), bool)
                 new[1:] = first[1:] > end[:-1]
                 at = np.flatnonzero(new)
                 last = np.append(at[1:], len(first)) - 1
-                out.append(np.stack([first[at], end[last]], axis=1).astype(kind).tobytes())
+                out.append(np.stack([first[at], end[last]], axis=1).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__text"), pa.array(out, pa.binary())], names=["__id", "__text", "marks"])
 
-    return rows.groupBy("__id", "__text").agg(F.collect_list(column).alias("parts")).mapInArrow(run, "__id long, __text long, marks binary")
+    return rows.groupBy("__id", "__text").agg(F.collect_list("spans").alias("parts")).mapInArrow(run, "__id long, __text long, marks binary")
 
 
 def contexts(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
@@ -286,7 +287,7 @@ def spans(found: DataFrame, kind: Kind) -> DataFrame:
             yield from covers_of(*covered_windows(part, kind))
 
     shuffled = found.repartition(shuffle_partitions(found.sparkSession), "key")
-    return merged(shuffled.mapInArrow(run, "__id long, __text long, spans binary"), "spans", "<i8")
+    return merged(shuffled.mapInArrow(run, "__id long, __text long, spans binary"))
 
 
 def covered_windows(part: pa.Table, kind: Kind):
