@@ -29,7 +29,7 @@ from idwarden.llm.arrays import Texts, binaries, binary_values, ranges, starts_o
 from idwarden.llm.passing import packed, unpacked, widened
 
 #: Text worked on at once, and the size of a task's table of words at which it starts anew.
-SLICE_BYTES, TABLE_WORDS, TABLE_BYTES = 4 << 20, 1_000_000, 32 << 20
+SLICE_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 20, 200_000, 8 << 20
 
 
 class Ranks:
