@@ -3,8 +3,10 @@
 A rule is a host and a path prefix; it fits the host and its subdomains, and the longest rule that fits wins. Every
 other url gets the verdict of its host. The shares of a host's pages that rules allow and block make it a seed: trust flows from
 the allowed along the links between hosts (personalised PageRank), distrust from the blocked against them, so that hosts
-that link to blocked ones lose standing; a host passes distrust on as far as its own pages are not allowed. A host is
-blocked if it receives ``BLOCK_FROM`` of distrust or more, and more than trust; what its own pages are does not count.
+that link to blocked ones lose standing; a host passes distrust on as far as its own pages are not allowed. Distrust is taken
+twice: split among all who link to a host, and by the share of a linker's own links, which does not shrink with their number;
+the larger counts. A host is blocked if it has ``BLOCK_FROM`` of distrust or more, and more than trust. The share of its own pages
+that rules decide alike counts as well, if it is over ``MOSTLY``.
 
 Only DataFrame functions: links are taken from href and src attributes, counted per pair of hosts before they are
 shuffled. Ranks are written to the shared folder every few rounds.
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from idwarden.llm.store import save, small
 
 DAMPING, ROUNDS, ROUNDS_A_FILE, BLOCK_FROM = 0.85, 20, 5, 0.02
+MOSTLY = 0.5
 
 #: Attributes whose value is a link.
 LINK = r"(?i)(?:href|src)\s*=\s*[\"']?([^\"'\s>]+)"
@@ -90,9 +93,9 @@ def seeds(judged: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, start: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """host and the trust and distrust it receives after ``rounds`` of personalised PageRank.
+    """host, the trust and distrust it receives after ``rounds`` of personalised PageRank, and its allowed and blocked shares.
 
-    edges: source, target, n; start: host, allowed, blocked.
+    edges: source, target, n; start: host, allowed, blocked. ``leads`` is distrust by the share of a host's own links.
     """
     linked = edges.select(F.explode(F.array("source", "target")).alias("host")).distinct()
     others = linked.join(start, "host", "left_anti").select("host", F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"))
@@ -101,30 +104,33 @@ def propagate(edges: DataFrame, start: DataFrame, rounds: int = ROUNDS) -> DataF
     into = edges.groupBy("target").agg(F.sum("n").alias("in"))
     weighted = edges.join(out, "source").join(into, "target")
     along = weighted.select(
-        F.col("source").alias("host"), F.col("target").alias("to"), (F.col("n") / F.col("out")).alias("along"), F.lit(0.0).alias("against"))
+        F.col("source").alias("host"), F.col("target").alias("to"), (F.col("n") / F.col("out")).alias("along"), F.lit(0.0).alias("against"), F.lit(0.0).alias("leading"))
     against = weighted.select(
-        F.col("target").alias("host"), F.col("source").alias("to"), F.lit(0.0).alias("along"), (F.col("n") / F.col("in")).alias("against"))
+        F.col("target").alias("host"), F.col("source").alias("to"), F.lit(0.0).alias("along"), (F.col("n") / F.col("in")).alias("against"), (F.col("n") / F.col("out")).alias("leading"))
     step = small(save(along.unionByName(against), "host-steps"))
     trust = lambda got: F.lit(1 - DAMPING) * F.col("allowed") + got
     distrust = lambda got: (1 - F.col("allowed")) * (F.lit(1 - DAMPING) * F.col("blocked") + got)
-    ranks = hosts.select("host", trust(F.lit(0.0)).alias("trust"), distrust(F.lit(0.0)).alias("distrust"))
+    ranks = hosts.select("host", trust(F.lit(0.0)).alias("trust"), distrust(F.lit(0.0)).alias("distrust"), distrust(F.lit(0.0)).alias("leads"))
     for k in range(1, rounds + 1):
         moved = ranks.join(step, "host").groupBy(F.col("to").alias("host")).agg(
-            (DAMPING * F.sum(F.col("trust") * F.col("along"))).alias("t"), (DAMPING * F.sum(F.col("distrust") * F.col("against"))).alias("d"))
-        got = hosts.join(moved, "host", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("t", "d")})
+            (DAMPING * F.sum(F.col("trust") * F.col("along"))).alias("t"), (DAMPING * F.sum(F.col("distrust") * F.col("against"))).alias("d"),
+            (DAMPING * F.sum(F.col("leads") * F.col("leading"))).alias("l"))
+        got = hosts.join(moved, "host", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("t", "d", "l")})
         if k == rounds:
-            return save(got.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust")), "host-ranks")
-        ranks = got.select("host", trust(F.col("t")).alias("trust"), distrust(F.col("d")).alias("distrust"))
+            return save(got.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"), F.col("l").alias("leads"), "allowed", "blocked"), "host-ranks")
+        ranks = got.select("host", trust(F.col("t")).alias("trust"), distrust(F.col("d")).alias("distrust"), distrust(F.col("l")).alias("leads"))
         if k % ROUNDS_A_FILE == 0:
             ranks = save(ranks, "host-ranks")
-    return hosts.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))
+    return hosts.select("host", *(F.lit(0.0).alias(c) for c in ("trust", "distrust", "leads")), "allowed", "blocked")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], block_from: float = BLOCK_FROM) -> DataFrame:
     """page_id, host, path, rule and verdict of each row of ``pages`` (page_id, url, html)."""
     judged = parsed(pages, rules)
     ranks = propagate(save(links(pages), "host-links"), seeds(judged))
-    blocked = (F.col("distrust") >= block_from) & (F.col("distrust") > F.col("trust"))
+    own = lambda share: F.when(F.col(share) > MOSTLY, F.lit(1 - DAMPING) * F.col(share)).otherwise(0.0)
+    trust, distrust = F.col("trust") + own("allowed"), F.greatest("distrust", "leads") + own("blocked")
+    blocked = (distrust >= block_from) & (distrust > trust)
     verdicts = ranks.select("host", F.when(blocked, "block").otherwise("allow").alias("host_verdict"))
     return judged.join(small(verdicts), "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "host_verdict", F.lit("allow")).alias("verdict"),

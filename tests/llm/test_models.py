@@ -204,6 +204,17 @@ def test_urls_and_links(spark):
     assert url_filter.judge(frame.limit(0), RULES).collect() == []
 
 
+def test_busy_and_lonely_blocked_hosts(spark):
+    """20 linkers of one blocked host; mostly blocked hosts without links; a host with few links to a blocked one."""
+    pages = [(0, "http://hub.net/es/", None), *((1 + i, f"http://l{i}.org/", '<a href="http://hub.net/es/">') for i in range(20))]
+    pages += [(30, "http://lone.net/es/1", ""), (31, "http://lone.net/fr/2", ""), (32, "http://lone.net/de/", "")]
+    pages += [(40, "http://half.net/es/1", ""), (41, "http://half.net/de/", "")]
+    pages += [(50, "http://wide.org/", '<a href="http://hub.net/es/">' + "".join(f'<a href="http://o{i}.org/">' for i in range(30)))]
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+    assert [found[1 + i] for i in range(20)] == ["block"] * 20
+    assert [found[k] for k in (30, 31, 32, 40, 41, 50)] == ["block", "block", "block", "block", "allow", "allow"]
+
+
 def test_ranks_like_power_iteration(spark):
     rng = random.Random(6)
     hosts = [f"h{i}" for i in range(12)]
