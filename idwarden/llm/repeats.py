@@ -131,6 +131,7 @@ def flagged(docs: DataFrame, kind: Kind) -> DataFrame:
             by = np.argsort(keys, kind="stable")
             begins = run_starts(keys[by])
             shared = np.minimum.reduceat(ids[by], begins) != np.maximum.reduceat(ids[by], begins)
+            shared |= np.logical_or.reduceat(order[by] == _NO_REPLY, begins)  # such an entry stands for two ids
             held = np.empty(len(keys), bool)
             held[by] = np.repeat(shared, np.diff(np.append(begins, len(by))))
             held &= order != _NO_REPLY

@@ -28,6 +28,17 @@ def test_suffix_dedup(frame, corpus):
     assert got(suffix_dedup.digests(frame)) == brute.suffix_rows(corpus)
 
 
+def test_passage_of_two_ids_of_a_task_in_a_repeated_id(spark):
+    """Ids 2 and 1 share a passage in one task, of which 2 comes first; another text of id 2 holds it in another task."""
+    passage = " ".join(f"p{i}" for i in range(70))
+    texts = [" ".join(f"{c}{i}" for i in range(20)) + f" {passage} " + " ".join(f"{c}{i}" for i in range(20, 40)) for c in "abc"]
+    docs = [(2, texts[0]), (2, texts[1]), (1, texts[2])]
+    some = spark.createDataFrame(spark.sparkContext.parallelize(docs, 2), "doc_id long, text string")
+    assert some.rdd.glom().map(len).collect() == [1, 2]
+    assert got(substring_dedup.digests(some)) == brute.substring_rows(docs)
+    assert got(suffix_dedup.digests(some)) == brute.suffix_rows(docs)
+
+
 def test_repetition(frame, corpus):
     some = [(d, t) for d, t in corpus if len(t or "") < 5000]
     want = sorted((brute.repetition_row(d, t) for d, t in some), key=repr)
