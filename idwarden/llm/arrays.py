@@ -123,11 +123,14 @@ class Words:
     """The words of texts: byte ranges, the row of each, and offsets of rows into the words."""
 
     def __init__(self, texts: Texts, space: np.ndarray = SPACE):
-        space = space[texts.data]
+        self.split(texts, space[texts.data], texts.offsets)
+
+    def split(self, texts: Texts, space: np.ndarray, borders: np.ndarray):
+        """Words end at each byte of ``space``, and at ``borders``."""
         word = ~space
         before = np.ones(len(word), bool)
         before[1:] = space[:-1]
-        inner = texts.offsets[(texts.offsets > 0) & (texts.offsets < len(word))]
+        inner = borders[(borders > 0) & (borders < len(word))]
         before[inner] = True
         self.data = texts.data
         self.starts = np.flatnonzero(word & before)

@@ -1,7 +1,8 @@
 """Benchmark items in texts, by CGK embedding and bit-sampling LSH over item-sized windows.
 
 A text holds an item if some of its words form the item within ``EDITS`` of its length in word insertions, deletions and
-replacements. Words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased.
+replacements. Words are runs of letters, digits and characters beyond ASCII, without punctuation and spaces, A-Z lower-cased; in
+scripts that put no spaces between words (``SINGLE``), each character is a word.
 
 1. Items are put in classes of like length. A window of a class that holds an item within the edits still holds a number of its
    word pairs, so windows with fewer word pairs of any item are passed over; no window that counts is lost by that.
@@ -9,16 +10,21 @@ replacements. Words are runs of letters, digits and bytes beyond ASCII, A-Z lowe
    word and step says whether to move on. Few edits leave most places alike.
 3. Each repetition samples ``SAMPLED`` places of a walk as a key; windows and items with equal keys are candidates. The number of
    repetitions follows from ``RECALL`` and the share of places that stay alike at the edit bound.
-4. Candidates that hold enough of the item's own word pairs are decided by the exact edit distance, with free ends in the text.
+4. Items of fewer than ``LEAST_WORDS`` words are found exactly: up to three words allow no edit, and are looked up by the hash of
+   their words; four words within one edit keep a word pair, by which they are looked up.
+5. Candidates that hold enough of the item's own word pairs are decided by the exact edit distance, with free ends in the text.
 
 Items are read in blocks of ``ITEM_BYTES``, each sent to all tasks; texts are read once a block and never shuffled. NULL and empty
-texts hold nothing; NULL items and items of fewer than ``LEAST_WORDS`` words are never found. Repeated rows give repeated results.
+texts hold nothing; NULL items and items without words are never found. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+import sys
+import unicodedata
+from functools import cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from idwarden.llm.arrays import Texts, Words, join_hashes, ranges, starts_of
+from idwarden.llm.arrays import Texts, Words, join_hashes, ranges, run_starts, starts_of, window_hashes
 from idwarden.llm.toxicity import APART
 
 EDITS, RECALL, SAMPLED, WALKS, LEAST_WORDS = 0.25, 0.99, 2, 8, 5
@@ -36,14 +42,49 @@ ALIKE = 0.35
 ITEM_BYTES, PAIR_BITS = 16 << 20, 22
 #: Ratio of lengths within a class.
 CLASS = 1.15
+#: Code points of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+SINGLE = (
+    (0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3040, 0x3130), (0x31A0, 0x31C0), (0x31F0, 0x3200),
+    (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1B000, 0x1B170), (0x20000, 0x40000),
+)
 
 
 def edits_for(n):
     return (n * EDITS).astype(np.int64) if isinstance(n, np.ndarray) else int(n * EDITS)
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """For each code point: 0 within a word, 1 a word of its own, 2 between words."""
+    kinds = np.zeros(sys.maxunicode + 1, np.uint8)
+    for low, high in SINGLE:
+        kinds[low:high] = 1
+    # There are none beyond the first two planes.
+    kinds[[c for c in range(0x80, 0x20000) if unicodedata.category(chr(c))[0] in "PZ"]] = 2
+    return kinds
+
+
+class ItemWords(Words):
+    def __init__(self, texts: Texts):
+        data = texts.data
+        space, borders = APART[data], texts.offsets
+        at = np.flatnonzero(data >= 0xC0)
+        if len(at):
+            lead = data[at].astype(np.int64)
+            size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+            code = lead & (0x7F >> size)
+            for k in range(1, 4):
+                more = size > k
+                code[more] = code[more] << 6 | (data[at[more] + k] & 0x3F)
+            kind = _kinds()[code]
+            space[ranges(at[kind == 2], size[kind == 2])] = True
+            one = kind == 1
+            borders = np.unique(np.concatenate([borders, at[one], at[one] + size[one]]))
+        self.split(texts, space, borders)
+
+
 def words_of(texts: Texts) -> tuple[Words, np.ndarray]:
-    words = Words(texts, APART)
+    words = ItemWords(texts)
     return words, words.hashes(lower=True)
 
 
@@ -102,11 +143,35 @@ class Items:
             for item in members[k]:
                 at = (self.pairs_of(item) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
                 self.pairs[at] |= np.uint32(1 << place % 32)
+        #: By number of words: sorted hashes of the words of shorter items (of pairs, for four words), the item and the place of each.
+        self.short = {}
+        for n in range(1, LEAST_WORDS):
+            some = np.flatnonzero(lengths == n)
+            span = n - 2 * int(edits_for(n))
+            if len(some):
+                keys = np.stack([window_hashes(self.hashes[a:a + n], span) for a in self.offsets[some]])
+                order = np.argsort(keys, axis=None, kind="stable")
+                self.short[n] = span, keys.ravel()[order], some[order // keys.shape[1]], order % keys.shape[1]
 
     def pairs_of(self, item: int) -> np.ndarray:
         own = self.hashes[self.offsets[item]:self.offsets[item + 1]]
         return join_hashes(own[:-1], own[1:])
 
+    def short_candidates(self, words: Words, hashes: np.ndarray):
+        """As ``candidates``, for items of fewer than ``LEAST_WORDS`` words; none is missed."""
+        for n, (span, known, items, places) in self.short.items():
+            keys = window_hashes(hashes, span)
+            keys_at = np.flatnonzero(words.rows[:len(keys)] == words.rows[span - 1:]) if len(keys) else np.zeros(0, np.int64)
+            low, high = np.searchsorted(known, keys[keys_at]), np.searchsorted(known, keys[keys_at], "right")
+            which = ranges(low, high - low)
+            at = np.repeat(keys_at, high - low)
+            found = np.stack([items[which], np.maximum(at - places[which], words.offsets[words.rows[at]])])
+            if edits_for(n):
+                yield np.unique(found, axis=1)
+            else:  # the first of a row is the best
+                by = np.lexsort((found[1], found[0], words.rows[at]))
+                yield found[:, by[run_starts(words.rows[at][by], found[0][by])]]
+
     def candidates(self, words: Words, hashes: np.ndarray):
         """(window's first word, item) of windows whose key is that of an item, in some repetition."""
         n = len(hashes)
@@ -156,7 +221,7 @@ def _search(items: Items, texts: Texts):
     words, hashes = words_of(texts)
     pair = join_hashes(hashes[:-1], hashes[1:])
     out = []
-    for found in items.candidates(words, hashes):
+    for found in chain(items.candidates(words, hashes), items.short_candidates(words, hashes)):
         item, start = found
         row = words.rows[start]
         slack = edits_for(np.diff(items.offsets)[item]) + np.diff(items.offsets)[item]

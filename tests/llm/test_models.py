@@ -153,6 +153,21 @@ def test_decontamination_recall(spark, nothing):
     assert decontaminate.find(frame, bench.limit(0)).collect() == []
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    """Every item of up to four words, against brute force; items in Chinese, Japanese and Thai within texts."""
+    rng = random.Random(8)
+    items = [(i, [rng.choice("abcdefg") for _ in range(1 + i % 4)]) for i in range(40)]
+    docs = [(i, [rng.choice("abcdefghijklmn") for _ in range(rng.randrange(1, 30))]) for i in range(60)]
+    pairs = {(d, i): brute.edit_match(w, t) for d, t in docs for i, w in items}
+    want = {k: n for k, n in pairs.items() if n <= len(items[k[1]][1]) // 4}
+    han, kana, thai = "今天天氣很好我們去公園散步看花", "きょうはとてもいいてんきです", "วันนี้อากาศดีมากเราไปเดินเล่น"
+    bench = [(i, " ".join(w)) for i, w in items] + [(100, han), (101, kana), (102, thai), (103, "don’t stop here — now please")]
+    texts = [(d, " ".join(t)) for d, t in docs] + [(100, f"他說:「{han}。」然後走了"), (101, f"、{kana}。そして"), (102, f"ก็{thai}ครับ"), (103, "“don’t stop here, now please”"), (104, han[:5] + "也" + han[6:])]
+    found = decontaminate.find(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in found if r["item_id"] < 100 and r["doc_id"] < 100} == want and len(want) > 100
+    assert {(r["doc_id"], r["item_id"], r["edits"]) for r in found if r["item_id"] >= 100} >= {(100, 100, 0), (101, 101, 0), (102, 102, 0), (103, 103, 0), (104, 100, 1)}
+
+
 def test_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEM_BYTES", 100)
     bench = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(9)], "item_id long, text string")
