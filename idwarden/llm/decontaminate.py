@@ -4,7 +4,8 @@ A text holds an item if some of its words form the item within ``EDITS`` of its
 replacements. Words are runs of letters, digits and characters beyond ASCII, without punctuation and spaces, A-Z lower-cased; in
 scripts that put no spaces between words (``SINGLE``), each character is a word.
 
-1. Items are put in classes of like length. A window of a class that holds an item within the edits still holds a number of its
+1. Items of more than ``PART_WORDS`` words are cut into like parts: of an item within the edits, some part is within its own share of
+   them. Items, or their parts, are put in classes of like length. A window of a class that holds an item within the edits still holds a number of its
    word pairs, so windows with fewer word pairs of any item are passed over; no window that counts is lost by that.
 2. The CGK random walk embeds each window that is left, and each item: at step j the current word is written, and a random bit of
    word and step says whether to move on. Few edits leave most places alike.
@@ -42,6 +43,8 @@ ALIKE = 0.35
 ITEM_BYTES, PAIR_BITS = 16 << 20, 22
 #: Ratio of lengths within a class.
 CLASS = 1.15
+#: Words of a part at most: over longer walks, fewer places stay alike than ``ALIKE``.
+PART_WORDS = 60
 #: Code points of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
 SINGLE = (
     (0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3040, 0x3130), (0x31A0, 0x31C0), (0x31F0, 0x3200),
@@ -89,11 +92,10 @@ def words_of(texts: Texts) -> tuple[Words, np.ndarray]:
 
 
 class Class:
-    """Items of like length: their walks' keys."""
+    """Parts of like length: their walks' keys."""
 
-    def __init__(self, items: list[int], offsets: np.ndarray, hashes: np.ndarray, seed: int):
-        self.items = np.array(items)
-        lengths = np.diff(offsets)[self.items]
+    def __init__(self, parts: np.ndarray, offsets: np.ndarray, hashes: np.ndarray, seed: int):
+        self.items, self.begins, lengths = parts.T
         self.length = int(lengths.max())
         least = int(lengths.min())
         # Word pairs that a window of this length holds at least.
@@ -104,7 +106,7 @@ class Class:
         steps = max(SAMPLED, int(1.6 * least))  # by then, a walk has seldom passed the end of an item
         self.salts = rng.integers(1, 2**63, (WALKS, steps), dtype=np.uint64) | np.uint64(1)
         self.places = [np.sort(rng.choice(steps, SAMPLED, replace=False)) for _ in range(rounds)]
-        self.table = self.keys(hashes, offsets[self.items], offsets[self.items + 1])
+        self.table = self.keys(hashes, offsets[self.items] + self.begins, offsets[self.items] + self.begins + lengths)
 
     def keys(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Keys of all repetitions (one row each) of the words from ``starts`` to ``ends``."""
@@ -132,16 +134,19 @@ class Items:
         words, hashes = words_of(Texts(pa.array(texts, pa.string())))
         self.ids, self.offsets, self.hashes = np.array(ids, np.int64), words.offsets, hashes
         lengths = np.diff(self.offsets)
-        members: dict[int, list[int]] = {}
+        members: dict[int, list[tuple[int, int, int]]] = {}
         for item in np.flatnonzero(lengths >= LEAST_WORDS).tolist():
-            members.setdefault(int(math.log(lengths[item]) / math.log(CLASS)), []).append(item)
+            n = int(lengths[item])
+            cuts = [n * k // -(-n // PART_WORDS) for k in range(-(-n // PART_WORDS) + 1)]
+            for a, b in zip(cuts, cuts[1:]):
+                members.setdefault(int(math.log(b - a) / math.log(CLASS)), []).append((item, a, b - a))
         #: For each hash of a word pair, a bit for each class that has it.
         self.pairs = np.zeros(1 << PAIR_BITS, np.uint32)
         self.classes = []
         for place, k in enumerate(sorted(members)):
-            self.classes.append((place % 32, Class(members[k], self.offsets, self.hashes, k)))
-            for item in members[k]:
-                at = (self.pairs_of(item) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+            self.classes.append((place % 32, Class(np.array(members[k]), self.offsets, self.hashes, k)))
+            for item, begin, n in members[k]:
+                at = (self.pairs_of(item)[begin:begin + n - 1] >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
                 self.pairs[at] |= np.uint32(1 << place % 32)
         #: By number of words: sorted hashes of the words of shorter items (of pairs, for four words), the item and the place of each.
         self.short = {}
@@ -173,7 +178,7 @@ class Items:
                 yield found[:, by[run_starts(words.rows[at][by], found[0][by])]]
 
     def candidates(self, words: Words, hashes: np.ndarray):
-        """(window's first word, item) of windows whose key is that of an item, in some repetition."""
+        """item and its likely first word, for windows whose key is that of a part of the item, in some repetition."""
         n = len(hashes)
         known = np.zeros(n, np.uint32)
         if n > 1:
@@ -194,8 +199,9 @@ class Items:
             for mine, theirs in zip(keys, group.table):
                 order = np.argsort(theirs, kind="stable")
                 low, high = np.searchsorted(theirs[order], mine), np.searchsorted(theirs[order], mine, "right")
-                hit = np.repeat(starts, high - low)
-                found.append(np.stack([group.items[order[ranges(low, high - low)]], hit]))
+                hit, part = np.repeat(starts, high - low), order[ranges(low, high - low)]
+                first = np.maximum(hit - group.begins[part], words.offsets[words.rows[hit]])
+                found.append(np.stack([group.items[part], first]))
             yield np.unique(np.concatenate(found, axis=1), axis=1)
 
 
@@ -235,7 +241,9 @@ def _search(items: Items, texts: Texts):
             i, r = int(item[a]), int(row[a])
             first, last = int(words.offsets[r]), int(words.offsets[r + 1])
             n = int(items.offsets[i + 1] - items.offsets[i])
-            low, high = max(first, int(start[a]) - edits_for(n)), min(last, int(start[b - 1]) + n + 2 * edits_for(n))
+            # Edits before a part move it.
+            moved = edits_for(n) if n > PART_WORDS else 0
+            low, high = max(first, int(start[a]) - edits_for(n) - moved), min(last, int(start[b - 1]) + n + 2 * edits_for(n) + moved)
             if np.isin(pair[low:high - 1], items.pairs_of(i)).sum() < n - 1 - 2 * edits_for(n):
                 continue  # too few of the item's word pairs for the edits
             cost, x, y = best_match(items.hashes[items.offsets[i]:items.offsets[i + 1]], hashes[low:high])

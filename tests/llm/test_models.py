@@ -153,6 +153,25 @@ def test_decontamination_recall(spark, nothing):
     assert decontaminate.find(frame, bench.limit(0)).collect() == []
 
 
+def test_recall_of_long_items(spark):
+    """Items of 61 to 1000 words at the edit bound."""
+    rng = random.Random(11)
+    names = [f"v{i}" for i in range(5000)]
+    items = [(i, [rng.choice(names) for _ in range((61, 150, 400, 1000)[i % 4])]) for i in range(120)]
+    docs = []
+    for i, w in items:
+        w = list(w)
+        for _ in range(len(w) // 4):
+            at, kind = rng.randrange(len(w)), rng.randrange(3)
+            w[at:at + (kind != 1)] = [rng.choice(names)] if kind else []
+        docs.append((i, " ".join([*(rng.choice(names) for _ in range(50)), *w, *(rng.choice(names) for _ in range(50))])))
+    found = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert all(r["edits"] <= r["item_words"] // 4 for r in found)
+    hit = [r["item_words"] for r in found if r["doc_id"] == r["item_id"]]
+    print({n: hit.count(n) for n in (61, 150, 400, 1000)})
+    assert [hit.count(n) for n in (61, 150, 400, 1000)] == [30] * 4
+
+
 def test_short_items_and_scripts_without_spaces(spark):
     """Every item of up to four words, against brute force; items in Chinese, Japanese and Thai within texts."""
     rng = random.Random(8)
