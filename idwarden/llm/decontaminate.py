@@ -15,7 +15,7 @@ scripts that put no spaces between words (``SINGLE``), each character is a word.
    their words; four words within one edit keep a word pair, by which they are looked up.
 5. Candidates that hold enough of the item's own word pairs are decided by the exact edit distance, with free ends in the text.
 
-Items are read in blocks of ``ITEM_BYTES``, each sent to all tasks; texts are read once a block and never shuffled. NULL and empty
+Items are read in blocks of ``ITEM_BYTES``, each sent to all tasks; texts are read once a block and never shuffled. With several blocks, each is run and saved before the next is read. NULL and empty
 texts hold nothing; NULL items and items without words are never found. Repeated rows give repeated results.
 """
 
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, join_hashes, ranges, run_starts, starts_of, window_hashes
+from idwarden.llm.store import save
 from idwarden.llm.toxicity import APART
 
 EDITS, RECALL, SAMPLED, WALKS, LEAST_WORDS = 0.25, 0.99, 2, 8, 5
@@ -285,4 +286,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName, [search(k) for k in range(blocks)])
+    if blocks == 1:
+        return search(0)
+    # Each block is run before the next is read, so that the driver holds one.
+    return reduce(DataFrame.unionByName, [save(search(k), "decontaminated") for k in range(blocks)])

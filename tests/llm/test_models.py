@@ -194,6 +194,14 @@ def test_blocks_of_items(spark, monkeypatch):
     assert [(r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.find(docs, bench).orderBy("doc_id").collect()] == [(i, i, 0) for i in range(9)]
 
 
+def test_blocks_are_saved_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 100)
+    bench = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(4)], "item_id long, text string")
+    found = decontaminate.find(bench.select(F.col("item_id").alias("doc_id"), "text"), bench)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    assert [(r["doc_id"], r["item_id"]) for r in found.orderBy("doc_id").collect()] == [(i, i) for i in range(4)]
+
+
 def test_licences(spark, nothing):
     docs = [
         (1, "Some text.\nLicensed under CC BY-NC 4.0.\nMore."), (2, "All rights reserved."), (3, None), (4, ""), (5, "my driving license\nI studied at MIT"),
