@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -10,13 +9,6 @@ from idwarden import schemas  # noqa: E402
 from idwarden.plans.session import local_session  # noqa: E402
 from idwarden.sources import Sources  # noqa: E402
 
-START = datetime(2025, 10, 6, 12, 0, 0)
-
-
-def at(sec: float) -> datetime:
-    return START + timedelta(seconds=sec)
-
-
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", "4")
@@ -37,9 +29,3 @@ def make(spark):
         return Sources.of(spark, frames)
 
     return build
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

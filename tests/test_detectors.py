@@ -3,7 +3,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 
 from idwarden.operators import access, activity, integrity, logins, profile, quality
 

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from support import rows
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.operators.access import shadow_access

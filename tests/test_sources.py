@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import at, rows
+from support import at, rows
 from pyspark.errors import AnalysisException
 
 from idwarden import schemas

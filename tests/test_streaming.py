@@ -4,7 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from conftest import at, rows
+from support import at, rows
 
 from idwarden.operators.logins import mfa_bypass_all_apps
 from idwarden.plans.sinks import write_days

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import START, at, rows
+from support import START, at, rows
 from pyspark.sql import functions as F
 
 from idwarden.operators.keyed import without_match
