@@ -97,9 +97,43 @@ SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha2
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+OP12 = rf"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents
+), w AS (
+    SELECT lang, source, r, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), c AS (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL
+), l AS (
+    SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 30
+), total AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(n) AS n FROM l GROUP BY 1
+), g AS (
+    SELECT d.lang, d.source, coalesce(any_value(t.v), 0) AS v, coalesce(any_value(own.n), 0) AS n
+    FROM (SELECT DISTINCT lang, source FROM d) d LEFT JOIN total t USING (lang)
+    LEFT JOIN (SELECT c.lang, c.source, sum(c.n) AS n FROM c JOIN l USING (lang, term) GROUP BY ALL) own ON own.lang = d.lang AND own.source = d.source GROUP BY ALL
+), share AS (
+    SELECT g.lang, g.source, l.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p,
+        1 + (1000000000::HUGEINT * (l.n + 5)) // (t.n + 5 * t.v) AS q
+    FROM g JOIN l USING (lang) JOIN total t USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term
+), far AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(far.value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pair
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM share WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op1_ngram_jaccard": OP1,
     "op2_repetition_rules": OP2,
     "op7_suffix_dedup": OP7,
     "op10_substring_dedup": OP10,
+    "op12_source_divergence": OP12,
 }
