@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, decontaminate, divergence, jaccard_join, licenses, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, decontaminate, divergence, jaccard_join, licenses, periodic_runs, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.oracle import ORACLE  # noqa: F401
 from idwarden.llm.store import table
 
@@ -63,6 +63,10 @@ def op12_source_divergence(spark, sf_dir):
     return divergence.report(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_repetition_rules": op2_repetition_rules,
@@ -75,4 +79,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_source_divergence": op12_source_divergence,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -130,10 +130,46 @@ SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PAR
 FROM found QUALIFY part = 'pair' OR rank <= 50
 """
 
+#: crc32 of the decimal doc_id, bit by bit.
+_CRC = "x"
+for _ in range(8):
+    _CRC = f"list_transform([{_CRC}], lambda b: xor(b >> 1, (b & 1) * 3988292384))[1]"
+CRC32 = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: list_transform([xor(a, c)], lambda x: {_CRC})[1]), 4294967295::BIGINT)"""
+
+# Places where words q apart are equal, in unbroken stretches of the same q: a stretch of m is a run of m + q words.
+OP13 = f"""
+WITH o AS (
+    SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS ws, {CRC32} AS h FROM documents
+), z AS (
+    SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, 3 + (h // 10) % 8 AS part FROM o
+), t AS (
+    SELECT doc_id, n, i, ws[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // part) ELSE i END] AS w FROM z, unnest(range(n)) AS u(i)
+), e AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i AS i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS stretch
+    FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), r AS (
+    SELECT doc_id, min(i) AS start, count(*) + q AS length, q AS period FROM e GROUP BY doc_id, q, stretch HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (
+    SELECT doc_id, start, length, min(period) AS period FROM r GROUP BY 1, 2, 3
+), best AS (
+    SELECT doc_id, count(*) AS n_runs, min({{'l': -length, 's': start, 'q': period}}) AS b,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM run GROUP BY 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run
+), kept AS (
+    SELECT t.doc_id, string_agg(t.w, ' ' ORDER BY t.i) AS text FROM t ANTI JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY 1
+)
+SELECT z.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, -b.l AS length, b.q AS period, (-b.l * 1000) // b.q AS exponent_milli,
+    sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM z LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE = {
     "op1_ngram_jaccard": OP1,
     "op2_repetition_rules": OP2,
     "op7_suffix_dedup": OP7,
     "op10_substring_dedup": OP10,
     "op12_source_divergence": OP12,
+    "op13_periodic_runs": OP13,
 }
