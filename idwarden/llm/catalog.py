@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from idwarden.llm import bpe, decontaminate, divergence, jaccard_join, licenses, periodic_runs, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
+from idwarden.llm import bpe, decontaminate, divergence, jaccard_join, licenses, periodic_runs, pstable_join, quality_model, repetition, substring_dedup, suffix_dedup, toxicity, url_filter
 from idwarden.llm.oracle import ORACLE  # noqa: F401
 from idwarden.llm.store import table
 
@@ -59,6 +59,10 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_pstable_embedding_dedup(spark, sf_dir):
+    return pstable_join.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op12_source_divergence(spark, sf_dir):
     return divergence.report(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_pstable_embedding_dedup": op11_pstable_embedding_dedup,
     "op12_source_divergence": op12_source_divergence,
     "op13_periodic_runs": op13_periodic_runs,
 }

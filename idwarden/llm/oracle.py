@@ -130,6 +130,23 @@ SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PAR
 FROM found QUALIFY part = 'pair' OR rank <= 50
 """
 
+OP11 = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), u AS (
+    SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+    SELECT r AS a, r AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+), c AS (
+    SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1
+), n AS (
+    SELECT a AS r, count(*) AS n FROM link GROUP BY 1
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, component_id IS NULL) AS kept FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
 #: crc32 of the decimal doc_id, bit by bit.
 _CRC = "x"
 for _ in range(8):
@@ -170,6 +187,7 @@ ORACLE = {
     "op2_repetition_rules": OP2,
     "op7_suffix_dedup": OP7,
     "op10_substring_dedup": OP10,
+    "op11_pstable_embedding_dedup": OP11,
     "op12_source_divergence": OP12,
     "op13_periodic_runs": OP13,
 }
