@@ -7,7 +7,8 @@ take the recall at the threshold itself to ``RECALL`` (closer pairs are met more
 1. Equal vectors of a label are one node with a number of copies.
 2. ``buckets``: each node goes to its key in each table with a sketch of 128 sign bits in place of its vector. Nodes of a chunk whose
    sketches differ from the first of their bucket by ``TIGHT`` bits at most are tied to it there, and only the first travels on; so a
-   large group of near copies costs one entry a chunk and table. Whoever a chunk's node could meet, its first meets at ``TIGHT`` bits more.
+   large group of near copies costs one entry a chunk and table. Whoever a tied node could meet, its first meets at ``TIGHT`` bits more
+   (its slack).
 3. In a bucket, nodes whose sketches may belong to linked vectors are tied; what leaves is a spanning forest, not pairs. Components
    over it (``components``) are neighbourhoods: no link that the tables found crosses them.
 4. The vectors of a neighbourhood meet, in blocks of ``BLOCK_ROWS`` against each other if it is large. All its cosines are computed
@@ -118,7 +119,7 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
 
 
 def buckets(rows: DataFrame, partitions: int, cosine: float) -> DataFrame:
-    """Entries of all tables, packed for each partition: bucket, keys, nodes, sketches; and ties (a, b) that chunks settle."""
+    """Entries of all tables, packed for each partition: bucket, keys, nodes, sketches, slacks; and ties (a, b) that chunks settle."""
     tables = tables_for(cosine)
 
     def packed(keys, nodes, sketches):
@@ -129,6 +130,8 @@ def buckets(rows: DataFrame, partitions: int, cosine: float) -> DataFrame:
         first = np.repeat(begins, np.diff(np.append(begins, len(keys))))
         place = np.arange(len(keys))
         stays = (place != first) & (differing(sketches, sketches[first]) <= TIGHT)
+        slacks = np.zeros(len(keys), np.uint8)
+        slacks[first[stays]] = TIGHT
         a, b = nodes[first[stays]], nodes[stays]
         a, b = np.unique(np.stack([a, b])[:, a != b], axis=1) if len(a) else (a, b)
         # One tie is enough for each node of a component of the chunk.
@@ -136,18 +139,18 @@ def buckets(rows: DataFrame, partitions: int, cosine: float) -> DataFrame:
         root = joined(np.arange(len(names)), at[:len(a)], at[len(a):])
         tied = np.flatnonzero(root != np.arange(len(names)))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(tied), pa.int32()), *(pa.nulls(len(tied), pa.binary()) for _ in range(3)), pa.array(names[tied]), pa.array(names[root[tied]])], names=columns)
-        keys, nodes, sketches = keys[~stays], nodes[~stays], sketches[~stays]
+            [pa.nulls(len(tied), pa.int32()), *(pa.nulls(len(tied), pa.binary()) for _ in range(4)), pa.array(names[tied]), pa.array(names[root[tied]])], names=columns)
+        keys, nodes, sketches, slacks = keys[~stays], nodes[~stays], sketches[~stays], slacks[~stays]
         home = ((mix(keys) >> U64(32)) * U64(partitions) >> U64(32)).astype(np.int64)
         order = np.argsort(home, kind="stable")
         parts = run_starts(home[order])
         ends = np.append(parts, len(order))
         yield pa.RecordBatch.from_arrays([
             pa.array(home[order][parts].astype(np.int32)), binaries(keys[order], 8 * ends), binaries(nodes[order], 8 * ends), binaries(sketches[order], 16 * ends),
-            pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64()),
+            binaries(slacks[order], ends), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64()),
         ], names=columns)
 
-    columns = ["bucket", "keys", "nodes", "sketches", "a", "b"]
+    columns = ["bucket", "keys", "nodes", "sketches", "slacks", "a", "b"]
 
     def run(batches):
         held, size = [], 0
@@ -168,33 +171,33 @@ def buckets(rows: DataFrame, partitions: int, cosine: float) -> DataFrame:
             yield from packed(*(np.concatenate(x) for x in zip(*held)))
 
     usable = rows.where("node IS NOT NULL").select("node", F.xxhash64("label").alias("label_hash"), "embedding")
-    return usable.mapInArrow(run, "bucket int, keys binary, nodes binary, sketches binary, a long, b long")
+    return usable.mapInArrow(run, "bucket int, keys binary, nodes binary, sketches binary, slacks binary, a long, b long")
 
 
 def neighbours(entries: DataFrame, partitions: int, cosine: float) -> DataFrame:
     """Ties (a, b) of nodes of a bucket whose sketches may belong to linked vectors: a spanning forest for each task."""
-    far = far_bits(cosine) + 2 * TIGHT
+    far = far_bits(cosine)
 
     def run(batches):
         kept = [b for b in batches if b.num_rows]
         if not kept:
             return
-        keys, nodes, sketches = (
-            np.concatenate([binary_values(b.column(c), kind)[0] for b in kept]) for c, kind in (("keys", U64), ("nodes", np.int64), ("sketches", U64)))
+        kinds = (("keys", U64), ("nodes", np.int64), ("sketches", U64), ("slacks", np.uint8))
+        keys, nodes, sketches, slacks = (np.concatenate([binary_values(b.column(c), kind)[0] for b in kept]) for c, kind in kinds)
         names, node = np.unique(nodes, return_inverse=True)
         sketches = sketches.reshape(-1, 2)
-        order = np.lexsort((node, keys))
+        order = np.lexsort((~slacks, node, keys))
         order = order[run_starts(keys[order], node[order])]
-        keys, node, sketches = keys[order], node[order], sketches[order]
+        keys, node, sketches, slacks = keys[order], node[order], sketches[order], slacks[order]
         begins = run_starts(keys)
         sizes = np.diff(np.append(begins, len(keys)))
         many = np.repeat(sizes > 1, sizes)
-        keys, node, sketches = keys[many], node[many], sketches[many]
+        keys, node, sketches, slacks = keys[many], node[many], sketches[many], slacks[many]
         root = np.arange(len(names))
         for pivots in (True, False):
             # First with one node of each bucket alone, then all those that are still apart.
             order = np.lexsort((root[node], keys))
-            keys, node, sketches = keys[order], node[order], sketches[order]
+            keys, node, sketches, slacks = keys[order], node[order], sketches[order], slacks[order]
             ends = np.searchsorted(keys, keys, "right")
             runs = run_starts(keys, root[node])
             after = np.repeat(np.append(runs[1:], len(keys)), np.diff(np.append(runs, len(keys))))
@@ -210,7 +213,7 @@ def neighbours(entries: DataFrame, partitions: int, cosine: float) -> DataFrame:
                 at = to
                 apart = root[node[i]] != root[node[j]]
                 i, j = i[apart], j[apart]
-                near = differing(sketches[i], sketches[j]) <= far
+                near = differing(sketches[i], sketches[j]) <= far + slacks[i].astype(np.int64) + slacks[j]
                 root = joined(root, node[i[near]], node[j[near]])
         tied = np.flatnonzero(root != np.arange(len(names)))
         yield pa.RecordBatch.from_arrays([pa.array(names[tied]), pa.array(names[root[tied]])], names=["a", "b"])
@@ -292,7 +295,7 @@ def near_copies(vectors: DataFrame, cosine: float = LEAST_COSINE) -> DataFrame:
     rows = nodes_of(vectors)
     nodes = save(rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least")), "nodes")
     entries = save(buckets(rows, partitions, cosine), "buckets")
-    ties = entries.where("bucket IS NULL").select("a", "b").unionByName(neighbours(entries.where("bucket IS NOT NULL").select("bucket", "keys", "nodes", "sketches"), partitions, cosine))
+    ties = entries.where("bucket IS NULL").select("a", "b").unionByName(neighbours(entries.where("bucket IS NOT NULL").select("bucket", "keys", "nodes", "sketches", "slacks"), partitions, cosine))
     near = save(components(save(ties, "ties")).select("node", "component").distinct(), "neighbourhoods")
     sizes = near.groupBy("component").agg(F.count("*").alias("size"))
     named = small(save(near.join(small(save(sizes, "sizes")), "component").join(nodes.select("node", "copies"), "node"), "members"))
