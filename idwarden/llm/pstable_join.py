@@ -192,6 +192,8 @@ def neighbours(entries: DataFrame, partitions: int, cosine: float) -> DataFrame:
         begins = run_starts(keys)
         sizes = np.diff(np.append(begins, len(keys)))
         many = np.repeat(sizes > 1, sizes)
+        if not many.any():
+            return
         keys, node, sketches, slacks = keys[many], node[many], sketches[many], slacks[many]
         root = np.arange(len(names))
         for pivots in (True, False):

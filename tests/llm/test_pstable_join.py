@@ -124,5 +124,10 @@ def test_chance_of_meeting():
         assert abs(share - pstable_join.meeting_chance(distance, pstable_join.WIDTH)) < 0.005
 
 
+def test_no_bucket_is_shared(spark):
+    rows = [(i, [float(j == i) for j in range(5)], 0) for i in range(5)]
+    assert got(pstable_join.near_copies(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
 def test_no_rows(spark):
     assert got(pstable_join.near_copies(spark.createDataFrame([], SCHEMA))) == []
