@@ -73,11 +73,19 @@ def rejected_but_executed(src: Sources) -> DataFrame:
     )
 
 
-def role_history(src: Sources) -> DataFrame:
-    """First and last request of every (user, role), with the user's role drift."""
-    per_role = src.requests.groupBy("user", "role").agg(
+def role_counts(requests: DataFrame, *by: str) -> DataFrame:
+    """First and last request and number of requests of every (user, role)."""
+    return requests.groupBy(*by, "user", "role").agg(
         F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count("*").alias("n")
     )
+
+
+def role_history(src: Sources) -> DataFrame:
+    """First and last request of every (user, role), with the user's role drift."""
+    return roles_of(role_counts(src.requests))
+
+
+def roles_of(per_role: DataFrame) -> DataFrame:
     # One row per role is left of each user's requests, so this window stays small.
     of_user = Window.partitionBy("user")
     n_roles = F.count("role").over(of_user)
@@ -90,20 +98,31 @@ def role_history(src: Sources) -> DataFrame:
     )
 
 
+def last_grants(requests: DataFrame, *by: str) -> DataFrame:
+    """Latest approved request of every (user, app)."""
+    return requests.where(F.col("status") == "APPROVED").groupBy(*by, "user", "app").agg(F.max("ts").alias("granted_ts"))
+
+
+def last_uses(app: DataFrame, *by: str) -> DataFrame:
+    """Latest use of every (user, app)."""
+    return app.groupBy(*by, "user", "app").agg(F.max("ts").alias("last_used"))
+
+
 def stale_access(src: Sources, *, stale_days: int = 30, as_of=None) -> DataFrame:
     """Approved (user, app) pairs not used within ``stale_days`` before ``as_of``.
 
     ``as_of`` is a timestamp or its text; by default the latest event of the four sources.
     """
-    non_negative(stale_days=stale_days)
     if as_of is None:
         now = src.events().agg(F.max("ts").alias("as_of")).scalar()
     else:
         now = F.lit(as_of).cast("timestamp_ntz")
-    granted = (
-        src.requests.where(F.col("status") == "APPROVED").groupBy("user", "app").agg(F.max("ts").alias("granted_ts"))
-    )
-    used = src.app.groupBy("user", "app").agg(F.max("ts").alias("last_used"))
+    return idle_grants(last_grants(src.requests), last_uses(src.app), now, stale_days=stale_days)
+
+
+def idle_grants(granted: DataFrame, used: DataFrame, now, *, stale_days: int = 30) -> DataFrame:
+    """Grants not used within ``stale_days`` before ``now``."""
+    non_negative(stale_days=stale_days)
     idle_sec = seconds(now) - seconds(F.coalesce("last_used", "granted_ts"))
     return (
         granted.join(used, ["user", "app"], "left")
@@ -116,19 +135,30 @@ def stale_access(src: Sources, *, stale_days: int = 30, as_of=None) -> DataFrame
     )
 
 
+def decision_counts(requests: DataFrame, *by: str) -> DataFrame:
+    """Decisions and approvals of every (approver, user)."""
+    return (
+        requests.where(F.col("approver").isNotNull() & F.col("status").isin("APPROVED", "REJECTED"))
+        .groupBy(*by, "approver", "user")
+        .agg(F.count("*").alias("decisions"), F.count_if(F.col("status") == "APPROVED").alias("approvals"))
+    )
+
+
 def approver_behaviour(src: Sources, *, min_decisions: int = 5, approval_rate: float = 0.9) -> DataFrame:
     """Decisions per approver; flagged on any self-approval or on approving nearly everything."""
+    return approvers_of(decision_counts(src.requests), min_decisions=min_decisions, approval_rate=approval_rate)
+
+
+def approvers_of(per_user: DataFrame, *, min_decisions: int = 5, approval_rate: float = 0.9) -> DataFrame:
     positive(min_decisions=min_decisions)
     rate(approval_rate=approval_rate)
-    approved = F.col("status") == "APPROVED"
     per_approver = (
-        src.requests.where(F.col("approver").isNotNull() & F.col("status").isin("APPROVED", "REJECTED"))
-        .groupBy("approver")
+        per_user.groupBy("approver")
         .agg(
-            F.count("*").alias("decisions"),
-            F.count_if(approved).alias("approvals"),
-            F.count_if(approved & (F.col("user") == F.col("approver"))).alias("self_approvals"),
-            F.countDistinct("user").alias("requesters"),
+            F.sum("decisions").alias("decisions"),
+            F.sum("approvals").alias("approvals"),
+            F.sum(F.when(F.col("user") == F.col("approver"), F.col("approvals")).otherwise(F.lit(0))).alias("self_approvals"),
+            F.count("user").alias("requesters"),
         )
         .withColumn("approval_rate", within_rate("approvals", "decisions"))
     )

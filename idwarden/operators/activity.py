@@ -60,19 +60,27 @@ def multi_app_sessions(src: Sources, *, min_apps: int = 3) -> DataFrame:
     )
 
 
-def group_churn(src: Sources) -> DataFrame:
-    """Membership changes per group and week, relative to the users they touch."""
+def change_counts(directory: DataFrame, *by: str) -> DataFrame:
+    """Membership changes of every (group, week, user)."""
     def with_action(name):
         return F.count_if(F.col("action") == name)
 
+    return directory.groupBy(*by, "group", F.trunc(F.to_date("ts"), "week").alias("week"), "user").agg(
+        with_action("add_member").alias("adds"),
+        with_action("remove_member").alias("removes"),
+        with_action("privilege_escalation").alias("escalations"),
+    )
+
+
+def group_churn(src: Sources) -> DataFrame:
+    """Membership changes per group and week, relative to the users they touch."""
+    return churn_of(change_counts(src.directory))
+
+
+def churn_of(per_user: DataFrame) -> DataFrame:
     return (
-        src.directory.groupBy("group", F.trunc(F.to_date("ts"), "week").alias("week"))
-        .agg(
-            with_action("add_member").alias("adds"),
-            with_action("remove_member").alias("removes"),
-            with_action("privilege_escalation").alias("escalations"),
-            F.countDistinct("user").alias("distinct_users"),
-        )
+        per_user.groupBy("group", "week")
+        .agg(*(F.sum(c).alias(c) for c in ("adds", "removes", "escalations")), F.count("user").alias("distinct_users"))
         .withColumn("churn_rate", within_rate(F.col("adds") + F.col("removes"), "distinct_users"))
     )
 

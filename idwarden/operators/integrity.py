@@ -83,8 +83,11 @@ def against_lifecycle(activity: DataFrame, hr: DataFrame) -> DataFrame:
 
 def orphan_users(src: Sources) -> DataFrame:
     """Users active without an HR row, or active outside their employment."""
-    activity = daily_activity(src.events().where(F.col("user").isNotNull()))
-    return against_lifecycle(activity, src.hr).groupBy("user", "reason").agg(
+    return uncovered_users(daily_activity(src.events().where(F.col("user").isNotNull())), src.hr)
+
+
+def uncovered_users(activity: DataFrame, hr: DataFrame) -> DataFrame:
+    return against_lifecycle(activity, hr).groupBy("user", "reason").agg(
         F.sum("n").alias("n_events"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
 

@@ -19,29 +19,45 @@ def unexplained_usage(src: Sources) -> DataFrame:
     return without_match(usage, src.requests, {"user": "user", "request_id": "req_id"})
 
 
+def _one(condition):
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def login_marks(logins: DataFrame, *by: str) -> DataFrame:
+    """Counts that a login adds to its user's risk."""
+    return logins.select(
+        *by, "user", "country", _one(F.col("status") == "FAILED").alias("failed_mfa"),
+        _one(F.col("status") == "SUCCESS").alias("success_mfa"), _one(F.lit(True)).alias("total_logins"),
+    )
+
+
+def directory_marks(directory: DataFrame, *by: str) -> DataFrame:
+    return directory.select(
+        *by, "user", _one(F.col("action") == "privilege_escalation").alias("privilege_escalations"), _one(F.lit(True)).alias("ad_actions"),
+    )
+
+
 def risk_scores(src: Sources, *, top: int | None = RISK_TOP) -> DataFrame:
     """The ``top`` users (None: all) by risk score, among users with at least one login.
 
     All sources meet in one aggregation by user, so each row is combined on the map side
     and only per-user totals are shuffled.
     """
-    def one(condition):
-        return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    yes = _one(F.lit(True))
+    return scores_of(
+        login_marks(src.logins), src.requests.select("user", yes.alias("access_requests")), directory_marks(src.directory),
+        unexplained_usage(src).select("user", yes.alias("unexplained_app_usage")), top=top,
+    )
+
 
-    yes = F.lit(1).cast("bigint")
+def scores_of(
+    logins: DataFrame, requests: DataFrame, directory: DataFrame, unexplained: DataFrame, *, top: int | None = RISK_TOP,
+) -> DataFrame:
+    """Scores from counts by user, in any number of rows; logins by country too."""
     rows = (
-        src.logins.select(
-            "user", "country", one(F.col("status") == "FAILED").alias("failed_mfa"),
-            one(F.col("status") == "SUCCESS").alias("success_mfa"), yes.alias("total_logins"),
-        )
-        .unionByName(src.requests.select("user", yes.alias("access_requests")), allowMissingColumns=True)
-        .unionByName(
-            src.directory.select(
-                "user", one(F.col("action") == "privilege_escalation").alias("privilege_escalations"), yes.alias("ad_actions"),
-            ),
-            allowMissingColumns=True,
-        )
-        .unionByName(unexplained_usage(src).select("user", yes.alias("unexplained_app_usage")), allowMissingColumns=True)
+        logins.unionByName(requests, allowMissingColumns=True)
+        .unionByName(directory, allowMissingColumns=True)
+        .unionByName(unexplained, allowMissingColumns=True)
     )
     counts = (
         "failed_mfa", "success_mfa", "total_logins", "access_requests", "privilege_escalations", "ad_actions",

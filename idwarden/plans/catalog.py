@@ -126,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "r2_day_range": files_trial.day_ranges,
     "r2_two_generations": files_trial.two_generations,
     "j1_job_twice": files_trial.job_twice,
+    "j1_partials": files_trial.merged_tables,
     "s1_ingest": trial.ingest_app_messages,
     "s2_streaming_repeats": trial.distinct_events,
     "s3_streaming_bypass": trial.bypass_pairs,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.plans import job
+from idwarden.plans.partials import FROM_PARTIALS, Store
 from idwarden.plans.registry import of_days
 from idwarden.plans.sinks import read_table, write_source
 from idwarden.sources import Sources, load_sources
@@ -42,6 +43,40 @@ def day_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(None, middle).unionByName(rows(after, None))
 
 
+def merged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables without days, merged from partials per day after two deliveries, as (kind, name, detail).
+
+    The second delivery adds new days and late events of some days; only those are read for it.
+    """
+    folder = run_folder(spark, "partials")
+    src = sources_from_events(read_events(spark, sf_dir))
+    _written(src, folder, ["hrlifecycle"])
+    store = Store(spark, folder, f"{folder}/partials")
+    sources = ("okta", "saviynt", "ad", "app_usage")
+    middle = src.hr.agg(F.min("termination_date").alias("d")).scalar()
+    late = (F.dayofmonth("ts") % 8 == 0) & (F.second("ts") % 2 == 0)
+    first = (F.to_date("ts") <= middle) & ~late
+    for delivery, chosen in (("first", first), ("second", ~first)):
+        for source in sources:
+            write_source(src.get(source).where(chosen), folder, source, batch=delivery)
+        outcomes = job.run(partial(load_sources, spark, folder), job.Sink(f"{folder}/gold"), keys=list(FROM_PARTIALS), run_id="today", store=store)
+        if failed := [o.error for o in outcomes if o.error]:
+            raise RuntimeError(failed[0])
+
+    def shown(key, kind, name, *details):
+        return read_table(spark, f"{folder}/gold", TABLES[key]).select(
+            F.lit(kind).alias("kind"), F.col(name).alias("name"), F.concat_ws(":", *(F.col(c).cast("string") for c in details)).alias("detail"))
+
+    return (
+        shown("role_drift_table", "role", "user", "role", "n", "n_roles", "first_role", "last_role", "drift")
+        .unionByName(shown("stale_access_table", "stale", "user", "app", "days_idle", "never_used"))
+        .unionByName(shown("suspicious_approver_table", "approver", "approver", "decisions", "approvals", "self_approvals", "requesters", "suspicious"))
+        .unionByName(shown("ad_churn_table", "churn", "group", "week", "adds", "removes", "escalations", "distinct_users"))
+        .unionByName(shown("orphan_user_table", "orphan", "user", "reason", "n_events"))
+        .unionByName(shown("risk_table", "risk", "user", "risk_score", "unique_countries", "total_logins", "unexplained_app_usage"))
+    )
+
+
 def two_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App usage of which half the files hold text under older names."""
     folder = run_folder(spark, "generations")

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.functions.checks import one_of, positive
+from idwarden.plans.partials import FROM_PARTIALS, Store
 from idwarden.plans.registry import CHECKS, DETECTORS, of_days
 from idwarden.plans.session import session
 from idwarden.plans.sinks import write_table
@@ -50,11 +51,13 @@ class Outcome:
 def run(
     src: Sources | Callable[..., Sources], sink: Sink, *, tables: dict[str, str] | None = None, run_id: str | None = None,
     keys: list[str] | None = None, parallel: int = 4, first_day: str | None = None, last_day: str | None = None,
+    store: Store | None = None,
 ) -> list[Outcome]:
     """Fill the tables of ``keys`` (all by default). A table that fails does not stop the others.
 
     Several tables are computed at once so that one table's last tasks do not idle the cluster.
     A range of days needs ``src`` as a function of ``days``, so that each table reads what it needs around the range.
+    With ``store`` the tables of ``FROM_PARTIALS`` are merged from its partials, which are brought up to date first.
     """
     positive(parallel=parallel)
     detectors = {**DETECTORS, **CHECKS}
@@ -65,12 +68,19 @@ def run(
     if not callable(src) and (first_day or last_day):
         raise ValueError("a range of days needs a function that loads the sources")
     load = src if callable(src) else lambda days=None: src
+    merged = [key for key in keys or list(DETECTORS) if store is not None and key in FROM_PARTIALS]
+    with ThreadPoolExecutor(parallel) as pool:
+        for source, days in pool.map(lambda s: (s, store.refresh(s)), sorted({s for key in merged for s in FROM_PARTIALS[key][0]})):
+            log.info("%s: partials of %s days made anew", source, len(days))
+
+    def rows_of(key: str):
+        return store.table(key, load(days=None).hr) if key in merged else of_days(key, first_day, last_day, load)
 
     def fill(key: str) -> Outcome:
         began = time.monotonic()
         try:
             rows = write_table(
-                of_days(key, first_day, last_day, load), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
+                rows_of(key), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
             )
             log.info("%s: %s rows", names[key], rows or "no")
             return Outcome(key, names[key], rows, time.monotonic() - began)
@@ -108,6 +118,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--env", default="dev", help="stands for {env} in --config, and picks that entry of the file if it has one")
     p.add_argument("--config", help="JSON file with root or gcs_bucket, tables and the other settings")
     p.add_argument("--ledger", help="folder with the files done so far: only unseen files of --source are read, and recorded afterwards")
+    p.add_argument("--partials", help="folder with partial results per day: tables without days are merged from them, over all files below root, "
+                   "and only days whose files changed are read")
     p.add_argument("--unique", action="store_true", help="keep one row for each event id, for input that may be delivered twice")
     p.add_argument("--same_columns", action="store_true", help="all files of a folder have the same columns: read one footer only")
     p.add_argument("--root", help="folder or URI that holds source/")
@@ -143,7 +155,7 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
         config = config.get(args.env, config)
         if config.get("env", args.env) != args.env:
             raise ValueError(f"{args.config} is for {config['env']}, not for {args.env}")
-    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket", "write_method", "ledger"):
+    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket", "write_method", "ledger", "partials"):
         if getattr(args, name) is None:
             setattr(args, name, config.get(name))
     args.write_method = args.write_method or "direct"
@@ -189,6 +201,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         outcomes = run(
             load, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel,
             first_day=args.first_day, last_day=args.last_day,
+            store=Store(spark, args.root, args.partials, args.unique) if args.partials else None,
         )
         if args.ledger and not any(o.error for o in outcomes):
             # A run that failed in part is repeated as a whole; its rerun should bear the same run_id.

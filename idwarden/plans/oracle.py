@@ -387,3 +387,11 @@ ORACLE["r2_day_range"] = f"""
   SELECT 'escalation' AS kind, "user", ts, event_id AS detail FROM ({ORACLE["d08_unrequested_escalation"]})
   UNION ALL SELECT 'orphan', "user", ts, missing_kind || ':' || event_id FROM ({ORACLE["d19_orphan_events"]})
   UNION ALL SELECT 'bypass', "user", mfa_failure_time, app_accessed || ':' || seconds_after_failure FROM ({ORACLE["d03_mfa_bypass"]})"""
+ORACLE["j1_partials"] = f"""
+  SELECT 'role' AS kind, "user" AS name, concat_ws(':', role, n, n_roles, first_role, last_role, drift) AS detail FROM ({ORACLE["d13_role_drift"]})
+  UNION ALL SELECT 'stale', "user", concat_ws(':', app, days_idle, never_used) FROM ({ORACLE["d14_stale_access"].replace("14 * 86400", "30 * 86400")})
+  UNION ALL SELECT 'approver', approver, concat_ws(':', decisions, approvals, self_approvals, requesters, suspicious)
+  FROM ({ORACLE["d17_approver_behaviour"]})
+  UNION ALL SELECT 'churn', "group", concat_ws(':', week, adds, removes, escalations, distinct_users) FROM ({ORACLE["d18_group_churn"]})
+  UNION ALL SELECT 'orphan', "user", reason || ':' || n_events FROM ({ORACLE["d20_orphan_users"]})
+  UNION ALL SELECT 'risk', "user", concat_ws(':', risk_score, unique_countries, total_logins, unexplained_app_usage) FROM ({ORACLE["d04_risk_scores"]})"""

@@ -25,7 +25,8 @@ class Detector:
 def of_days(key: str, first_day: str | None, last_day: str | None, load: Callable[..., Sources]) -> DataFrame:
     """The rows of a table that belong to a range of days: those of the whole, cut, whichever days are read for them.
 
-    ``load`` takes ``days``, by source. A table without days is computed and returned whole.
+    ``load`` takes ``days``, by source. Rows without a time belong to the range without a first day, so that ranges that adjoin
+    add up to the whole. A table without days is computed and returned whole.
     """
     detector = {**DETECTORS, **CHECKS}[key]
     if detector.day is None or not (first_day or last_day):
@@ -39,7 +40,8 @@ def of_days(key: str, first_day: str | None, last_day: str | None, load: Callabl
     if first_day is not None:
         rows = rows.where(day >= F.lit(first_day).cast("date"))
     if last_day is not None:
-        rows = rows.where(day <= F.lit(last_day).cast("date"))
+        early = day <= F.lit(last_day).cast("date")
+        rows = rows.where(early if first_day is not None else early | day.isNull())
     return rows
 
 
@@ -49,7 +51,7 @@ DETECTORS: dict[str, Detector] = {
     "impossible_table": Detector(logins.impossible_login, ("okta", "app_usage"), "time_of_app_access", {"app_usage": (0, 0)}),
     "mfa_table": Detector(logins.mfa_bypass, ("okta", "app_usage"), "mfa_failure_time", {"okta": (0, 0), "app_usage": (0, 1)}),
     "mfa_all_table": Detector(logins.mfa_bypass_all_apps, ("okta", "app_usage"), "mfa_failure_time", {"okta": (0, 0), "app_usage": (0, 1)}),
-    "impossible_travel_table": Detector(logins.impossible_travel, ("okta",), "ts"),
+    "impossible_travel_table": Detector(logins.impossible_travel, ("okta",), "ts", {"okta": (1, 0)}),
     "privilege_escalation_table": Detector(access.unrequested_escalations, ("ad", "saviynt"), "ts", {"ad": (0, 0)}),
     "ad_volume_spike_table": Detector(activity.volume_spikes, ("ad",), "day"),
     "rejected_executed_table": Detector(access.rejected_but_executed, ("saviynt", "app_usage", "ad")),

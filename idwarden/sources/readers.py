@@ -41,18 +41,22 @@ def _or_empty(spark, source, load):
 
 def read_parquet(
     spark: SparkSession, source: str, path: str | list[str], *, merge_schema: bool = True, keep_file: bool = False,
-    first_day: str | None = None, last_day: str | None = None,
+    first_day: str | None = None, last_day: str | None = None, day_folders: list[str | None] | None = None,
 ) -> DataFrame:
     """A source from one Parquet file, several, a folder or a glob.
 
     Files may hold typed columns or all-string columns, under current or older names; both end in the fixed layout.
     ``merge_schema`` reads every footer, in a Spark job; it can be left out where all files of a folder have the same columns.
     ``first_day`` and ``last_day`` (``yyyy-MM-dd``) keep the events of those days; where the folder is
-    split by ``event_date`` the other days are not read. Lines that ingest could not parse are left out.
+    split by ``event_date`` the other days are not read. Events without a time belong to the range without a first day.
+    ``day_folders`` names folders to read (None: events without a time), if there are any. Lines that ingest could not parse are left out.
     """
     def load():
         paths = [path] if isinstance(path, str) else path
         raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        if day_folders is not None and "event_date" in raw.columns:
+            named = F.col("event_date").cast("date").isin(*(F.lit(d).cast("date") for d in day_folders if d is not None))
+            raw = raw.where(named | F.col("event_date").isNull() if None in day_folders else named)
         return from_raw(raw, source, first_day=first_day, last_day=last_day, keep_file=keep_file)
 
     return _or_empty(spark, source, load)
@@ -69,7 +73,8 @@ def from_raw(
         if first_day is not None:
             raw = raw.where(day >= F.lit(first_day).cast("date"))
         if last_day is not None:
-            raw = raw.where(day <= F.lit(last_day).cast("date"))
+            early = day <= F.lit(last_day).cast("date")
+            raw = raw.where(early if first_day is not None else early | day.isNull())
     if keep_file:
         raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"))
     return normalise(raw, source, extra=["source_file"] if keep_file else [])
