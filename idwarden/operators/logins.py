@@ -1,12 +1,12 @@
 """Detectors on logins and the app use around them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idwarden.constants import LOGIN_BAND_SEC, LOGIN_GRACE_SEC, MFA_WINDOW_SEC
 from idwarden.functions import elapsed, is_failure
 from idwarden.functions.checks import non_negative, positive
-from idwarden.operators.temporal import asof_join, band_join, with_previous, without_band_match
+from idwarden.operators.temporal import asof_scan, band_join, with_previous, without_band_match
 from idwarden.sources import Sources
 
 _IMPOSSIBLE = (
@@ -103,32 +103,44 @@ def same_session_bypass(src: Sources, *, window_sec: int = MFA_WINDOW_SEC, match
     return _after_failure(joined).select(*_BYPASS)
 
 
-def _first_access(failed: DataFrame, access: DataFrame, window_sec: int) -> DataFrame:
-    """The first access after each distinct (user, failure time), by (time, id)."""
-    access = access.select("user", "usage_id", "app_accessed", "app_access_time", "app_usage_duration_sec")
-    nearest = asof_join(
-        failed.select("req_id", "user", "mfa_failure_time", "failure_reason"), access, ["user"],
-        "mfa_failure_time", "app_access_time", "usage_id",
-        forward=True, strict=True, whole_seconds=True, within_sec=window_sec, match="_next",
+def _first_accesses(src: Sources, window_sec: int, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """For each rule, a condition on failures and one on accesses: the first such access after each distinct (user, failure time).
+
+    All rules share one pass. Failures of one moment share their next access; the one with the lowest id stands for them.
+    """
+    positive(window_sec=window_sec)
+    access = _accesses(src).select("user", "app_access_time", "usage_id", "app_accessed", "app_usage_duration_sec", "app_session_id")
+    told = F.struct("req_id", "failure_reason")
+    nearest = asof_scan(
+        _failures(src), access, ["user"], "mfa_failure_time", "app_access_time", "usage_id",
+        {f"next_{rule}": accesses for rule, (_, accesses) in rules.items()},
+        keep={f"of_{rule}": F.when(failures, told) for rule, (failures, _) in rules.items()},
+        forward=True, strict=True, whole_seconds=True, within_sec=window_sec,
     )
-    # Failures of one moment share their next access; the one with the lowest id stands for them.
-    once = nearest.groupBy("user", "mfa_failure_time").agg(F.min(F.struct("req_id", "failure_reason", "_next")).alias("_f"))
-    flat = once.select("user", "mfa_failure_time", "_f.failure_reason", "_f._next.*").withColumn(
-        "app_session_id", F.lit(None).cast("string")
+    found = F.explode(F.array(*(F.struct(F.col(f"of_{rule}").alias("of"), F.col(f"next_{rule}").alias("next")) for rule in rules)))
+    flat = nearest.select("user", "mfa_failure_time", found.alias("f")).where("f.of IS NOT NULL AND f.next IS NOT NULL").select(
+        "user", "mfa_failure_time", "f.of.failure_reason", "f.next.app_accessed", "f.next.app_access_time", "f.next.app_usage_duration_sec",
+        F.lit(None).cast("string").alias("app_session_id"),
     )
     return _after_failure(flat).select(*_BYPASS)
 
 
+def _sessionless_failure() -> dict[str, tuple[Column, Column]]:
+    return {"failure": (F.col("session_id").isNull(), F.lit(True))}
+
+
+def _sessionless_access() -> dict[str, tuple[Column, Column]]:
+    return {"access": (F.lit(True), F.col("app_session_id").isNull())}
+
+
 def sessionless_failure_bypass(src: Sources, *, window_sec: int = MFA_WINDOW_SEC) -> DataFrame:
     """First app access of the user after a failed login that has no session."""
-    positive(window_sec=window_sec)
-    return _first_access(_failures(src).where(F.col("session_id").isNull()), _accesses(src), window_sec)
+    return _first_accesses(src, window_sec, _sessionless_failure())
 
 
 def sessionless_access_bypass(src: Sources, *, window_sec: int = MFA_WINDOW_SEC) -> DataFrame:
     """First app access without a session after any failed login of the user."""
-    positive(window_sec=window_sec)
-    return _first_access(_failures(src), _accesses(src).where(F.col("app_session_id").isNull()), window_sec)
+    return _first_accesses(src, window_sec, _sessionless_access())
 
 
 def mfa_bypass(
@@ -138,10 +150,8 @@ def mfa_bypass(
 
     One access can be found by two rules. ``ordered`` sorts by the seconds after the failure.
     """
-    found = (
-        same_session_bypass(src, window_sec=window_sec, match_user=match_user)
-        .unionByName(sessionless_failure_bypass(src, window_sec=window_sec))
-        .unionByName(sessionless_access_bypass(src, window_sec=window_sec))
+    found = same_session_bypass(src, window_sec=window_sec, match_user=match_user).unionByName(
+        _first_accesses(src, window_sec, {**_sessionless_failure(), **_sessionless_access()})
     )
     return found.orderBy("seconds_after_failure") if ordered else found
 
@@ -158,7 +168,7 @@ def impossible_travel(src: Sources, *, max_gap_sec: int = 3600) -> DataFrame:
     """Successive successful logins from another country and address within the gap."""
     positive(max_gap_sec=max_gap_sec)
     # Copies of a login follow each other and change nothing.
-    logins = src.logins.where(F.col("status") == "SUCCESS").select("req_id", "user", "ts", "country", "ip").distinct()
+    logins = src.logins.where(F.col("status") == "SUCCESS").select("req_id", "user", "ts", "country", "ip")
     steps = with_previous(logins, ["user"], "ts", "req_id", ["ts", "country", "ip"], within_sec=max_gap_sec)
     return (
         steps.withColumn("gap_sec", elapsed("ts", F.col("prev.ts")))
@@ -176,7 +186,7 @@ def impossible_travel(src: Sources, *, max_gap_sec: int = 3600) -> DataFrame:
 def mfa_drift(src: Sources) -> DataFrame:
     """Logins whose MFA method differs from the user's login before, with the methods used so far."""
     # Copies of a login follow each other and change nothing.
-    logins = src.logins.where(F.col("mfa").isNotNull()).select("req_id", "user", "ts", "mfa").distinct()
+    logins = src.logins.where(F.col("mfa").isNotNull()).select("req_id", "user", "ts", "mfa")
     changed = with_previous(logins, ["user"], "ts", "req_id", ["mfa"]).where(F.col("prev.mfa") != F.col("mfa"))
     # A method counts from its first login on; one entry per method is left of each user's logins.
     firsts = (

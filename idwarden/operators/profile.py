@@ -9,7 +9,7 @@ from idwarden.functions.checks import non_negative, positive
 from idwarden.operators.access import unrequested_escalations
 from idwarden.operators.integrity import orphan_events
 from idwarden.operators.keyed import without_match
-from idwarden.operators.temporal import asof_join
+from idwarden.operators.temporal import asof_join, asof_scan
 from idwarden.sources import Sources
 
 
@@ -118,7 +118,11 @@ def high_risk_sequences(src: Sources, *, window_sec: int = 86400, transfers=("up
         "usage_id", "user", F.col("ts").alias("app_ts"), "app", "action"
     )
     steps = dict(forward=True, whole_seconds=True, within_sec=window_sec)
-    followed = asof_join(escalations, transfer, ["user"], "escalation_ts", "app_ts", "usage_id", match="transfer", **steps)
+    # Of the escalations of one moment the one with the lowest id stands for all.
+    followed = asof_scan(
+        escalations, transfer, ["user"], "escalation_ts", "app_ts", "usage_id", {"transfer": F.lit(True)},
+        keep={"event_id": F.col("event_id")}, **steps,
+    ).where(F.col("transfer").isNotNull())
     chains = asof_join(failed, followed, ["user"], "failed_ts", "escalation_ts", "event_id", match="step", **steps)
     return chains.select(
         "user", "failed_ts", F.col("step.escalation_ts").alias("escalation_ts"),

@@ -6,6 +6,8 @@ border travels as one summary row per (key, chunk). Rows that share a key and a
 combined before they meet, so copies of one event do not fill a task either.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,84 +86,81 @@ def without_band_match(
     )
 
 
-def asof_join(
+def asof_scan(
     left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, right_id: str,
-    *, forward: bool = False, strict: bool = False, whole_seconds: bool = False,
-    within_sec: int | None = None, how: str = "inner", chunk_sec: int = CHUNK_SEC, match: str = "match",
+    targets: dict[str, Column], *, keep: dict[str, Column] | None = None, forward: bool = False, strict: bool = False,
+    whole_seconds: bool = False, within_sec: int | None = None, chunk_sec: int = CHUNK_SEC,
 ) -> DataFrame:
-    """Attach to each left row the nearest earlier (``forward``: later) right row on the same keys.
-
-    The right row comes as one struct column ``match`` without the key columns. Ties go
-    to the row nearest by (``right_ts``, ``right_id``). ``strict`` shuts out equal times, ``whole_seconds``
-    compares times by second, ``within_sec`` bounds the distance. ``how='left'`` keeps rows with no
-    match. No pairs are formed: the distinct times of both sides are scanned once in order per
-    (key, chunk), and the left rows then fetch the match of their time. However many rows share
-    a time, the scan sees it once per side.
+    """For each (``on``, ``left_ts``) of ``left`` the nearest earlier (``forward``: later) ``right`` row of each target, in one pass.
+
+    ``targets`` are conditions on ``right``; each gives a struct of its columns but the keys, (``right_ts``, ``right_id``) first, or NULL.
+    Ties go to the row nearest by that struct. ``keep`` are expressions on ``left`` of which the smallest of each time is returned.
+    ``strict`` shuts out equal times, ``whole_seconds`` compares times by second, ``within_sec`` bounds the distance.
+
+    No pairs are formed: both sides are combined by time, in one shuffle for all targets, and scanned in order per (key, chunk) in
+    another. With a bound, right rows are copied to the chunks their band reaches; without one, a row per (key, chunk)
+    tells what came before it.
     """
     positive(chunk_sec=chunk_sec)
+    keep = keep or {}
     at = seconds if whole_seconds else F.col
-    best = F.min_by if forward else F.max_by
-    direction = F.desc if forward else F.asc
-    spot = [*on, "_chunk", "_at"]
-    nearest = best("_right", F.struct(f"_right.{right_ts}", f"_right.{right_id}")).alias("_right")
-
-    dated = left.where(all_not_null(*on, left_ts)).withColumns(
-        {"_chunk": _chunk(left_ts, chunk_sec), "_at": at(left_ts)}
+    best, direction = (F.min, F.desc) if forward else (F.max, F.asc)
+    width = chunk_sec if within_sec is None else max(chunk_sec, within_sec)
+    left_turn, right_turn = (0, 1) if strict else (1, 0)
+    chunk = [*on, "_chunk"]
+
+    payload = F.struct(right_ts, right_id, *[c for c in right.columns if c not in (*on, right_ts, right_id)])
+    if within_sec is None:
+        reached = _chunk(right_ts, width)
+    else:
+        reached = F.explode(_covered(right_ts, -within_sec, 0, width) if forward else _covered(right_ts, 0, within_sec, width))
+    lefts = left.where(all_not_null(*on, left_ts)).select(
+        *on, _chunk(left_ts, width).alias("_chunk"), at(left_ts).alias("_at"), F.lit(left_turn).alias("_turn"), left_ts,
+        *[c.alias(name) for name, c in keep.items()],
     )
-    # With a bound no match reaches further than the next chunk.
-    one_chunk_on = F.col("_chunk") + F.lit(-1 if forward else 1)
-    bounded = within_sec is not None and within_sec <= chunk_sec
-    payload = F.struct(*[c for c in right.columns if c not in on])
-    rights = (
-        right.where(all_not_null(*on, right_ts))
-        .select(*on, _chunk(right_ts, chunk_sec).alias("_chunk"), at(right_ts).alias("_at"), payload.alias("_right"))
-        # Stated, so that both uses of this frame get the same filters and share one shuffle.
-        .where(all_not_null("_chunk", one_chunk_on) if bounded else F.col("_chunk").isNotNull())
-        .groupBy(*spot)
-        .agg(nearest)
+    rights = right.where(all_not_null(*on, right_ts) & reduce(Column.__or__, targets.values())).select(
+        *on, reached.alias("_chunk"), at(right_ts).alias("_at"), F.lit(right_turn).alias("_turn"),
+        *[F.when(wanted, payload).alias(name) for name, wanted in targets.items()],
     )
-    times = dated.select(*spot).distinct()
-
-    # Nearest right row of the chunks already passed, for the chunks that may need it.
-    passed = rights.groupBy(*on, "_chunk").agg(nearest)
-    if bounded:
-        carried = passed.withColumn("_chunk", one_chunk_on)
-    else:
-        asked = dated.select(*on, "_chunk").distinct().withColumn("_asks", F.lit(0))
-        steps = passed.withColumn("_asks", F.lit(1)).unionByName(asked, allowMissingColumns=True)
-        by_chunk = (
-            Window.partitionBy(*on).orderBy(direction("_chunk"), F.asc("_asks")).rowsBetween(Window.unboundedPreceding, 0)
-        )
-        carried = (
-            steps.withColumn("_right", F.last("_right", ignorenulls=True).over(by_chunk))
-            .where((F.col("_asks") == 0) & F.col("_right").isNotNull())
-            .drop("_asks")
+    # The chunks are stated to be known, so that both uses of the points get the same filters and share their shuffles.
+    points = lefts.unionByName(rights, allowMissingColumns=True).where(F.col("_chunk").isNotNull()).groupBy(
+        *chunk, "_at", "_turn", left_ts
+    ).agg(*[F.min(name).alias(name) for name in keep], *[best(name).alias(name) for name in targets])
+    in_order = Window.partitionBy(*chunk).orderBy(direction("_at"), "_turn", left_ts)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    passed = points.withColumns({
+        **{name: F.last(name, ignorenulls=True).over(so_far) for name in targets}, "_next": F.lead("_turn").over(in_order)
+    })
+    scanned = passed.where(F.col("_turn") == left_turn)
+    if within_sec is None:
+        # What the last row of each chunk has seen is handed to the chunks after it.
+        before = Window.partitionBy(*on).orderBy(direction("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+        carried = passed.where(F.col("_next").isNull()).select(
+            *chunk, *[F.last(name, ignorenulls=True).over(before).alias(f"_before_{name}") for name in targets]
         )
+        scanned = scanned.join(carried, chunk).withColumns({name: F.coalesce(name, f"_before_{name}") for name in targets})
+    else:
+        scanned = scanned.withColumns({
+            name: F.when(F.abs(elapsed(F.col(f"{name}.{right_ts}"), left_ts)) <= F.lit(within_sec), F.col(name)) for name in targets
+        })
+    return scanned.select(*on, left_ts, *keep, *targets)
 
-    # Carried rows first, then both sides in time order; at equal times the left one goes
-    # first when equality does not count.
-    left_turn, right_turn = (1, 2) if strict else (2, 1)
-    rows = (
-        times.withColumn("_turn", F.lit(left_turn))
-        .unionByName(rights.withColumn("_turn", F.lit(right_turn)), allowMissingColumns=True)
-        .unionByName(carried.withColumn("_turn", F.lit(0)), allowMissingColumns=True)
-        .withColumn("_late", F.col("_turn") > 0)
-    )
-    in_chunk = (
-        Window.partitionBy(*on, "_chunk")
-        .orderBy(F.asc("_late"), direction("_at"), F.asc("_turn"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    matches = (
-        rows.withColumn(match, F.last("_right", ignorenulls=True).over(in_chunk))
-        .where((F.col("_turn") == left_turn) & F.col(match).isNotNull())
-        .select(*spot, match)
-    )
-    if within_sec is not None:
-        right_at, left_at = F.col(f"{match}.{right_ts}"), F.col("_at")
-        gap = F.abs(seconds(right_at) - (left_at if whole_seconds else seconds(left_at)))
-        matches = matches.where(gap <= F.lit(within_sec))
-    found = dated.join(matches, spot, how).select(*left.columns, match)
+
+def asof_join(
+    left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, right_id: str,
+    *, forward: bool = False, strict: bool = False, whole_seconds: bool = False,
+    within_sec: int | None = None, how: str = "inner", chunk_sec: int = CHUNK_SEC, match: str = "match",
+) -> DataFrame:
+    """Attach to each left row the nearest earlier (``forward``: later) right row on the same keys, by ``asof_scan``.
+
+    The right row comes as one struct column ``match`` without the key columns. ``how='left'`` keeps rows with no
+    match. However many rows share a time, the scan sees it once per side.
+    """
+    matches = asof_scan(
+        left.select(*on, left_ts), right, on, left_ts, right_ts, right_id, {match: F.lit(True)}, forward=forward, strict=strict,
+        whole_seconds=whole_seconds, within_sec=within_sec, chunk_sec=chunk_sec,
+    ).where(F.col(match).isNotNull())
+    found = left.where(all_not_null(*on, left_ts)).join(matches, [*on, left_ts], how).select(*left.columns, match)
     if how == "inner":
         return found
     return found.unionByName(left.where(any_null(*on, left_ts)), allowMissingColumns=True)
@@ -174,17 +173,22 @@ def with_previous(
     """Add a struct with the ``carry`` columns of the row before, in (ts, row_id) order per key.
 
     Rows without key or time have no place in the order and are left out. With ``within_sec`` a row
-    further back may come as NULL; callers that look no further than that save a shuffle.
+    further back may come as NULL; callers that look no further than that save all shuffles but one, as
+    rows near the end of a chunk are copied to the next.
     """
     positive(chunk_sec=chunk_sec)
-    rows = df.where(all_not_null(*on, ts)).withColumn("_chunk", _chunk(ts, chunk_sec))
-    rows = rows.withColumn("_own", F.struct(*carry))
+    dated = df.where(all_not_null(*on, ts))
+    if within_sec is not None:
+        width = max(chunk_sec, 4 * within_sec)  # at most a quarter of the rows are copied
+        rows = dated.withColumn("_chunk", F.explode(_covered(ts, 0, within_sec, width)))
+        before = Window.partitionBy(*on, "_chunk").orderBy(ts, row_id)
+        return (
+            rows.withColumn(name, F.lag(F.struct(*carry)).over(before)).where(F.col("_chunk") == _chunk(ts, width)).drop("_chunk")
+        )
+    rows = dated.withColumn("_chunk", _chunk(ts, chunk_sec)).withColumn("_own", F.struct(*carry))
     ends = rows.groupBy(*on, "_chunk").agg(F.max_by("_own", F.struct(ts, row_id)).alias("_own"))
-    if within_sec is not None and within_sec <= chunk_sec:
-        carried = ends.withColumn("_chunk", F.col("_chunk") + F.lit(1))
-    else:
-        by_chunk = Window.partitionBy(*on).orderBy("_chunk")
-        carried = ends.withColumn("_own", F.lag("_own").over(by_chunk)).where(F.col("_own").isNotNull())
+    by_chunk = Window.partitionBy(*on).orderBy("_chunk")
+    carried = ends.withColumn("_own", F.lag("_own").over(by_chunk)).where(F.col("_own").isNotNull())
     in_chunk = Window.partitionBy(*on, "_chunk").orderBy("_turn", ts, row_id)
     return (
         rows.withColumn("_turn", F.lit(1))

@@ -72,6 +72,24 @@ def test_windows_are_split_by_time(spark):
         assert any("Exchange hashpartitioning(user" in line and "_chunk" in line for line in plan.splitlines())
 
 
+@pytest.mark.parametrize("name,most", [
+    ("d03_mfa_bypass", 4), ("d07_impossible_travel", 1), ("d11_high_risk_sequence", 6), ("d16_mfa_drift", 6),
+    ("n9_session_attribution", 7), ("q6_late_directory_event", 7),
+])
+def test_shuffles_of_time_joins(spark, name, most):
+    """Without broadcasts, as on large inputs: all targets of a search share one pass."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = plan_of(QUERIES[name](spark, SMALL))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum("Exchange hashpartitioning" in line and "ReusedExchange" not in line for line in plan.splitlines()) <= most
+
+
 @pytest.fixture(scope="module")
 def busy(spark, tmp_path_factory):
     """The smallest tables with a third of all events moved to one user."""

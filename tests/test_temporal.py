@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from idwarden.operators.keyed import without_match
 from idwarden.operators.temporal import (
     asof_join,
+    asof_scan,
     band_join,
     count_pairs_before,
     with_previous,
@@ -103,6 +104,22 @@ def test_asof_join_with_copies(sides):
     assert rows(twice, "l_id", "match.r_id") == sorted(once * 2, key=repr)
 
 
+@pytest.mark.parametrize("within_sec", [None, 90, 5000])
+@pytest.mark.parametrize("forward", [False, True])
+def test_asof_scan_with_several_targets(sides, within_sec, forward):
+    """One pass finds for each time what a join for each target would, and the smallest left row of each kind."""
+    _, _, l_df, r_df = sides
+    kinds = {"any_row": F.lit(True), "even": F.substring("r_id", 5, 1).cast("int") % 2 == 0, "none": F.lit(False)}
+    steps = dict(forward=forward, whole_seconds=True, within_sec=within_sec, chunk_sec=3600)
+    odd = F.when(F.substring("l_id", 5, 1).cast("int") % 2 == 1, F.col("l_id"))
+    found = asof_scan(l_df, r_df, ["user"], "l_ts", "r_ts", "r_id", kinds, keep={"first_id": F.col("l_id"), "odd_id": odd}, **steps)
+    times = l_df.where("user IS NOT NULL AND l_ts IS NOT NULL").groupBy("user", "l_ts")
+    assert rows(found, "user", "l_ts", "first_id", "odd_id") == rows(times.agg(F.min("l_id").alias("first_id"), F.min(odd).alias("odd_id")))
+    for kind, wanted in kinds.items():
+        single = asof_join(times.agg(F.count("*")), r_df.where(wanted), ["user"], "l_ts", "r_ts", "r_id", how="left", **steps)
+        assert rows(found, "user", "l_ts", f"{kind}.r_id") == rows(single, "user", "l_ts", "match.r_id")
+
+
 def test_asof_join_inner_drops_unmatched(sides):
     _, _, l_df, r_df = sides
     inner = asof_join(l_df, r_df, ["user"], "l_ts", "r_ts", "r_id")
