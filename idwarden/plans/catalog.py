@@ -127,6 +127,11 @@ QUERIES: dict[str, Query] = {
     "r2_two_generations": files_trial.two_generations,
     "j1_job_twice": files_trial.job_twice,
     "j1_partials": files_trial.merged_tables,
+    "j1_all_tables": files_trial.all_tables,
+    "n11_ledger": files_trial.failed_run_repeated,
+    "r5_csv": files_trial.csv_round_trip,
+    "w1_append": files_trial.appended,
+    "w6_rerun": files_trial.catalog_reruns,
     "s1_ingest": trial.ingest_app_messages,
     "s2_streaming_repeats": trial.distinct_events,
     "s3_streaming_bypass": trial.bypass_pairs,

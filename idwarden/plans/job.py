@@ -20,12 +20,12 @@ from pyspark.sql import SparkSession
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.functions.checks import one_of, positive
+from idwarden.plans.ledger import Ledger, Run, listed
 from idwarden.plans.partials import FROM_PARTIALS, Store
 from idwarden.plans.registry import CHECKS, DETECTORS, of_days
 from idwarden.plans.session import session
-from idwarden.plans.sinks import write_table
+from idwarden.plans.sinks import write_catalog_table, write_table
 from idwarden.sources import Sources, load_sources
-from idwarden.sources.readers import list_files, read_ledger, record_files, unseen_files
 
 log = logging.getLogger(__name__)
 
@@ -34,9 +34,17 @@ WRITE_METHODS = ("direct", "indirect")
 
 @dataclass(frozen=True)
 class Sink:
+    """Files below ``path``, tables of a ``catalog`` (its name and that of a schema), or a connector by its options."""
+
     path: str | None = None
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    catalog: str | None = None
+
+    def write(self, rows, table: str, run_id: str | None) -> int:
+        if self.catalog is not None:
+            return write_catalog_table(rows, f"{self.catalog}.{table}", run_id or uuid.uuid4().hex, fmt=self.fmt)
+        return write_table(rows, table, path=self.path, fmt=self.fmt, run_id=run_id, options=self.options)
 
 
 @dataclass(frozen=True)
@@ -79,9 +87,7 @@ def run(
     def fill(key: str) -> Outcome:
         began = time.monotonic()
         try:
-            rows = write_table(
-                rows_of(key), names[key], path=sink.path, fmt=sink.fmt, run_id=run_id, options=sink.options
-            )
+            rows = sink.write(rows_of(key), names[key], run_id)
             log.info("%s: %s rows", names[key], rows or "no")
             return Outcome(key, names[key], rows, time.monotonic() - began)
         except Exception as e:
@@ -117,7 +123,7 @@ def parser() -> argparse.ArgumentParser:
     # Names of arguments and of the connector's options.
     p.add_argument("--env", default="dev", help="stands for {env} in --config, and picks that entry of the file if it has one")
     p.add_argument("--config", help="JSON file with root or gcs_bucket, tables and the other settings")
-    p.add_argument("--ledger", help="folder with the files done so far: only unseen files of --source are read, and recorded afterwards")
+    p.add_argument("--ledger", help="folder with the files done so far: only unseen files of --source are read, runs that failed are repeated first")
     p.add_argument("--partials", help="folder with partial results per day: tables without days are merged from them, over all files below root, "
                    "and only days whose files changed are read")
     p.add_argument("--unique", action="store_true", help="keep one row for each event id, for input that may be delivered twice")
@@ -129,6 +135,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--first_day", metavar="YYYY-MM-DD", help="only result rows of this day and later, in tables that have days")
     p.add_argument("--last_day", metavar="YYYY-MM-DD", help="only result rows of this day and earlier")
     p.add_argument("--sink_path", help="folder of the result tables; <root>/gold by default")
+    p.add_argument("--sink_catalog", metavar="CATALOG.SCHEMA", help="write catalog tables, whose rows of a run are replaced in one commit")
     p.add_argument("--sink_format", default="parquet")
     p.add_argument("--sink_option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--bq_project")
@@ -155,7 +162,7 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
         config = config.get(args.env, config)
         if config.get("env", args.env) != args.env:
             raise ValueError(f"{args.config} is for {config['env']}, not for {args.env}")
-    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket", "write_method", "ledger", "partials"):
+    for name in ("root", "gcs_bucket", "bq_project", "bq_dataset", "sink_path", "temp_gcs_bucket", "write_method", "ledger", "partials", "sink_catalog"):
         if getattr(args, name) is None:
             setattr(args, name, config.get(name))
     args.write_method = args.write_method or "direct"
@@ -166,7 +173,9 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
         if args.gcs_bucket is None:
             raise ValueError("give --root or --gcs_bucket")
         args.root = f"gs://{args.gcs_bucket}"
-    if args.bq_project and args.bq_dataset and not args.sink_path:
+    if args.sink_catalog:
+        args.sink = Sink(fmt=args.sink_format, catalog=args.sink_catalog)
+    elif args.bq_project and args.bq_dataset and not args.sink_path:
         args.sink = warehouse_sink(args.bq_project, args.bq_dataset, args.write_method, args.temp_gcs_bucket)
     else:
         options = dict(o.split("=", 1) for o in args.sink_option)
@@ -175,10 +184,15 @@ def settings(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
-def new_files(spark: SparkSession, root: str, source: str, ledger: str) -> list[str]:
-    """Files of a source that the ledger does not hold."""
-    listing = list_files(spark, f"{root}/source/{source}")
-    return sorted(r["path"] for r in unseen_files(listing, read_ledger(spark, ledger)).select("path").collect())
+def runs_to_do(spark: SparkSession, args: argparse.Namespace) -> list[Run]:
+    """Runs of the ledger that failed, then one of all unseen files: of the source, or of ``--input_file``."""
+    ledger = Ledger(spark, args.ledger)
+    failed = ledger.unfinished()
+    below = f"{args.root}/source/{args.source}"
+    if args.input_file:
+        below = args.input_file if ":" in args.input_file or args.input_file.startswith("/") else f"{args.root}/{args.input_file}"
+    new = ledger.take(listed(spark, below), args.run_id)
+    return [*failed, *([new] if new else [])]
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -188,29 +202,26 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if started:
         sizing = {"spark.sql.shuffle.partitions": str(args.shuffle_partitions)} if args.shuffle_partitions else {}
         spark = session("idwarden", **sizing)
+    failed = []
     try:
-        files = args.input_file
-        if args.ledger and not files:
-            files = new_files(spark, args.root, args.source, args.ledger)
-            if not files:
-                log.info("no new files of %s", args.source)
-                return 0
-        load = partial(
-            load_sources, spark, args.root, args.source, files, merge_schema=not args.same_columns, unique=args.unique)
-        keys = chosen(args.source, only_affected=args.only_affected, checks=args.checks)
-        outcomes = run(
-            load, args.sink, tables=args.tables, run_id=args.run_id, keys=keys, parallel=args.parallel,
-            first_day=args.first_day, last_day=args.last_day,
-            store=Store(spark, args.root, args.partials, args.unique) if args.partials else None,
-        )
-        if args.ledger and not any(o.error for o in outcomes):
-            # A run that failed in part is repeated as a whole; its rerun should bear the same run_id.
-            done = files if isinstance(files, list) else [files]
-            record_files(spark.createDataFrame([(f,) for f in done], "path string"), args.ledger)
+        todo = runs_to_do(spark, args) if args.ledger else [Run(args.run_id, args.input_file)]
+        if not todo:
+            log.info("no new files of %s", args.source)
+        for one in todo:
+            load = partial(load_sources, spark, args.root, args.source, one.files, merge_schema=not args.same_columns, unique=args.unique)
+            outcomes = run(
+                load, args.sink, tables=args.tables, run_id=one.run_id, keys=chosen(args.source, only_affected=args.only_affected, checks=args.checks),
+                parallel=args.parallel, first_day=args.first_day, last_day=args.last_day,
+                store=Store(spark, args.root, args.partials, args.unique) if args.partials else None,
+            )
+            tables = [o.table for o in outcomes if o.error]
+            if args.ledger and not tables:
+                # A run that failed in part is repeated as a whole, under its run id.
+                Ledger(spark, args.ledger).finish(one)
+            failed += tables
     finally:
         if started:
             spark.stop()
-    failed = [o.table for o in outcomes if o.error]
     if failed:
         log.error("failed: %s", ", ".join(failed))
     return 1 if failed else 0

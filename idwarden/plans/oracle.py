@@ -395,3 +395,26 @@ ORACLE["j1_partials"] = f"""
   UNION ALL SELECT 'churn', "group", concat_ws(':', week, adds, removes, escalations, distinct_users) FROM ({ORACLE["d18_group_churn"]})
   UNION ALL SELECT 'orphan', "user", reason || ':' || n_events FROM ({ORACLE["d20_orphan_users"]})
   UNION ALL SELECT 'risk', "user", concat_ws(':', risk_score, unique_countries, total_logins, unexplained_app_usage) FROM ({ORACLE["d04_risk_scores"]})"""
+ORACLE["n11_ledger"] = ORACLE["d02_impossible_login"]
+ORACLE["r5_csv"] = _sql("SELECT * FROM requests")
+ORACLE["w1_append"] = ORACLE["w6_rerun"] = f"""
+  SELECT * EXCLUDE self_initiated, CASE WHEN CAST(substr(event_id, 2) AS BIGINT) % 2 = 1 THEN self_initiated END AS self_initiated
+  FROM ({ORACLE["d08_unrequested_escalation"]})"""
+_DEFAULTS = {
+    "excessive_data_transferred": ("d12_excessive_data", "> 100", "> 1000"),
+    "stale_access": ("d14_stale_access", "14 * 86400", "30 * 86400"),
+    "multi_app_single_session": ("d15_multi_app_session", ">= 2", ">= 3"),
+}
+_TABLE_QUERIES = {
+    "impossible_login_anomalies": "d02_impossible_login", "mfa_bypass_events": "d03_mfa_bypass", "mfa_bypass_events_all_apps": "d06_mfa_bypass_all_apps",
+    "impossible_travel_events": "d07_impossible_travel", "privilege_escalation_without_request": "d08_unrequested_escalation",
+    "ad_volume_spikes": "d09_volume_spikes", "rejected_but_executed": "d10_rejected_but_executed", "high_risk_sequence": "d11_high_risk_sequence",
+    "role_drift": "d13_role_drift", "mfa_drift": "d16_mfa_drift", "suspicious_approver_behavior": "d17_approver_behaviour", "churn": "d18_group_churn",
+    "orphan_event_detection": "d19_orphan_events", "orphan_user_detection": "d20_orphan_users", "cleanest_users": "d21_cleanest_users",
+    "shadow_access_events": "d01_shadow_access", "risk_scores": "d04_risk_scores", "identity_timelines": "d05_timelines", "suspicious_time_warp": "d22_time_warp",
+}
+ORACLE["j1_all_tables"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, count(*) AS n FROM ({sql})" for table, sql in {
+        **{table: ORACLE[name] for table, name in _TABLE_QUERIES.items()},
+        **{table: ORACLE[name].replace(shown, default) for table, (name, shown, default) in _DEFAULTS.items()},
+    }.items())

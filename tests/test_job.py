@@ -2,12 +2,16 @@
 
 import json
 
+from datetime import datetime
+from pathlib import Path
+
 import pytest
 from support import rows
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.operators.access import shadow_access
 from idwarden.plans import job
+from idwarden.plans.ledger import Ledger, Run, listed
 from idwarden.plans.registry import DETECTORS
 from idwarden.plans.sinks import read_table, write_source
 from idwarden.sources.events_view import read_events, sources_from_events
@@ -36,8 +40,9 @@ def test_run_fills_the_tables(spark, root):
     want = rows(shadow_access(sources_from_events(read_events(spark, SMALL))))
     assert rows(read_table(spark, gold, "shadow").drop("run_id")) == want
     assert read_table(spark, gold, TABLES["timeline_table"]).count() == 1000
-    for key, name in TABLES.items():
-        read_table(spark, gold, "shadow" if key == "shadow_table" else name)
+    filled = {p.name for p in (Path(gold)).iterdir()}
+    assert filled <= {"shadow" if key == "shadow_table" else name for key, name in TABLES.items()} and len(filled) >= 18
+    assert all((Path(gold) / name / "run_id=first").exists() for name in filled)
 
 
 def test_only_affected_tables(spark, root, tmp_path):
@@ -97,9 +102,87 @@ def test_ledger_reads_new_files_once(spark, tmp_path):
         write_source(src.get(key), folder, key)
     argv = ["--root", folder, "--source", "hrlifecycle", "--only_affected", "--ledger", f"{folder}/ledger", "--run_id", "a"]
     assert job.main(argv, spark) == 0
-    assert job.new_files(spark, folder, "hrlifecycle", f"{folder}/ledger") == []
+    ledger = Ledger(spark, f"{folder}/ledger")
+    assert ledger.unseen(listed(spark, f"{folder}/source/hrlifecycle")).count() == 0 and ledger.unfinished() == []
+    before = rows(read_table(spark, f"{folder}/gold", TABLES["orphan_user_table"]))
+    assert job.main(argv, spark) == 0  # nothing new: nothing is done
+    assert rows(read_table(spark, f"{folder}/gold", TABLES["orphan_user_table"])) == before
+    write_source(src.hr, folder, "hrlifecycle")
+    assert ledger.unseen(listed(spark, f"{folder}/source/hrlifecycle")).count() >= 1
+
+
+def test_ledger_knows_the_file_it_was_given(spark, tmp_path):
+    """By the path under which Spark lists it, however it was named."""
+    src = sources_from_events(read_events(spark, SMALL))
+    folder = str(tmp_path)
+    write_source(src.hr, folder, "hrlifecycle")
+    file = next((tmp_path / "source" / "hrlifecycle").rglob("*.parquet"))
+    argv = ["--root", folder, "--source", "hrlifecycle", "--only_affected", "--ledger", f"{folder}/ledger", "--input_file"]
+    assert job.main([*argv, str(file.relative_to(tmp_path))], spark) == 0
+    ledger = Ledger(spark, f"{folder}/ledger")
+    assert rows(ledger.rows(), "state") == [("done",), ("taken",)]
+    everything = listed(spark, f"{folder}/source/hrlifecycle")
+    assert ledger.unseen(everything).count() == everything.count() - 1
+    assert job.runs_to_do(spark, job.settings([*argv, str(file)])) == []
+
+
+def test_ledger_of_changed_and_failed_files(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+
+    def files(*listed_files):
+        return spark.createDataFrame([(p, n, datetime(2025, 1, day)) for p, n, day in listed_files], "path string, length long, modificationTime timestamp")
+
+    first = ledger.take(files(("a", 1, 1), ("b", 2, 1)), "r1")
+    assert first == Run("r1", ["a", "b"]) and ledger.unfinished() == [first]
+    assert ledger.take(files(("a", 1, 1), ("b", 2, 1))) is None  # taken, if not done
+    ledger.finish(first)
+    assert ledger.unfinished() == []
+    # One file is longer, one was written again, one is new; the name of the run is taken.
+    second = ledger.take(files(("a", 1, 1), ("a", 9, 1), ("b", 2, 2), ("c", 1, 1)), "r1")
+    assert second.files == ["a", "b", "c"] and second.run_id.startswith("r1-")
+    assert ledger.unfinished() == [second]
+
+
+def test_ledger_of_paths_alone(spark, tmp_path):
+    spark.createDataFrame([("a",)], "path string").write.parquet(str(tmp_path / "ledger"))
+    files = spark.createDataFrame([("a", 1, datetime(2025, 1, 1)), ("b", 1, datetime(2025, 1, 1))], "path string, length long, modificationTime timestamp")
+    assert Ledger(spark, str(tmp_path / "ledger")).take(files, "r").files == ["b"]
+
+
+def test_a_run_that_failed_is_repeated_first(spark, tmp_path, monkeypatch):
+    src = sources_from_events(read_events(spark, SMALL))
+    folder = str(tmp_path)
     write_source(src.hr, folder, "hrlifecycle")
-    assert len(job.new_files(spark, folder, "hrlifecycle", f"{folder}/ledger")) >= 1
+    argv = ["--root", folder, "--source", "hrlifecycle", "--only_affected", "--ledger", f"{folder}/ledger", "--run_id"]
+
+    def fails(src):
+        raise RuntimeError("broken")
+
+    with monkeypatch.context() as m:
+        m.setitem(DETECTORS, "orphan_user_table", job.DETECTORS["orphan_user_table"].__class__(fails, ("hrlifecycle",)))
+        assert job.main([*argv, "one"], spark) == 1
+    assert [r.run_id for r in Ledger(spark, f"{folder}/ledger").unfinished()] == ["one"]
+    assert job.main([*argv, "two"], spark) == 0
+    assert Ledger(spark, f"{folder}/ledger").unfinished() == []
+
+
+def test_a_rerun_without_rows_takes_the_run_away(spark, tmp_path):
+    from idwarden.plans.sinks import write_table
+
+    df = spark.range(3)
+    assert write_table(df, "t", path=str(tmp_path), run_id="r") == 3
+    assert write_table(df.where("id > 5"), "t", path=str(tmp_path), run_id="r") == 0
+    assert not (tmp_path / "t").exists()
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    from idwarden.plans.sinks import write_table
+
+    write_table(spark.range(3), "t", path=str(tmp_path), run_id="r")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|divi"):
+        write_table(spark.range(5).selectExpr("1 DIV (id - 4) AS id"), "t", path=str(tmp_path), run_id="r")
+    assert read_table(spark, str(tmp_path), "t").count() == 3
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["run_id=r"]
 
 
 def test_a_table_is_one_write(spark, tmp_path):
