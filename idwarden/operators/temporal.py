@@ -199,6 +199,28 @@ def with_previous(
     )
 
 
+def run_parts(df: DataFrame, on: list[str], ts: str, gap_sec: int, n: Column | None = None) -> DataFrame:
+    """Parts of runs: per key and stretch of time no longer than the gap, the first and last event and the number of events.
+
+    Events of one stretch are one run whatever lies between them, so a part is a plain aggregate, combined on the map side: a
+    busy key leaves one row per stretch, not one per event. ``ts`` of parts may be given again, with ``last`` and their number ``n``.
+    """
+    positive(gap_sec=gap_sec)
+    last = F.col("last") if "last" in df.columns else F.col(ts)
+    return df.where(F.col(ts).isNotNull()).groupBy(*on, _chunk(ts, min(gap_sec, CHUNK_SEC)).alias("_chunk")).agg(
+        F.min(ts).alias("first"), F.max(last).alias("last"), F.sum(F.lit(1) if n is None else n).alias("n")
+    )
+
+
+def joined_runs(parts: DataFrame, on: list[str], gap_sec: int) -> DataFrame:
+    """Runs of events without a pause over ``gap_sec`` (to the microsecond), from ``run_parts``: keys, first, last and n."""
+    in_order = Window.partitionBy(*on).orderBy("first")
+    pause = F.make_dt_interval(secs=F.lit(gap_sec))
+    new = F.coalesce(F.col("first") > F.lag("last").over(in_order) + pause, F.lit(True)).cast("int")
+    numbered = parts.withColumn("_new", new).withColumn("_run", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*on, "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).drop("_run")
+
+
 def count_pairs_before(
     left: DataFrame, right: DataFrame, on: list[str], left_ts: Column, right_ts: Column, *, chunk_sec: int = CHUNK_SEC,
 ) -> DataFrame:

@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # On a cluster streaming state can outgrow the heap, so it lives in RocksDB.

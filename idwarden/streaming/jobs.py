@@ -9,7 +9,7 @@ import zlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +19,7 @@ from idwarden.constants import MAX_RECORDS_PER_FILE, MFA_WINDOW_SEC, PRIVILEGED_
 from idwarden.functions import elapsed, is_failure, seconds
 from idwarden.functions.checks import one_of, positive
 from idwarden.operators.keyed import without_match
+from idwarden.operators.temporal import joined_runs, run_parts
 from idwarden.plans.sinks import write_days
 from idwarden.sources import normalise, parse_messages
 
@@ -230,21 +231,22 @@ def read_day_counts(spark: SparkSession, path: str) -> DataFrame:
     return parts.groupBy(F.col("ts").alias("day_start"), "user").agg(F.sum("n").alias("n"))
 
 
-def collect_sessions(rows: DataFrame, path: str, checkpoint: str, *, gap: str = f"{SESSION_HOURS} hours") -> StreamingQuery:
-    """Keep runs of a user's events in ``path``: each batch adds the runs of its own events, which ``read_sessions`` joins."""
+def collect_sessions(rows: DataFrame, path: str, checkpoint: str, *, gap_hours: float = SESSION_HOURS) -> StreamingQuery:
+    """Keep parts of runs of a user's events in ``path``: each batch adds those of its own events, which ``read_sessions`` joins.
+
+    A part is what a user did in an hour (or in the gap, if that is shorter), so a busy user is no single task.
+    """
     def write(batch: DataFrame, name: str) -> None:
-        runs = batch.where(F.col("ts").isNotNull()).groupBy(F.session_window("ts", gap).alias("w"), "user").agg(F.count("*").alias("n"))
-        write_days(runs.select("user", F.col("w.start").alias("ts"), F.col("w.end").alias("session_end"), "n"), path, batch=name)
+        parts = run_parts(batch, ["user"], "ts", int(gap_hours * 3600))
+        write_days(parts.select("user", F.col("first").alias("ts"), "last", "n"), path, batch=name)
 
     return in_batches(rows.select("user", "ts"), checkpoint, write)
 
 
-def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """Runs of a user's events without a pause of the gap, so far: runs of batches that touch are one."""
-    by_user = Window.partitionBy("user").orderBy("ts", "session_end")
-    reached = F.max("session_end").over(by_user.rowsBetween(Window.unboundedPreceding, -1))
-    parts = spark.read.parquet(path).withColumn("new", F.coalesce(F.col("ts") > reached, F.lit(True)).cast("int"))
-    runs = parts.withColumn("run", F.sum("new").over(by_user.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("user", "run").agg(
-        F.min("ts").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("n").alias("n")
-    ).drop("run")
+def read_sessions(spark: SparkSession, path: str, *, gap_hours: float = SESSION_HOURS) -> DataFrame:
+    """Runs of a user's events without a pause of the gap, so far; the parts of all batches in an hour are first made one."""
+    gap_sec = int(gap_hours * 3600)
+    parts = run_parts(spark.read.parquet(path), ["user"], "ts", gap_sec, F.col("n"))
+    return joined_runs(parts, ["user"], gap_sec).select(
+        "user", F.col("first").alias("session_start"), (F.col("last") + F.make_dt_interval(secs=F.lit(gap_sec))).alias("session_end"), "n"
+    )

@@ -10,7 +10,7 @@ from idwarden.plans.catalog import QUERIES
 from idwarden.plans.oracle import ORACLE as SQL
 
 SMALL = "/root/testdata/sf0.001"
-STREAMED = {name for name in QUERIES if name.startswith(("s1", "s2", "s3", "s4", "s5", "r2", "j1"))}
+STREAMED = {name for name in QUERIES if name.startswith(("s1", "s2", "s3", "s4", "s5", "r2", "r5", "j1", "w1", "w6", "n11_l"))}
 
 
 @pytest.fixture(scope="module")

@@ -12,6 +12,8 @@ from idwarden.operators.temporal import (
     asof_scan,
     band_join,
     count_pairs_before,
+    joined_runs,
+    run_parts,
     with_previous,
     without_band_match,
 )
@@ -161,6 +163,38 @@ def test_count_pairs_before(sides, chunk_sec):
     assert got == want > 0
 
 
+@pytest.mark.parametrize("gap_sec", [1, 7, 100, 5000])
+def test_runs_from_parts(sides, gap_sec):
+    left, _, l_df, _ = sides
+    parts = run_parts(l_df, ["user"], "l_ts", gap_sec)
+    # The parts of two halves are made one before they are joined.
+    halves = [run_parts(l_df.where(F.pmod(F.hash("l_id"), F.lit(2)) == k), ["user"], "l_ts", gap_sec) for k in (0, 1)]
+    again = run_parts(halves[0].unionByName(halves[1]).withColumnRenamed("first", "l_ts"), ["user"], "l_ts", gap_sec, F.col("n"))
+    want = []
+    for user in {u for u, *_ in left}:
+        run = []
+        for s in sorted(s for u, s, _ in left if u == user and s is not None):
+            if run and s - run[-1] > gap_sec:
+                want.append((user, at(run[0]), at(run[-1]), len(run)))
+                run = []
+            run.append(s)
+        want += [(user, at(run[0]), at(run[-1]), len(run))] if run else []
+    for some in (parts, again):
+        assert rows(joined_runs(some, ["user"], gap_sec), "user", "first", "last", "n") == sorted(want, key=repr)
+
+
+def test_a_busy_user_is_many_parts(spark):
+    """A user with a third of the events: what reaches one task is an hour of them."""
+    events = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, "busy").otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string"))).alias("user"),
+        (F.lit(at(0)).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 5).cast("decimal(18,6)"))).alias("l_ts"),
+    )
+    parts = run_parts(events, ["user"], "l_ts", 8 * 3600)
+    assert parts.agg(F.max("n")).first()[0] <= 3600 / 15 + 1
+    assert parts.where("user = 'busy'").count() >= 400
+    assert rows(joined_runs(parts, ["user"], 8 * 3600).where("user = 'busy'"), "n") == [(100_000,)]
+
+
 def test_count_pairs_before_without_rows(spark):
     none = frame(spark, [], "l")
     assert rows(count_pairs_before(none, none, ["user"], F.col("l_ts"), F.col("l_ts"))) == [(0,)]
