@@ -11,7 +11,9 @@ hashes. Equal sets are one node from the start, so copies cost one comparison in
    at last all nodes of different components with each other. A tile of near copies thus costs as many comparisons as nodes, not as pairs, and no
    link between components is lost.
 4. Each pair is held against its bounds: the shingles that can still follow the shared one, and, by bitmap, the bits in which
-   the signatures differ (no fewer shingles differ; a bit is the parity of its shingles, and there are as many bits as shingles). What is left is decided by exact intersection of the sorted arrays.
+   the signatures differ (no fewer shingles differ; a bit is the parity of its shingles, and there are as many bits as shingles). Where nodes
+   of a tile meet without a pivot, signatures folded to ``LEAST_BITS`` bits are there too, and only pairs within the bounds leave the tile.
+   What is left is decided by exact intersection of the sorted arrays.
 5. Components over the links (``components``).
 
 NULL, empty and blank texts have an empty set and are linked with nothing. Repeated rows are one node. A NULL doc_id has a
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idwarden.llm.arrays import Texts, Words, binaries, join_hashes, mix, ranges, run_starts, starts_of, window_hashes
+from idwarden.llm.arrays import Texts, Words, binaries, binary_values, join_hashes, mix, ranges, run_starts, starts_of, window_hashes
 from idwarden.llm.components import components
 from idwarden.llm.repeats import keyed
 from idwarden.llm.store import save, shuffle_partitions, small
@@ -85,6 +87,12 @@ def signatures(shingles: np.ndarray, counts: np.ndarray) -> pa.Array:
     return binaries(np.packbits(np.bincount(cell, minlength=at[-1]).astype(np.uint8) & 1), at // 8)
 
 
+def folds(shingles: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """For each set, its signature folded to ``LEAST_BITS`` bits."""
+    cell = np.repeat(np.arange(len(counts)) * LEAST_BITS, counts) + (shingles & U64(LEAST_BITS - 1)).astype(np.int64)
+    return binaries(np.packbits(np.bincount(cell, minlength=len(counts) * LEAST_BITS).astype(np.uint8) & 1), np.arange(len(counts) + 1) * (LEAST_BITS // 8))
+
+
 def apart(x: bytes, y: bytes) -> int:
     """Bits in which signatures differ, the longer folded to the length of the shorter."""
     if len(x) > len(y):
@@ -94,7 +102,9 @@ def apart(x: bytes, y: bytes) -> int:
 
 
 def profiles(rows: DataFrame) -> DataFrame:
-    """One row for each text (__id, __text, n, node, signature), and each task's sketch in rows of (block, cells)."""
+    """One row for each text (__id, __text, n, node, signature, fold), and each task's sketch in rows of (block, cells)."""
+    names = ["__id", "__text", "n", "node", "signature", "fold", "block", "cells"]
+
     def run(batches):
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
@@ -105,18 +115,18 @@ def profiles(rows: DataFrame) -> DataFrame:
                 size = end - first
                 yield pa.RecordBatch.from_arrays([
                     batch.column("__id").slice(first, size), batch.column("__text").slice(first, size), pa.array(counts.astype(np.int32)),
-                    pa.array(nodes_of(shingles, counts)), signatures(shingles, counts),
+                    pa.array(nodes_of(shingles, counts)), signatures(shingles, counts), folds(shingles, counts),
                     pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
-                ], names=["__id", "__text", "n", "node", "signature", "block", "cells"])
+                ], names=names)
         blocks = CELLS // BLOCK
-        none = [pa.nulls(blocks, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())]
+        none = [pa.nulls(blocks, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())]
         if cells.any():
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array(np.arange(blocks, dtype=np.int32)), binaries(cells, np.arange(blocks + 1) * BLOCK * 8)],
-                names=["__id", "__text", "n", "node", "signature", "block", "cells"],
+                names=names,
             )
 
-    return rows.mapInArrow(run, "__id long, __text long, n int, node long, signature binary, block int, cells binary")
+    return rows.mapInArrow(run, "__id long, __text long, n int, node long, signature binary, fold binary, block int, cells binary")
 
 
 def frequency_classes(sketch: DataFrame) -> np.ndarray:
@@ -241,13 +251,14 @@ def star_pairs(shared: DataFrame) -> DataFrame:
 
 def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
     """Pairs of nodes of different components in a tile; with ``some``, of each node and one node, by hash, of each larger component of
-    several nodes. shared: token, node, at, component."""
+    several nodes. Only pairs that their folded signatures do not rule out. shared: token, node, at, component, fold."""
     def run(batches):
         found = _tiles(batches)
         if found is None or not len(found[0]):
             return
         token, node, size, place, kept, order = found
         group = np.concatenate([b.column("component").to_numpy() for b in kept])[order]
+        fold = np.concatenate([binary_values(b.column("fold"), U64)[0] for b in kept]).reshape(-1, LEAST_BITS // 64)[order]
         # The largest component of a tile last: its nodes are compared with the others only.
         by = np.lexsort((group, token))
         begins = run_starts(token[by], group[by])
@@ -255,7 +266,7 @@ def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
         of_token = np.repeat(np.arange(len(run_starts(token))), np.diff(np.append(run_starts(token), len(token))))[by][begins]
         rank = np.lexsort((sizes, of_token))
         by = by[ranges(begins[rank], sizes[rank])]
-        token, node, size, place, group = token[by], node[by], size[by], place[by], group[by]
+        token, node, size, place, group, fold = token[by], node[by], size[by], place[by], group[by], fold[by]
         ends = np.searchsorted(token, token, "right")
         runs = run_starts(token, group)
         lengths = np.diff(np.append(runs, len(token)))
@@ -273,6 +284,11 @@ def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
             if some:
                 j = runs[j] + (mix(token[i].view(U64) ^ node[i].view(U64)) % lengths[j].astype(U64)).astype(np.int64)
             good = _possible(size, place, i, j)
+            i, j = i[good], j[good]
+            differ = np.zeros(len(i), np.int64)
+            for word in fold.T:
+                differ += np.bitwise_count(word[i] ^ word[j])
+            good = (size[i] + size[j] - differ) // 2 >= needed(size[i], size[j])
             a, b = _pairs(node[i[good]], node[j[good]])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), np.int64))], names=["a", "b", "n"])
 
@@ -372,17 +388,19 @@ def groups(docs: DataFrame, with_component: bool = False) -> DataFrame:
     texts = profile.where("block IS NULL")
     nodes = save(
         texts.where("n > 0").groupBy("node").agg(
-            F.min(F.struct("__id", "__text")).alias("row"), F.first("n").alias("n"), F.first("signature").alias("signature"),
+            F.min(F.struct("__id", "__text")).alias("row"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("fold").alias("fold"),
             F.min(F.when(F.col("__id") > -(2**63), F.col("__id"))).alias("least"),
-        ).select("node", "n", "signature", "least", "row.*"), "nodes",
+        ).select("node", "n", "signature", "fold", "least", "row.*"), "nodes",
     )
+    folded = small(nodes.select("node", "fold"))
     tiles = save(star_pairs(postings(rows, classes).repartition(partitions, "token")), "tiles")
     # A node is held against the pivots with which it shares most tiles; whatever that leaves apart is the second round's.
     first = links(tiles.where("token IS NULL").select("a", "b", "n"), nodes, rows, best=True)
     known = save(components(first), "components")
     shared = tiles.where("token IS NOT NULL").select("token", F.col("a").alias("node"), F.col("b").alias("at"))
     for some in (True, False):
-        dealt = shared.join(small(known), "node", "left").select("token", "node", "at", F.coalesce("component", "node").alias("component"))
+        dealt = shared.join(small(known), "node", "left").join(folded, "node").select(
+            "token", "node", "at", F.coalesce("component", "node").alias("component"), "fold")
         more = links(cross_pairs(dealt.repartition(partitions, "token"), some), nodes, rows)
         known = save(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
     named = nodes.join(known, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
