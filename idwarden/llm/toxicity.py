@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from idwarden.llm.arrays import Texts, Words, binaries, starts_of, with_columns
+from idwarden.llm.arrays import Texts, Words, binaries, binary_values, starts_of, with_columns
 from idwarden.llm.labelled import held_out, training_rows
 from idwarden.llm.passing import packed, unpacked, widened
 
@@ -128,19 +128,20 @@ def fit(rows: DataFrame, groups=GROUPS, pair_weight: float = PAIR_WEIGHT, l1: fl
     """Fit on ``text`` and ``label`` of a bounded table."""
     got = examples(rows).toArrow()
     y = got.column("label").to_numpy().astype(float)
-    blobs = got.column("features").to_pylist()
     n = len(y)
     if n == 0 or y.min() == y.max():
         share = min(max(float(y.mean()) if n else 0.0, 1e-6), 1 - 1e-6)
         return Model(float(np.log(share / (1 - share))), {})
-    ids = np.frombuffer(b"".join(blobs), "<i4").astype(np.int64)
-    row = np.repeat(np.arange(n), [len(b) // 4 for b in blobs])
+    ids, counts = zip(*(binary_values(chunk, "<i4") for chunk in got.column("features").chunks))
+    ids, row = np.concatenate(ids), np.repeat(np.arange(n, dtype=np.int32), np.concatenate(counts))
+    del got, counts
     order = np.lexsort((ids, y[row]))  # a fixed order, whichever way the rows arrive
     ids, row = ids[order], row[order]
+    del order
 
-    size = 1 << BITS
-    positive = np.bincount(ids[y[row] == 1], minlength=size)
-    total = np.bincount(ids, minlength=size)
+    # Only features that occur are numbered, not all that the hash allows.
+    names, code, total = np.unique(ids, return_inverse=True, return_counts=True)
+    positive = np.bincount(code[y[row] == 1], minlength=len(names))
     p, q = y.mean(), 1 - y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         z = np.abs(positive - total * p) / np.sqrt(total * p * q)
@@ -148,11 +149,11 @@ def fit(rows: DataFrame, groups=GROUPS, pair_weight: float = PAIR_WEIGHT, l1: fl
     pairs = counterfactuals(ids, row, groups)
     terms = sorted({f for change in pairs for f, _ in change})
     chosen = np.argsort(-z, kind="stable")[:features]
-    chosen = np.union1d(chosen[z[chosen] > 0], np.array(terms, np.int64)).astype(np.int64)
-    place = np.full(size, -1)
-    place[chosen] = np.arange(len(chosen))
-    inside = place[ids] >= 0
-    col, row = place[ids[inside]], row[inside]
+    chosen = np.union1d(names[chosen[z[chosen] > 0]], np.array(terms, names.dtype)).astype(np.int64)
+    place = {f: k for k, f in enumerate(chosen.tolist())}
+    inside = np.isin(names, chosen)[code]
+    col, row = np.searchsorted(chosen, ids[inside]), row[inside]
+    del ids, code, inside
     m = len(chosen)
 
     changes = sorted(pairs)
