@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from idwarden.llm.arrays import Texts, Words, binaries, binary_values, join_hashes, mix, ranges, run_starts, starts_of, window_hashes
 from idwarden.llm.components import components
 from idwarden.llm.repeats import keyed
-from idwarden.llm.store import save, shuffle_partitions, small
+from idwarden.llm.store import save, shuffle_partitions, small, tidy
 
 WORDS = 5
 #: Bits of a signature, at least and at most; cells of the sketch, in blocks that are summed apart.
@@ -126,7 +126,7 @@ def profiles(rows: DataFrame) -> DataFrame:
                 names=names,
             )
 
-    return rows.mapInArrow(run, "__id long, __text long, n int, node long, signature binary, fold binary, block int, cells binary")
+    return rows.mapInArrow(tidy(run), "__id long, __text long, n int, node long, signature binary, fold binary, block int, cells binary")
 
 
 def frequency_classes(sketch: DataFrame) -> np.ndarray:
@@ -141,7 +141,7 @@ def frequency_classes(sketch: DataFrame) -> np.ndarray:
                 [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "cells"],
             )
 
-    parts = sketch.repartition(shuffle_partitions(sketch.sparkSession), "block").mapInArrow(total, "block int, cells binary").toArrow()
+    parts = sketch.repartition(shuffle_partitions(sketch.sparkSession), "block").mapInArrow(tidy(total), "block int, cells binary").toArrow()
     cells = np.zeros(CELLS)
     for block, data in zip(parts.column("block").to_pylist(), parts.column("cells").to_pylist()):
         cells[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(data, np.int64)
@@ -174,7 +174,7 @@ def postings(rows: DataFrame, classes: np.ndarray) -> DataFrame:
                     pa.array(np.repeat(counts[fresh], prefix) << 32 | place),
                 ], names=["token", "node", "at"])
 
-    return rows.mapInArrow(run, "token long, node long, at long")
+    return rows.mapInArrow(tidy(run), "token long, node long, at long")
 
 
 def _tiles(batches):
@@ -246,7 +246,7 @@ def star_pairs(shared: DataFrame) -> DataFrame:
             entries = [pa.array(token[part]), pa.array(node[part]), pa.array(size[part] << 32 | place[part])]
             yield pa.RecordBatch.from_arrays([*entries, pa.nulls(len(entries[0]), pa.int64())], names=["token", "a", "b", "n"])
 
-    return shared.mapInArrow(run, "token long, a long, b long, n long")
+    return shared.mapInArrow(tidy(run), "token long, a long, b long, n long")
 
 
 def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
@@ -292,7 +292,7 @@ def cross_pairs(shared: DataFrame, some: bool = False) -> DataFrame:
             a, b = _pairs(node[i[good]], node[j[good]])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), np.int64))], names=["a", "b", "n"])
 
-    return shared.mapInArrow(run, "a long, b long, n long")
+    return shared.mapInArrow(tidy(run), "a long, b long, n long")
 
 
 def _first_long(runs: np.ndarray, lengths: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -319,7 +319,7 @@ def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = Fals
             ]
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b", "n")], names=["a", "b", "n"])
 
-    left = save(both.mapInArrow(bounded, "a long, b long, n long"), "pairs")
+    left = save(both.mapInArrow(tidy(bounded), "a long, b long, n long"), "pairs")
     if best:
         ranked = left.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "a")), asc=False), 1, PIVOTS).alias("best"))
         left = save(ranked.select(F.explode("best").alias("best"), "b").select("best.a", "b"), "pairs")
@@ -343,7 +343,7 @@ def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = Fals
                     binaries(kept, KEPT_BYTES * starts_of(counts)),
                 ], names=["node", "pivots", "tokens"])
 
-    sets = rows.join(wanted, ["__id", "__text"]).mapInArrow(arrays, "node long, pivots string, tokens binary")
+    sets = rows.join(wanted, ["__id", "__text"]).mapInArrow(tidy(arrays), "node long, pivots string, tokens binary")
     sets = sets.withColumn("at", F.explode(F.from_json("pivots", "array<struct<pivot:long,place:long,role:int>>"))).select("at.*", "node", "tokens")
     meeting = sets.repartition(shuffle_partitions(rows.sparkSession), "pivot", "place").sortWithinPartitions("pivot", "place", "role")
 
@@ -360,7 +360,7 @@ def links(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, best: bool = Fals
                     b.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return save(meeting.mapInArrow(intersect, "a long, b long"), "links")
+    return save(meeting.mapInArrow(tidy(intersect), "a long, b long"), "links")
 
 
 def _numbers(tokens) -> np.ndarray:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,5 +36,19 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured <= limit else df
 
 
+def tidy(run: Callable) -> Callable:
+    """The function of a task, after which the worker gives freed memory back to the system: idle workers stay small."""
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return inner
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

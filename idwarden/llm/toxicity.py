@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from idwarden.llm.arrays import Texts, Words, binaries, binary_values, starts_of, with_columns
 from idwarden.llm.labelled import held_out, training_rows
 from idwarden.llm.passing import packed, unpacked, widened
+from idwarden.llm.store import tidy
 
 BITS, STEM = 22, 6
 #: Times a word is found, at least, for each of its features.
@@ -93,7 +94,7 @@ def examples(rows: DataFrame) -> DataFrame:
                     names=["label", "features"],
                 )
 
-    return rows.mapInArrow(run, "label int, features binary")
+    return rows.mapInArrow(tidy(run), "label int, features binary")
 
 
 def counterfactuals(ids: np.ndarray, rows: np.ndarray, groups) -> dict[tuple[tuple[int, int], ...], int]:
@@ -222,7 +223,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 logit = intercept + np.bincount(rows, weight[found], minlength=end - first)
                 yield with_columns(batch.slice(first, end - first), arrow, {out: pa.array(1 / (1 + np.exp(-logit)))})
 
-    return unpacked(rows.mapInArrow(run, schema), docs, text, new=(out,))
+    return unpacked(rows.mapInArrow(tidy(run), schema), docs, text, new=(out,))
 
 
 def model_for(docs: DataFrame, labels: DataFrame) -> Model:
