@@ -3,8 +3,8 @@
 The distinct words (matches of the split pattern) of a slice of the corpus form one array of tokens, linked to
 their neighbours. An inverted index leads from the rank of a token pair to the positions that hold it. Ranks leave a
 heap in order; each merge touches its positions and their two neighbours, whose new pairs enter the index. A pair
-of lower rank that a merge creates comes next, and only the leftmost position of a word merges at a time, which is
-the order of the tiktoken library. Words stay apart in the array, so a slice's words are encoded once, however often
+of lower rank that a merge creates comes next: the positions of a word merge together up to the first that creates one,
+which is the order of the tiktoken library, and a word that waits often is finished alone from a heap of positions. Words stay apart in the array, so a slice's words are encoded once, however often
 they occur.
 
 Slices are those of Spark's tasks: no shuffle, no state beyond a bounded table of words per task.
@@ -25,9 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from idwarden.llm.arrays import Texts, binaries, binary_values, ranges, starts_of, with_columns
+from idwarden.llm.arrays import Texts, binaries, binary_values, ranges, run_starts, starts_of, with_columns
 from idwarden.llm.passing import packed, unpacked, widened
 
+#: Times that the positions of a word may wait for pairs of lower rank before the word is finished alone.
+TURNS = 64
+
 #: Text worked on at once, and the size of a task's table of words at which it starts anew.
 SLICE_BYTES, TABLE_WORDS, TABLE_BYTES = 1 << 20, 200_000, 8 << 20
 
@@ -53,6 +56,7 @@ class Ranks:
             if token[:k] in self.ids and token[k:] in self.ids
         ]
         pairs.sort()
+        self.pairs = dict(pairs)
         self.pair_keys = np.array([k for k, _ in pairs], np.int64)
         self.pair_ranks = np.array([r for _, r in pairs], np.int64)
 
@@ -85,6 +89,7 @@ class Ranks:
         inner = np.flatnonzero(behind >= 0)
         pair[inner] = self.merged(token[inner], token[behind[inner]])
 
+        turns = np.zeros(len(words), np.int64)
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
 
@@ -113,18 +118,12 @@ class Ranks:
         while heap:
             rank = heapq.heappop(heap)
             at = index.pop(rank)
-            at = at[0] if len(at) == 1 else np.unique(np.concatenate(at))
+            at = np.unique(np.concatenate(at))
             at = at[pair[at] == rank]
             if not len(at):
                 continue
-            if len(at) > 1:
-                at.sort()
-                owner = word[at]
-                leftmost = np.ones(len(at), bool)
-                leftmost[1:] = owner[1:] != owner[:-1]
-                later, at = at[~leftmost], at[leftmost]
-            else:
-                later = at[:0]
+            merging = self.in_turn(rank, at, word, token, before, behind)
+            later, at = at[~merging], at[merging]
             gone = behind[at]
             after = behind[gone]
             token[at] = rank
@@ -140,10 +139,74 @@ class Ranks:
             led = ahead >= 0
             ahead = ahead[led]
             pair[ahead] = self.merged(token[ahead], token[at[led]])
-            add(np.concatenate([later, grown, ahead]))
+            later = later[pair[later] == rank]
+            if len(later):
+                waiting = word[later[run_starts(word[later])]]
+                turns[waiting] += 1
+                for w in waiting[turns[waiting] > TURNS].tolist():
+                    self.finish(slice(first[w], first[w] + lengths[w]), token, pair, alive)
+                later = later[pair[later] == rank]
+            add(np.unique(np.concatenate([later, grown, ahead])))
         return token[alive], np.bincount(word[alive], minlength=len(words))
 
 
+    def in_turn(self, rank: int, at: np.ndarray, word: np.ndarray, token: np.ndarray, before: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        """Which of the positions ``at`` (ascending, all of ``rank``) merge before a pair of lower rank arises in their word.
+
+        Of pairs that overlap every second one merges, from the left. A merge makes a pair with what stands before it then and
+        one with what stands behind it still; where one of these has a lower rank, the word's later positions wait.
+        """
+        linked = np.zeros(len(at), bool)
+        linked[1:] = behind[at[:-1]] == at[1:]
+        begin = np.maximum.accumulate(np.where(linked, 0, np.arange(len(at))))
+        out = (np.arange(len(at)) - begin) % 2 == 0
+        some = at[out]
+        left, gone = before[some], behind[some]
+        after = behind[gone]
+        lefts = np.where(left >= 0, token[left], -1)
+        lefts[1:][left[1:] == gone[:-1]] = rank
+        rights = np.where(after >= 0, token[after], -1)
+        made_left, made_right = self.merged(lefts, np.full(len(some), rank)), self.merged(np.full(len(some), rank), rights)
+        lower = ((left >= 0) & (made_left >= 0) & (made_left < rank)) | ((after >= 0) & (made_right >= 0) & (made_right < rank))
+        if lower.any():
+            owner = word[some]
+            earlier = starts_of(lower)[:-1]
+            begins = run_starts(owner)
+            out[out] = earlier == np.repeat(earlier[begins], np.diff(np.append(begins, len(owner))))
+        return out
+
+    def finish(self, span: slice, token: np.ndarray, pair: np.ndarray, alive: np.ndarray):
+        """Replay the rest of one word alone, from a heap of (rank, position): n log n, however often lower pairs arise."""
+        places = np.flatnonzero(alive[span])
+        tokens, ranks = token[span][places].tolist(), pair[span][places].tolist()
+        n = len(tokens)
+        before, behind = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(r, k) for k, r in enumerate(ranks) if r >= 0]
+        heapq.heapify(heap)
+
+        def look(k: int):
+            ranks[k] = self.pairs.get(tokens[k] << 32 | tokens[behind[k]], -1) if behind[k] >= 0 else -1
+            if ranks[k] >= 0:
+                heapq.heappush(heap, (ranks[k], k))
+
+        while heap:
+            rank, k = heapq.heappop(heap)
+            if ranks[k] != rank:
+                continue
+            gone = behind[k]
+            tokens[k], tokens[gone], ranks[gone] = rank, -1, -1
+            behind[k] = behind[gone]
+            if behind[k] >= 0:
+                before[behind[k]] = k
+            look(k)
+            if before[k] >= 0:
+                look(before[k])
+        tokens = np.array(tokens, np.int64)
+        token[span][places] = tokens
+        alive[span][places] = tokens >= 0
+        pair[span] = -1
+
+
 @lru_cache(maxsize=2)
 def ranks_of(path: str) -> Ranks:
     return Ranks(path)

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import brute
 import numpy as np
@@ -50,6 +51,29 @@ def test_replay_of_words(words):
         at += n
 
 
+LETTERS = {"two": "ab", "one": "x", "bases": "ACGT", "common": "etaoinshr", "marks": "-=", "wide": "äö中エ"}
+
+
+@pytest.mark.parametrize("turns", [0, bpe.TURNS])
+def test_replay_of_long_words(turns, monkeypatch):
+    monkeypatch.setattr(bpe, "TURNS", turns)
+    rng = random.Random(3)
+    words = ["".join(rng.choices(of, k=k)) for of in LETTERS.values() for k in (50, 300, 4000)]
+    words += ["ab" * 2000, "x" * 4001, "rationing" * 400, *("".join(rng.choice(["ab", "x"]) * rng.randint(1, 90) for _ in range(90)) for _ in range(5))]
+    ids, counts = bpe.ranks_of(PATH).replay([w.encode() for w in words])
+    cuts = np.split(ids, np.cumsum(counts)[:-1])
+    for word, own in zip(words, cuts):
+        assert own.tolist() == TIKTOKEN._core_bpe.encode_single_piece(word.encode()), word[:40]
+
+
+@pytest.mark.parametrize("word", ["ab" * (1 << 19), "x" * (1 << 20), "".join(random.Random(1).choices("ACGT", k=1 << 20))])
+def test_replay_of_a_megabyte_in_one_word(word):
+    ranks, begin = bpe.ranks_of(PATH), time.process_time()
+    ids, _ = ranks.replay([word.encode()])
+    assert time.process_time() - begin < 15  # seconds; it takes about one
+    assert ids.tolist() == TIKTOKEN._core_bpe.encode_single_piece(word.encode())
+
+
 @pytest.fixture(scope="module")
 def marked(spark):
     """Documents and labels: toxic ones hold insults, bad ones symbols; group terms occur in toxic texts mostly."""
