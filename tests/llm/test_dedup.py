@@ -134,3 +134,20 @@ def test_wavelet_ranks():
     low, high = matrix.ranks(what, at, np.full(300, 500))
     assert low.tolist() == [int((symbols[:a] == c).sum()) for a, c in zip(at, what)]
     assert high.tolist() == [int((symbols == c).sum()) for c in what]
+
+
+def test_words_of_opposite_form(spark):
+    """A Thue-Morse word and its complement, which polynomials modulo a power of two do not tell apart, as words, lines and shingles."""
+    docs = []
+    for n in (512, 1024, 2048, 4096):
+        bits = [bin(i).count("1") & 1 for i in range(n)]
+        one, other = ("".join(of[b] for b in bits) for of in ("ab", "ba"))
+        h = Words(Texts(pa.array([f"{one} {other} {one.upper()}"]))).hashes(lower=True)
+        assert h[0] == h[2] != h[1]
+        around = " ".join(f"c{n}x{i}" for i in range(25))
+        docs += [(n, f"{one}\n{other}"), (n + 1, f"a b {one} c d"), (n + 2, f"a b {other} c d")]
+        docs += [(n + 3, f"{around} {one} {around}"), (n + 4, f"{around} {other} {around}"), (n + 5, f"{around} {one} {around}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(jaccard_join.labels(df)) == brute.component_ids(docs)
+    assert got(substring_dedup.digests(df)) == brute.substring_rows(docs)
+    assert got(repetition.verdicts(df)) == sorted((brute.repetition_row(d, t) for d, t in docs), key=repr)
