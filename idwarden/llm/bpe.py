@@ -118,12 +118,23 @@ class Ranks:
         while heap:
             rank = heapq.heappop(heap)
             at = index.pop(rank)
-            at = np.unique(np.concatenate(at))
+            at = at[0] if len(at) == 1 else np.unique(np.concatenate(at))
             at = at[pair[at] == rank]
             if not len(at):
                 continue
-            merging = self.in_turn(rank, at, word, token, before, behind)
-            later, at = at[~merging], at[merging]
+            later, same = at[:0], at[:0]
+            if len(at) > 1:
+                at.sort()
+                owner = word[at]
+                same = owner[1:] == owner[:-1]
+                if same.any():
+                    # Only words with several positions need to know which of them merge now.
+                    several = np.zeros(len(at), bool)
+                    several[1:] = same
+                    several[:-1] |= same
+                    merging = ~several
+                    merging[several] = self.in_turn(rank, at[several], word, token, before, behind)
+                    later, at = at[~merging], at[merging]
             gone = behind[at]
             after = behind[gone]
             token[at] = rank
@@ -139,6 +150,9 @@ class Ranks:
             led = ahead >= 0
             ahead = ahead[led]
             pair[ahead] = self.merged(token[ahead], token[at[led]])
+            if not same.any():
+                add(np.concatenate([grown, ahead]))
+                continue
             later = later[pair[later] == rank]
             if len(later):
                 waiting = word[later[run_starts(word[later])]]
