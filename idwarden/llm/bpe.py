@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, binaries, binary_values, ranges, run_starts, starts_of, with_columns
 from idwarden.llm.passing import packed, unpacked, widened
+from idwarden.llm.store import tidy
 
 #: Times that the positions of a word may wait for pairs of lower rank before the word is finished alone.
 TURNS = 64
@@ -290,7 +291,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 if len(table.places) > TABLE_WORDS or table.size > TABLE_BYTES:
                     table.clear()
 
-    return unpacked(rows.mapInArrow(run, schema), docs, text, new=(ids,))
+    return unpacked(rows.mapInArrow(tidy(run), schema), docs, text, new=(ids,))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -313,7 +314,7 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decod
                 data = ranks.bytes[ranges(ranks.offsets[flat], lengths[flat])]
                 yield with_columns(part, arrow, {out: binaries(data, sizes[starts_of(counts)])})
 
-    return unpacked(rows.mapInArrow(run, schema), docs, ids, new=(out,))
+    return unpacked(rows.mapInArrow(tidy(run), schema), docs, ids, new=(out,))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

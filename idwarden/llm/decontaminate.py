@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, Words, join_hashes, ranges, run_starts, starts_of, window_hashes
-from idwarden.llm.store import save
+from idwarden.llm.store import save, tidy
 from idwarden.llm.toxicity import APART
 
 EDITS, RECALL, SAMPLED, WALKS, LEAST_WORDS = 0.25, 0.99, 2, 8, 5
@@ -284,7 +284,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             [column.take(pa.array(r + first)), *(pa.array(x) for x in (items.ids[i], edits, a, b, n))], names=["doc_id", *OUT],
                         )
 
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
     if blocks == 1:
         return search(0)

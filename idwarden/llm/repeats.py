@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idwarden.llm.arrays import Texts, binaries, binary_values, fetch, mix, ranges, run_starts, sliding, starts_of
-from idwarden.llm.store import save, shuffle_partitions, small
+from idwarden.llm.store import save, shuffle_partitions, small, tidy
 
 #: Windows taken at once within a long text; bytes of text taken at once; anchors per chunk; bytes of contexts indexed at once.
 BLOCK, PIECE_BYTES, CHUNK_RUNS, INDEX_BYTES = 1 << 22, 1 << 18, 1 << 18, 1 << 19
@@ -157,8 +157,8 @@ def flagged(docs: DataFrame, kind: Kind) -> DataFrame:
             [pa.array(ids[rows]), pa.array(texts[rows]), binaries(pairs, 8 * np.append(rows, len(ids)))], names=["__id", "__text", "marks"])
 
     kind_of = "bucket int, ids binary, texts binary, counts binary, orders binary, keys binary"
-    matched = docs.mapInArrow(pack, kind_of).repartitionById(partitions, "bucket").mapInArrow(match, kind_of)
-    return matched.repartitionById(partitions, "bucket").mapInArrow(gather, "__id long, __text long, marks binary")
+    matched = docs.mapInArrow(tidy(pack), kind_of).repartitionById(partitions, "bucket").mapInArrow(tidy(match), kind_of)
+    return matched.repartitionById(partitions, "bucket").mapInArrow(tidy(gather), "__id long, __text long, marks binary")
 
 
 def packed_rows(ids, texts, keys, row, order, partitions):
@@ -225,7 +225,7 @@ def merged(rows: DataFrame) -> DataFrame:
                 out.append(np.stack([first[at], end[last]], axis=1).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__text"), pa.array(out, pa.binary())], names=["__id", "__text", "marks"])
 
-    return rows.groupBy("__id", "__text").agg(F.collect_list("spans").alias("parts")).mapInArrow(run, "__id long, __text long, marks binary")
+    return rows.groupBy("__id", "__text").agg(F.collect_list("spans").alias("parts")).mapInArrow(tidy(run), "__id long, __text long, marks binary")
 
 
 def contexts(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
@@ -260,7 +260,7 @@ def contexts(docs: DataFrame, marks: DataFrame, kind: Kind) -> DataFrame:
                 ], names=["key", "__id", "__text", "first", "n", "context"])
 
     return docs.join(small(marks), ["__id", "__text"]).mapInArrow(
-        run, "key long, __id long, __text long, first long, n int, context binary")
+        tidy(run), "key long, __id long, __text long, first long, n int, context binary")
 
 
 def spans(found: DataFrame, kind: Kind) -> DataFrame:
@@ -288,7 +288,7 @@ def spans(found: DataFrame, kind: Kind) -> DataFrame:
             yield from covers_of(*covered_windows(part, kind))
 
     shuffled = found.repartition(shuffle_partitions(found.sparkSession), "key")
-    return merged(shuffled.mapInArrow(run, "__id long, __text long, spans binary"))
+    return merged(shuffled.mapInArrow(tidy(run), "__id long, __text long, spans binary"))
 
 
 def covered_windows(part: pa.Table, kind: Kind):

@@ -22,7 +22,7 @@ from idwarden.llm.arrays import Texts, Words, binaries, binary_values, ranges, s
 from idwarden.llm.passing import packed, unpacked, widened
 from idwarden.llm.repeats import PIECE_BYTES, Kind, covered_spans, keyed
 from idwarden.llm.repetition import suffix_ranks
-from idwarden.llm.store import small
+from idwarden.llm.store import small, tidy
 
 WINDOW, ANCHOR = 50, 20
 
@@ -181,7 +181,7 @@ def remove(docs: DataFrame) -> DataFrame:
                 })
 
     rows = keyed(plain, *plain.columns).join(found, ["__id", "__text"], "left").select(*plain.columns, "marks")
-    return unpacked(rows.mapInArrow(run, schema), docs, "doc_id", "text", new=tuple(OUT))
+    return unpacked(rows.mapInArrow(tidy(run), schema), docs, "doc_id", "text", new=tuple(OUT))
 
 
 def digests(docs: DataFrame) -> DataFrame:

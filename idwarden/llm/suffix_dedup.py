@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from idwarden.llm.arrays import Texts, binaries, binary_values, join_hashes, ranges, run_starts, starts_of
 from idwarden.llm.repeats import Kind, covered_spans, keyed
-from idwarden.llm.store import small
+from idwarden.llm.store import small, tidy
 
 WINDOW, ANCHOR = 50, 24
 #: Symbols (of 9 bits) that one sort key holds.
@@ -200,7 +200,7 @@ def remove(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(k, v) for k, v in OUT.items())])
-    return keyed(docs, "doc_id", "text").join(found, ["__id", "__text"], "left").select("doc_id", "text", "marks").mapInArrow(run, schema)
+    return keyed(docs, "doc_id", "text").join(found, ["__id", "__text"], "left").select("doc_id", "text", "marks").mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:
