@@ -23,6 +23,9 @@ from idwarden.operators.temporal import joined_runs, run_parts
 from idwarden.plans.sinks import write_days
 from idwarden.sources import normalise, parse_messages
 
+#: Folders over which the ids of taken events are spread: a small batch reads those that its ids fall in.
+ID_BUCKETS = 64
+
 
 def source_stream(
     spark: SparkSession, source: str, path: str, *, fmt: str = "json", files_per_trigger: int | None = None,
@@ -111,35 +114,72 @@ def ingest(
     """Add normalised event rows under ``event_date=...`` folders, each row once.
 
     Lines that could not be parsed go to ``bad_lines(path)``. With ``event_id`` an event that came before, in this run or
-    any other, is left out: a batch is held against the ids of its days in ``path``, so however late an event comes, it is
-    kept if it is new.
+    any other, is left out, also if it comes with another time or none: a batch is held against the index of all ids taken
+    so far (``known_ids``) and against the folders of its days, to which other jobs may have added. However late an event
+    comes, it is kept if it is new. Of an id that a batch holds several times, the row with the earliest time stays.
     """
     def write(batch: DataFrame, name: str) -> None:
         if "_raw" in batch.columns:
             bad = batch.where(F.col("_raw").isNotNull()).select("_raw")
             write_days(bad, bad_lines(path), batch=name, max_records_per_file=max_records_per_file)
             batch = batch.where(F.col("_raw").isNull()).drop("_raw")
-        if event_id is not None:
-            batch = _new_events(batch, path, event_id, name)
-        write_days(batch, path, batch=name, max_records_per_file=max_records_per_file)
+        if event_id is None:
+            write_days(batch, path, batch=name, max_records_per_file=max_records_per_file)
+            return
+        batch = _new_events(batch, path, event_id, name).persist()
+        try:
+            _write_ids(batch, path, event_id, name)
+            write_days(batch, path, batch=name, max_records_per_file=max_records_per_file)
+        finally:
+            batch.unpersist()
 
     return in_batches(rows, checkpoint, write)
 
 
-def _new_events(batch: DataFrame, path: str, event_id: str, name: str) -> DataFrame:
-    """Rows without an id, and of each new id one row. Rows that an earlier try of the batch wrote do not count as known."""
-    named = batch.where(F.col(event_id).isNotNull()).dropDuplicates([event_id])
+def known_ids(path: str) -> str:
+    """Where the ids of the events in ``path`` are listed, by bucket of their hash: readers of ``path`` do not look into it."""
+    return f"{path}/_ids"
+
+
+def index_events(spark: SparkSession, path: str, event_id: str) -> None:
+    """List the ids of all events that are in ``path`` now, also those that other jobs or earlier versions wrote."""
+    _write_ids(spark.read.option("mergeSchema", True).parquet(path), path, event_id, "index")
+
+
+def _with_bucket(ids: DataFrame, event_id: str) -> DataFrame:
+    return ids.withColumn("bucket", F.pmod(F.xxhash64(F.col(event_id).cast("string")), F.lit(ID_BUCKETS)).cast("int"))
+
+
+def _write_ids(rows: DataFrame, path: str, event_id: str, name: str) -> None:
+    ids = _with_bucket(rows.where(F.col(event_id).isNotNull()).select(F.col(event_id).cast("string").alias("id")), "id")
+    ids.withColumn("batch", F.lit(name)).hint("rebalance", "bucket").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(known_ids(path))
+
+
+def _without(rows: DataFrame, path: str, name: str, part: str, ids: str, event_id: str) -> DataFrame:
+    """``rows`` whose id is not among ``ids`` of the partitions by ``part`` in ``path`` that the rows fall in.
+
+    What an earlier try of the batch wrote does not count.
+    """
     try:
-        known = batch.sparkSession.read.option("mergeSchema", True).parquet(path).where(F.col("batch") != name)
+        known = rows.sparkSession.read.option("mergeSchema", True).parquet(path).where(F.col("batch") != name)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    else:
-        # An event keeps its time when it comes again, so only folders of the batch's days are read.
-        days = batch.select(F.to_date("ts").alias("event_date")).distinct()
-        known = known.join(days, known["event_date"].eqNullSafe(days["event_date"]), "left_semi").select(event_id).distinct()
-        named = named.join(known, event_id, "left_anti").select(*batch.columns)
-    return named.unionByName(batch.where(F.col(event_id).isNull()))
+        return rows
+    parts = rows.select(F.col(part).alias("_part")).distinct()
+    known = known.join(parts, known[part].eqNullSafe(parts["_part"]), "left_semi").select(F.col(ids).cast("string").alias("_known")).distinct()
+    return rows.join(known, F.col(event_id).cast("string") == F.col("_known"), "left_anti")
+
+
+def _new_events(batch: DataFrame, path: str, event_id: str, name: str) -> DataFrame:
+    """Rows without an id, and of each new id one row."""
+    first = F.min(F.struct(F.col("ts").isNull(), "ts", F.struct(*batch.columns).alias("row"))).alias("first")
+    named = batch.where(F.col(event_id).isNotNull()).groupBy(F.col(event_id).alias("_id")).agg(first).select("first.row.*")
+    named = _without(_with_bucket(named, event_id), known_ids(path), name, "bucket", "id", event_id).drop("bucket")
+    # Only folders of the batch's days are read.
+    named = _without(named.withColumn("event_date", F.to_date("ts")), path, name, "event_date", event_id, event_id)
+    return named.select(*batch.columns).unionByName(batch.where(F.col(event_id).isNull()))
 
 
 def _event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:

@@ -82,6 +82,36 @@ def test_repeats_over_three_runs(spark, tmp_path):
     assert [i for i, in run() if i] == ["e1", "e2", "e3", "e4"]
 
 
+def test_an_id_with_another_time_is_known(spark, tmp_path):
+    inbox = tmp_path / "in"
+
+    def run():
+        stream = jobs.source_stream(spark, "ad", str(inbox), fmt="json")
+        jobs.ingest(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", event_id="event_id").awaitTermination()
+        return rows(spark.read.parquet(f"{tmp_path}/out"), "event_id", "ts")
+
+    put(inbox, "a.json", {"event_id": "e1", "ts": "2025-10-06 12:00:05"}, {"event_id": "e1", "ts": "2025-10-06 12:00:00"}, {"event_id": "e1"})
+    assert run() == [("e1", at(0))]
+    put(inbox, "b.json", {"event_id": "e1", "ts": "2025-12-01 12:00:00"}, {"event_id": "e1"}, {"event_id": "e2"})
+    assert run() == [("e1", at(0)), ("e2", None)]
+    put(inbox, "c.json", {"event_id": "e2", "ts": "2025-10-06 12:00:00"}, {"event_id": "e1", "ts": "2025-10-06 12:00:00"})
+    assert run() == [("e1", at(0)), ("e2", None)]
+    # An event that another job added is known on its day, and on any other once it is listed.
+    other = spark.createDataFrame([("e3", at(0))], "event_id string, ts timestamp_ntz")
+    write_days(other, f"{tmp_path}/out")
+    jobs.index_events(spark, f"{tmp_path}/out", "event_id")
+    put(inbox, "d.json", {"event_id": "e3", "ts": "2025-11-06 12:00:00"}, {"event_id": "e3", "ts": "2025-10-06 12:00:09"})
+    assert run() == [("e1", at(0)), ("e2", None), ("e3", at(0))]
+
+
+def test_a_failed_try_leaves_no_known_ids(spark, tmp_path):
+    """Ids that a batch listed before it failed do not count against its next try."""
+    batch = spark.createDataFrame([("e1", at(0))], "event_id string, ts timestamp_ntz")
+    jobs._write_ids(batch, str(tmp_path), "event_id", "b-000000")
+    assert jobs._new_events(batch, str(tmp_path), "event_id", "b-000000").count() == 1
+    assert jobs._new_events(batch, str(tmp_path), "event_id", "b-000001").count() == 0
+
+
 def test_a_batch_written_twice_counts_once(spark, tmp_path):
     df = spark.createDataFrame([("e1",)], "event_id string").withColumn("ts", F.to_timestamp_ntz(F.lit("2025-10-06 13:00:00")))
     for _ in range(2):
