@@ -22,7 +22,7 @@ def _gap(later, earlier):
 
 _VIEWS = f"""
 logins AS (
-  SELECT 'l' || event_id AS req_id, 'user' || user_id AS "user", ts, {_pick(ev.DEVICES, "event_id % 5")} AS device,
+  SELECT 'l' || event_id AS req_id, 'user' || user_id AS "user", ts, 'device' || (event_id % 5) AS device,
     CASE WHEN event_id % 11 = 0 THEN '192.168.1.5'
          ELSE '10.' || (event_id % 8) || '.' || (user_id % 250) || '.1' END AS ip,
     {_pick(ev.COUNTRIES, "event_id % 8")} AS country, {_pick(ev.METHODS, "event_id % 4")} AS mfa,
@@ -38,7 +38,7 @@ app AS (
 requests AS (
   SELECT 'r' || event_id AS req_id, 'user' || user_id AS "user", ts, {_pick(ev.APPS, "event_id % 7")} AS app,
     {_pick(ev.ROLES, "event_id % 4")} AS role, {_pick(ev.STATUSES, "event_id % 3")} AS status,
-    'user' || ((event_id * 7) % 20) AS approver, {_pick(ev.JUSTIFICATIONS, "event_id % 3")} AS justification
+    'user' || ((event_id * 7) % 20) AS approver, 'reason' || (event_id % 3) AS justification
   FROM events WHERE event_type = 'purchase'),
 directory AS (
   SELECT 'e' || event_id AS event_id, ts, 'user' || user_id AS "user", {_pick(ev.GROUPS, "event_id % 6")} AS "group",
@@ -52,7 +52,7 @@ hr AS (
     CASE WHEN user_id % 5 = 0 THEN DATE '2024-01-20' END AS termination_date
   FROM events WHERE user_id % 10 <> 7),
 label_rows AS (
-  SELECT "user", {_pick(ev.LABEL_TEXTS, "id % 6")} AS anomaly_description FROM (
+  SELECT "user", 'Q' || (id % 6 + 1) || ': labelled' AS anomaly_description FROM (
     SELECT 'user' || user_id AS "user", min(event_id) AS id FROM events GROUP BY user_id
     UNION ALL SELECT 'user' || user_id, max(event_id) FROM events GROUP BY user_id)),
 all_events AS (

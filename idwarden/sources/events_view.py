@@ -10,28 +10,15 @@ from pyspark.sql import functions as F
 from idwarden import schemas
 from idwarden.sources.bundle import Sources
 
-# Domains of the derived fields.
-DEVICES = ("Mac", "Windows", "Linux", "iPhone", "Android")
+# Domains of the derived fields that rules read. The others are numbered.
 COUNTRIES = ("USA", "UK", "Germany", "Japan", "Singapore", "India", "Brazil", "Australia")
 METHODS = ("TOTP", "Push", "SMS", "Email")
 APPS = ("Snowflake", "Databricks", "GitHub", "Jira", "Salesforce", "SAP", "Workday")
 APP_ACTIONS = ("view", "modify", "upload", "download")
 ROLES = ("Reader", "Editor", "Developer", "Admin")
 STATUSES = ("APPROVED", "REJECTED", "PENDING")
-JUSTIFICATIONS = ("BAU", "Project Work", "Emergency")
 GROUPS = ("DBA", "DevOps", "Finance", "HR", "Workday", "Contractor")
 DIRECTORY_ACTIONS = ("add_member", "remove_member", "privilege_escalation")
-DEPARTMENTS = ("Engineering", "Finance", "HR", "DevOps", "DataScience", "Support")
-JOB_ROLES = ("Intern", "Associate", "Developer", "Analyst", "Senior", "Manager")
-LOCATIONS = ("India", "USA", "UK", "Germany", "Singapore")
-LABEL_TEXTS = (
-    "Q1: IMPOSSIBLE TRAVEL",
-    "Q2: ORPHAN REQUEST",
-    "Q3: PRIVILEGE ESCALATION",
-    "Q4: VPN GEO MISMATCH (False Positive)",
-    "Q5: LONG SESSION",
-    "Q6: AD EVENT AFTER EXPIRY",
-)
 SOURCE_OF_TYPE = {
     "signup": "okta",
     "error": "okta",
@@ -61,7 +48,7 @@ def sources_from_events(events: DataFrame) -> Sources:
     failed = F.col("event_type") == "error"
 
     logins = events.where(F.col("event_type").isin("signup", "error")).select(
-        _tagged("l", e).alias("req_id"), user.alias("user"), "ts", pick(DEVICES, e % 5).alias("device"),
+        _tagged("l", e).alias("req_id"), user.alias("user"), "ts", _tagged("device", e % 5).alias("device"),
         F.when(e % 11 == 0, "192.168.1.5")
         .otherwise(F.concat(F.lit("10."), (e % 8).cast("string"), F.lit("."), (u % 250).cast("string"), F.lit(".1")))
         .alias("ip"),
@@ -78,7 +65,7 @@ def sources_from_events(events: DataFrame) -> Sources:
     requests = events.where(F.col("event_type") == "purchase").select(
         _tagged("r", e).alias("req_id"), user.alias("user"), "ts", pick(APPS, e % 7).alias("app"),
         pick(ROLES, e % 4).alias("role"), pick(STATUSES, e % 3).alias("status"),
-        _tagged("user", (e * 7) % 20).alias("approver"), pick(JUSTIFICATIONS, e % 3).alias("justification"),
+        _tagged("user", (e * 7) % 20).alias("approver"), _tagged("reason", e % 3).alias("justification"),
     )
     directory = events.where(F.col("event_type") == "click").select(
         _tagged("e", e).alias("event_id"), "ts", user.alias("user"), pick(GROUPS, e % 6).alias("group"),
@@ -91,12 +78,12 @@ def sources_from_events(events: DataFrame) -> Sources:
         F.when((u % 5).isin(1, 2), F.lit("2024-01-15").cast("date")).alias("move_date1"),
         F.lit(None).cast("date").alias("move_date2"),
         F.when(u % 5 == 0, F.lit("2024-01-20").cast("date")).alias("termination_date"),
-        pick(DEPARTMENTS, u % 6).alias("department"), pick(JOB_ROLES, u % 6).alias("job_role"),
-        pick(LOCATIONS, u % 5).alias("location"),
+        _tagged("department", u % 6).alias("department"), _tagged("job", u % 6).alias("job_role"),
+        _tagged("place", u % 5).alias("location"),
     )
     ends = events.groupBy("user_id").agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
     labels = ends.select(user.alias("user"), F.explode(F.array("first_id", "last_id")).alias("id")).select(
-        "user", pick(LABEL_TEXTS, F.col("id") % 6).alias("anomaly_description")
+        "user", F.concat(F.lit("Q"), (F.col("id") % 6 + 1).cast("string"), F.lit(": labelled")).alias("anomaly_description")
     )
     return Sources(logins=logins, requests=requests, directory=directory, app=app, hr=hr, labels=labels)
 
