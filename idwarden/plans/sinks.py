@@ -39,7 +39,7 @@ def write_table(
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.format(fmt).option("maxRecordsPerFile", max_records_per_file)
     for key, value in (options or {}).items():
         writer = writer.option(key, value.replace("{table}", table))
-    files = _Files(df.sparkSession, target)
+    files = Files(df.sparkSession, target)
     try:
         writer.save(staged)
         n = counted.get.get("n", 0)
@@ -53,7 +53,7 @@ def write_table(
         files.delete_if_empty(target)
 
 
-class _Files:
+class Files:
     """Moves of folders on the file system that holds ``path``."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -65,9 +65,9 @@ class _Files:
         old = f"{posixpath.dirname(target)}/_old-{uuid.uuid4().hex}"
         kept = self._fs.exists(self._path(target))
         if kept:
-            self._move(target, old)
+            self.move(target, old)
         if staged is not None:
-            self._move(staged, target)
+            self.move(staged, target)
         if kept:
             self.delete(old)
 
@@ -76,9 +76,21 @@ class _Files:
         for status in self._fs.listStatus(self._path(staged)):
             name = status.getPath().getName()
             if not name.startswith(("_", ".")):
-                self._move(f"{staged}/{name}", f"{target}/{name}")
+                self.move(f"{staged}/{name}", f"{target}/{name}")
 
-    def _move(self, source: str, target: str) -> None:
+    def names(self, folder: str) -> list[str]:
+        """What lies in a folder, in order of names; nothing if there is no such folder."""
+        if not self.exists(folder):
+            return []
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(folder)))
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self._path(folder))
+
+    def move(self, source: str, target: str) -> None:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not move {source} to {target}")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from idwarden import schemas
 from idwarden.constants import CSV_SOURCES
+from idwarden.sources.merged import read_days
 from idwarden.sources.normalise import normalise, parse_messages, shaped_field
 
 
@@ -52,8 +53,10 @@ def read_parquet(
     ``day_folders`` names folders to read (None: events without a time), if there are any. Lines that ingest could not parse are left out.
     """
     def load():
-        paths = [path] if isinstance(path, str) else path
-        raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        if isinstance(path, str):
+            raw = read_days(spark, path, merge_schema=merge_schema)
+        else:
+            raw = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*path)
         if day_folders is not None and "event_date" in raw.columns:
             named = F.col("event_date").cast("date").isin(*(F.lit(d).cast("date") for d in day_folders if d is not None))
             raw = raw.where(named | F.col("event_date").isNull() if None in day_folders else named)

@@ -22,6 +22,8 @@ from idwarden.operators.keyed import without_match
 from idwarden.operators.temporal import joined_runs, run_parts
 from idwarden.plans.sinks import write_days
 from idwarden.sources import normalise, parse_messages
+from idwarden.sources.merged import read_days
+from idwarden.streaming.compaction import merge_days
 
 #: Folders over which the ids of taken events are spread: a small batch reads those that its ids fall in.
 ID_BUCKETS = 64
@@ -162,7 +164,7 @@ def _without(rows: DataFrame, path: str, name: str, part: str, ids: str, event_i
     What an earlier try of the batch wrote does not count.
     """
     try:
-        known = rows.sparkSession.read.option("mergeSchema", True).parquet(path).where(F.col("batch") != name)
+        known = read_days(rows.sparkSession, path).where(F.col("batch") != name)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -267,10 +269,15 @@ def count_days(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 def read_day_counts(spark: SparkSession, path: str) -> DataFrame:
     """Events per user and day so far, days that are not over included. Events without a time count for day NULL."""
-    parts = spark.read.parquet(path)
+    parts = read_days(spark, path)
     return parts.groupBy(F.col("ts").alias("day_start"), "user").agg(F.sum("n").alias("n"))
 
 
+def merge_day_counts(spark: SparkSession, path: str, **options) -> int:
+    """Merge the small folders of ``count_days``: one row per user and day is left of those of many batches."""
+    return merge_days(spark, path, combine=lambda parts: parts.groupBy("event_date", "ts", "user").agg(F.sum("n").alias("n")), **options)
+
+
 def collect_sessions(rows: DataFrame, path: str, checkpoint: str, *, gap_hours: float = SESSION_HOURS) -> StreamingQuery:
     """Keep parts of runs of a user's events in ``path``: each batch adds those of its own events, which ``read_sessions`` joins.
 
@@ -286,7 +293,7 @@ def collect_sessions(rows: DataFrame, path: str, checkpoint: str, *, gap_hours:
 def read_sessions(spark: SparkSession, path: str, *, gap_hours: float = SESSION_HOURS) -> DataFrame:
     """Runs of a user's events without a pause of the gap, so far; the parts of all batches in an hour are first made one."""
     gap_sec = int(gap_hours * 3600)
-    parts = run_parts(spark.read.parquet(path), ["user"], "ts", gap_sec, F.col("n"))
+    parts = run_parts(read_days(spark, path), ["user"], "ts", gap_sec, F.col("n"))
     return joined_runs(parts, ["user"], gap_sec).select(
         "user", F.col("first").alias("session_start"), (F.col("last") + F.make_dt_interval(secs=F.lit(gap_sec))).alias("session_end"), "n"
     )
