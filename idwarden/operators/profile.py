@@ -1,13 +1,11 @@
 """Per-user results: scores, timelines, attack sequences."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idwarden.constants import RISK_TOP, WEIGHT_ESCALATION, WEIGHT_FAILED_MFA, WEIGHT_UNEXPLAINED
 from idwarden.functions import first_rows, is_failure, labelled
 from idwarden.functions.checks import non_negative, positive
-from idwarden.operators.access import unrequested_escalations
-from idwarden.operators.integrity import orphan_events
 from idwarden.operators.keyed import without_match
 from idwarden.operators.temporal import asof_join, asof_scan
 from idwarden.sources import Sources
@@ -131,24 +129,59 @@ def high_risk_sequences(src: Sources, *, window_sec: int = 86400, transfers=("up
     )
 
 
+def _spread(key: str) -> Column:
+    """A key to join by in which rows without one, which match nothing, are spread over many values."""
+    return F.when(F.col(key).isNull(), F.concat(F.lit("-"), F.pmod(F.xxhash64("event_id"), F.lit(1024)).cast("string"))).otherwise(_known(key))
+
+
+def _known(key: str) -> Column:
+    return F.concat(F.lit("+"), F.col(key))
+
+
+def _links(src: Sources) -> DataFrame:
+    """App and directory events of users, with the findings of each: what ``unrequested_escalations``, ``unexplained_usage`` and
+    ``orphan_events`` say of it, from one look at the event and one at each kind of key."""
+    no, none = F.lit(False), F.lit(None).cast("string")
+    escalates = F.coalesce(F.col("action") == "privilege_escalation", no)
+    events = src.app.select(
+        "user", "ts", F.col("usage_id").alias("event_id"), "request_id", "session_id", F.lit(True).alias("is_use"), no.alias("escalates"),
+    ).unionByName(src.directory.select(
+        "user", "ts", "event_id", "request_id", none.alias("session_id"), no.alias("is_use"), escalates.alias("escalates"),
+    )).where(F.col("user").isNotNull())
+    named = src.requests.where(F.col("req_id").isNotNull())
+    own = named.where(F.col("user").isNotNull()).groupBy(_known("req_id").alias("_own"), F.col("user").alias("_user")).agg(F.min("ts").alias("_first"))
+    made = named.select(_known("req_id").alias("_made")).distinct()
+    opened = src.logins.where((F.col("status") == "SUCCESS") & F.col("session_id").isNotNull()).select(_known("session_id").alias("_opened")).distinct()
+    found = (
+        events.withColumns({"_request": _spread("request_id"), "_session": _spread("session_id")})
+        .join(own, (F.col("_request") == F.col("_own")) & (F.col("user") == F.col("_user")), "left")
+        .join(made, F.col("_request") == F.col("_made"), "left")
+        .join(opened, F.col("_session") == F.col("_opened"), "left")
+    )
+    findings = (
+        F.col("escalates") & ~F.coalesce(F.col("_first") <= F.col("ts"), no),
+        F.col("is_use") & F.col("_own").isNull(),
+        F.col("request_id").isNotNull() & F.col("_made").isNull(),
+        F.col("session_id").isNotNull() & F.col("_opened").isNull(),
+    )
+    return found.select("user", sum((_one(f) for f in findings[1:]), _one(findings[0])).alias("findings"))
+
+
 def cleanest_users(src: Sources, *, max_findings: int | None = None, top: int | None = None) -> DataFrame:
-    """The ``top`` users (None: all) with the fewest findings, the most active first among equals."""
+    """The ``top`` users (None: all) with the fewest findings, the most active first among equals.
+
+    Findings are failed logins, unrequested escalations, unexplained app usage and events of unknown requests or sessions. Each
+    event is read once and carries its own findings, so what several detectors look up is looked up once.
+    """
     if max_findings is not None:
         non_negative(max_findings=max_findings)
-
-    def tally(df, findings, events):
-        return df.select("user", F.lit(findings).cast("bigint").alias("findings"), F.lit(events).cast("bigint").alias("total_events"))
-
+    nothing = F.lit(0).cast("bigint").alias("findings")
     rows = (
-        tally(src.events(), 0, 1)
-        .unionByName(tally(src.logins.where(is_failure("status")), 1, 0))
-        .unionByName(tally(unrequested_escalations(src), 1, 0))
-        .unionByName(tally(unexplained_usage(src), 1, 0))
-        .unionByName(tally(orphan_events(src), 1, 0))
-    )
-    totals = rows.where(F.col("user").isNotNull()).groupBy("user").agg(
-        F.sum("findings").alias("findings"), F.sum("total_events").alias("total_events")
+        src.logins.select("user", _one(is_failure("status")).alias("findings"))
+        .unionByName(src.requests.select("user", nothing))
+        .unionByName(_links(src))
     )
+    totals = rows.where(F.col("user").isNotNull()).groupBy("user").agg(F.sum("findings").alias("findings"), F.count("*").alias("total_events"))
     if max_findings is not None:
         totals = totals.where(F.col("findings") <= max_findings)
     return first_rows(totals.orderBy("findings", F.desc("total_events"), "user"), top)

@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from support import at, rows
 
 from idwarden.operators import access, activity, integrity, logins, profile, quality
@@ -341,3 +342,32 @@ def test_every_detector_runs_without_rows(make):
 def test_parameters_are_checked(make, call):
     with pytest.raises(ValueError):
         call(make())
+
+
+def test_cleanest_users_add_up_single_findings(spark, make):
+    """Rows with and without users, times, requests and sessions; requests of others, later ones, and two of one id."""
+    from idwarden.operators.access import unrequested_escalations
+    from idwarden.operators.integrity import orphan_events
+
+    users, keys = ("u", "v", "w", None), ("r1", "r2", "r3", "-5", None)
+    when = lambda n: None if n % 7 == 0 else at(n)
+    src = make(
+        okta=[{**login(n, user=users[n % 4], status=("FAILED", "SUCCESS", None)[n % 3], session=("s", "t", None)[n % 5 % 3]), "ts": when(n)} for n in range(30)],
+        saviynt=[{**ask(n), "req_id": ("r1", "r2", None)[n % 3], "user": users[n % 4], "ts": when(3 * n)} for n in range(12)],
+        app_usage=[{**use(n, user=users[n % 4], request=keys[n % 5], session=("s", "x", None)[n % 3]), "ts": when(n)} for n in range(60)],
+        ad=[{**group(n, user=users[n % 4], request=keys[n % 5]), "action": ("privilege_escalation", "add_member", None)[n % 3], "ts": when(n)} for n in range(60)],
+    )
+    want = {}
+    for found in (src.logins.where("status LIKE '%FAIL%'"), unrequested_escalations(src), profile.unexplained_usage(src), orphan_events(src)):
+        for r in found.where("user IS NOT NULL").collect():
+            want[r.user] = want.get(r.user, 0) + 1
+    totals = {r.user: r.n for r in src.events().where("user IS NOT NULL").groupBy("user").agg(F.count("*").alias("n")).collect()}
+    got = {r.user: (r.findings, r.total_events) for r in profile.cleanest_users(src).collect()}
+    assert got == {u: (want.get(u, 0), n) for u, n in totals.items()}
+
+
+def test_cleanest_users_reads_each_event_once(spark):
+    from idwarden.sources.events_view import read_events, sources_from_events
+
+    found = profile.cleanest_users(sources_from_events(read_events(spark, "/root/testdata/sf0.001")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 7
