@@ -133,8 +133,10 @@ QUERIES: dict[str, Query] = {
     "w1_append": files_trial.appended,
     "w6_rerun": files_trial.catalog_reruns,
     "s1_ingest": trial.ingest_app_messages,
+    "s1_merged_batches": trial.merged_batches,
     "s2_streaming_repeats": trial.distinct_events,
     "s3_streaming_bypass": trial.bypass_pairs,
+    "s3_late_rows": trial.late_bypass_pairs,
     "s3_streaming_shadow_access": trial.shadow_pairs,
     "s4_daily_counts": trial.daily_counts,
     "s5_sessions": trial.sessions,

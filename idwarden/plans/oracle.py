@@ -369,8 +369,10 @@ ORACLE: dict[str, str] = {
     "n12_drop_repeats": _sql("SELECT * FROM directory"),
     "s1_ingest": _sql("""
   SELECT *, strftime(ts, '%Y-%m-%d') AS event_date, (SELECT count(*) FROM app WHERE CAST(substr(usage_id, 2) AS BIGINT) % 10 = 0) AS n_bad FROM app"""),
+    "s1_merged_batches": _sql("SELECT * FROM app"),
     "s2_streaming_repeats": _sql("SELECT * FROM directory"),
     "s3_streaming_bypass": _sql(_bypass("TRUE", False, "a.session_id")),
+    "s3_late_rows": _sql(_bypass("TRUE", False, "a.session_id")),
     "s3_streaming_shadow_access": "",
     "s4_daily_counts": _sql("""
   SELECT date_trunc('day', ts) AS day_start, "user", count(*) AS n FROM directory GROUP BY ALL"""),

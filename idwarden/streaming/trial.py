@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from idwarden.constants import MFA_WINDOW_SEC
+from idwarden.operators.logins import mfa_bypass_all_apps
 from idwarden.sources import Sources
 from idwarden.sources.events_view import messages_from_events, read_events, sources_from_events
-from idwarden.streaming import jobs
+from idwarden.sources.merged import read_days
+from idwarden.sources.readers import list_files
+from idwarden.streaming import jobs, late
 from idwarden.streaming.folders import run_folder
 
 
@@ -63,11 +67,45 @@ def distinct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select(*directory.columns)
 
 
+def merged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App usage that came in twelve batches, whose folders were merged after the eighth and the twelfth."""
+    folder = run_folder(spark, "batches")
+    app = sources_from_events(read_events(spark, sf_dir)).app
+    number = F.substring("usage_id", 2, 20).cast("long") % 12
+    for first, last in ((0, 7), (8, 11)):
+        app.where(number.between(first, last)).repartition(last - first + 1).write.mode("append").parquet(f"{folder}/in")
+        rows = jobs.source_stream(spark, "app_usage", f"{folder}/in", fmt="parquet", typed=True, files_per_trigger=1)
+        jobs.ingest(rows, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        jobs.merge_days(spark, f"{folder}/out", least_folders=2)
+    crowded = list_files(spark, f"{folder}/out").groupBy(F.regexp_extract("path", "event_date=([^/]+)", 1)).count().where("count > 2")
+    if not crowded.isEmpty():
+        raise RuntimeError("a day has more than two files")
+    return read_days(spark, f"{folder}/out").select(*app.columns)
+
+
 def bypass_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _streamed(spark, sf_dir)
     return _finished(spark, jobs.bypass_stream(src.logins, src.app), "bypass")
 
 
+def late_bypass_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bypass pairs of three deliveries, of which each spans all days: the stream drops most of the second and third, repairs add them."""
+    folder = run_folder(spark, "late")
+    out, repaired, events = f"{folder}/out", f"{folder}/repaired", read_events(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    for part in range(3):
+        new = events.where(F.col("event_id") % 3 == part)
+        new.write.mode("append").parquet(f"{folder}/in")
+        src = sources_from_events(spark.readStream.schema(events.schema).parquet(f"{folder}/in"))
+        query = jobs.append_stream(jobs.bypass_stream(src.logins, src.app), out, f"{folder}/checkpoint", state_partitions=cores)
+        query.awaitTermination()
+        src, before = sources_from_events(new), late.watermark(query)
+        days = sorted({*late.late_days(src.logins, before), *late.late_days(src.app, before, back_sec=MFA_WINDOW_SEC)})
+        whole = mfa_bypass_all_apps(sources_from_events(spark.read.parquet(f"{folder}/in")))
+        late.repair(spark.read.schema(whole.schema).parquet(out), whole, "mfa_failure_time", days, repaired, f"delivery{part}")
+    return spark.read.schema(whole.schema).parquet(out).unionByName(late.repairs(whole, repaired))
+
+
 def shadow_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _streamed(spark, sf_dir)
     requests = sources_from_events(read_events(spark, sf_dir)).requests
