@@ -89,7 +89,7 @@ def bypass_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_bypass_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bypass pairs of three deliveries, of which each spans all days: the stream drops most of the second and third, repairs add them."""
+    """Bypass pairs of three deliveries, of which each spans all days, so the later ones come after the watermark; repairs add what the stream dropped."""
     folder = run_folder(spark, "late")
     out, repaired, events = f"{folder}/out", f"{folder}/repaired", read_events(spark, sf_dir)
     cores = spark.sparkContext.defaultParallelism
