@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from support import at, rows
 
+from idwarden.operators.access import shadow_access
 from idwarden.operators.logins import mfa_bypass_all_apps
 from idwarden.plans.sinks import write_days
 from idwarden.sources.readers import read_parquet
@@ -136,6 +137,20 @@ def test_bypass_over_two_runs_equals_batch(spark, make, tmp_path):
     assert rows(out, *columns) == rows(mfa_bypass_all_apps(src), *columns)
 
 
+def test_shadow_access_earlier_in_the_same_second_equals_batch(spark, make, tmp_path):
+    src = make(
+        ad=[dict(event_id="e1", user="u", ts=at(0.9), group="DBA", initiator="i")],
+        app_usage=[dict(usage_id=f"u{i}", user="u", ts=at(t), app=f"a{i}") for i, t in enumerate((-0.1, 0.2, 0.9, 3600.95, 3601.1))],
+    )
+    src.directory.write.parquet(f"{tmp_path}/directory")
+    src.app.write.parquet(f"{tmp_path}/app")
+    streams = [spark.readStream.schema(df.schema).parquet(f"{tmp_path}/{name}") for name, df in (("directory", src.directory), ("app", src.app))]
+    out = drained(jobs.shadow_stream(streams[0], src.requests, streams[1], window_sec=3600), tmp_path)
+    columns = ["time_of_privilege_grant", "time_of_app_access", "app_accessed"]
+    assert rows(out, *columns) == rows(shadow_access(src, window_sec=3600), *columns)
+    assert [r[2] for r in rows(out, *columns)] == ["a1", "a2", "a3"]
+
+
 class FakeSession:
     """Only what the folder lookup reads; the setting cannot be changed in a running session."""
 
