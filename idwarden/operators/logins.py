@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from idwarden.constants import LOGIN_BAND_SEC, LOGIN_GRACE_SEC, MFA_WINDOW_SEC
 from idwarden.functions import elapsed, is_failure
 from idwarden.functions.checks import non_negative, positive
+from idwarden.operators.keyed import shuffled
 from idwarden.operators.temporal import asof_scan, band_join, with_previous, without_band_match
 from idwarden.sources import Sources
 
@@ -34,7 +35,7 @@ def session_login_gaps(src: Sources, *, grace_sec: int = LOGIN_GRACE_SEC) -> Dat
     """App use before, or too long after, a login of its own session."""
     non_negative(grace_sec=grace_sec)
     logins = src.logins.select("user", "session_id", F.col("ts").alias("time_of_login"))
-    return _outside_grace(logins.join(_usage(src), ["user", "session_id"]), grace_sec)
+    return _outside_grace(logins.join(shuffled(_usage(src)), ["user", "session_id"]), grace_sec)
 
 
 def sessionless_login_gaps(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from idwarden.functions import all_not_null, any_null, elapsed, seconds
 from idwarden.functions.checks import ordered, positive
+from idwarden.operators.keyed import shuffled
 
 CHUNK_SEC = 3600
 
@@ -42,7 +43,7 @@ def band_join(
     near = left.where(all_not_null(*on)).withColumn("_chunk", F.explode(_covered(left_ts, lo, hi, width)))
     far = right.withColumn("_chunk", _chunk(right_ts, width))
     return (
-        near.join(far, [*on, "_chunk"])
+        near.join(shuffled(far), [*on, "_chunk"])
         .where(elapsed(right_ts, left_ts).between(lo, hi))
         .drop("_chunk")
     )
@@ -80,7 +81,7 @@ def without_band_match(
         match = match & (F.col(k) == F.col(f"_r_{k}"))
     match = match & (F.col("_sec") - seconds(left_ts)).between(lo, hi)
     return (
-        dated.join(known, match, "left_anti")
+        dated.join(shuffled(known), match, "left_anti")
         .drop("_chunk")
         .unionByName(left.where(any_null(*on, left_ts)))
     )

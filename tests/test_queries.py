@@ -66,6 +66,13 @@ def test_missing_logins_are_an_anti_join(spark):
     assert "LeftAnti" in plan_of(QUERIES["d02c_no_login"](spark, SMALL))
 
 
+@pytest.mark.parametrize("name", ["d02_impossible_login", "d06_mfa_bypass_all_apps"])
+def test_events_do_not_pass_the_driver(spark, name):
+    """Sides of joins that grow with the events are not broadcast, however small their files look."""
+    plan = plan_of(QUERIES[name](spark, SMALL))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_windows_are_split_by_time(spark):
     for name in ("d03_mfa_bypass", "d07_impossible_travel", "d11_high_risk_sequence", "n9_session_attribution"):
         plan = plan_of(QUERIES[name](spark, SMALL))
