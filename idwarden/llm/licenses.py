@@ -1,14 +1,16 @@
 """Licence statements in texts: a sparse n-gram model over paragraphs, confirmed by templates.
 
-Paragraphs are the lines of a text. The model is a multinomial logistic regression with elastic-net penalty over the distinct
+Blank lines part a text into paragraphs. The model sees each line and each run of lines of a paragraph that can hold a wrapped
+statement: one with no more than ``LONGEST`` words between its first and last line. The model is a multinomial logistic regression with elastic-net penalty over the distinct
 word 1-, 2- and 3-grams of a paragraph, with one class per licence family and one for unknown. It is trained on the statements
 below, in all their forms, against ``UNKNOWN_DOCS`` documents' lines (those of the lowest hash of the id) and phrases that only
 resemble statements. A fifth of these rows sets the temperature of the probabilities and the probability from which a
-family is believed, so that unknown paragraphs stay unknown. A believed family is confirmed if the paragraph holds
-``CONFIRMED`` of the grams of one of the family's templates.
+family is believed, so that unknown paragraphs stay unknown. A believed family is confirmed if the line or run holds
+``CONFIRMED`` of the grams of one of the family's templates. Of findings that overlap, confirmed ones come first, then short ones.
 
-A paragraph without any cue is unknown: cues are the few words, learned with the model, of which every statement has one. So
-most lines are passed over before they are split into words.
+What the model cannot believe is passed over before it is scored, which loses nothing: each word has a bound on how far the grams it
+stands for raise a family over unknown (as grams count once), in parts of what belief needs. Bounds of the words of a line or run
+that add up to less than 1 leave it unknown, and so does a text without any of the ``cues``, as all other bounds add up to less than 1.
 
 Only DataFrame functions and pyspark.ml: scoring is one projection without shuffle. NULL and empty texts have no paragraphs; a
 text without statements has families ''.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from idwarden.llm.store import save
 
 UNKNOWN_DOCS, UNKNOWN_LINES, CONFIRMED, LEAST_PROBABILITY = 200, 1500, 0.6, 0.5
-UNKNOWN = "unknown"
+UNKNOWN, FOUND = "unknown", "array<struct<line:int,family:string,probability:double,similarity:double>>"
 
 # Names of licences and sentences of their texts.
 NAMES = {
@@ -67,6 +69,10 @@ NOT_LICENCES = (
     "Released under pressure, the gas expands.", "The creative commons of the town", "This work is under way.", "version 3 of the report", "All rights of way",
     "He was granted permission to leave free of charge.", "The general public may visit.", "Mozilla is a company.", "The seat is reserved.",
 )
+#: A word of a gram.
+WORD = r"([a-z0-9]+(?:[.-][a-z0-9]+)*)"
+#: Words of the longest statement that the model learns.
+LONGEST = max(len(form.format(text).split()) for table, forms in ((NAMES, FORMS), (SENTENCES, SENTENCE_FORMS)) for some in table.values() for text in some for form in forms)
 
 
 def lines(text: Column) -> Column:
@@ -75,8 +81,11 @@ def lines(text: Column) -> Column:
 
 def grams(text: Column) -> Column:
     """The distinct word 1-, 2- and 3-grams."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+(?:[.-][a-z0-9]+)*)"), F.lit(1))
-    return _grams(words)
+    return _grams(_words(text))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
 
 
 def _grams(words: Column) -> Column:
@@ -105,14 +114,13 @@ class Model:
     weights: dict[str, list[float]]  # by gram, one for each family; divided by the temperature
     intercepts: tuple[float, ...]
     believed_from: float
+    bounds: dict[str, float]  # by word
     cues: tuple[str, ...]
 
     def has_cue(self, text: Column) -> Column:
-        low = F.lower(text)
-        out = F.lit(False)
-        for cue in self.cues:
-            out = out | low.contains(cue)
-        return out
+        if not self.cues:
+            return text.isNotNull()
+        return F.lower(text).rlike("(?<![a-z0-9])(?:" + "|".join(cue.replace(".", "[.]") for cue in self.cues) + ")(?![a-z0-9])")
 
     def probabilities(self, some_grams: Column) -> Column:
         """One probability for each family, of a paragraph's grams."""
@@ -125,24 +133,79 @@ class Model:
         raised = F.transform(F.array(logits), lambda x: F.transform(x, lambda v: F.exp(v - F.array_max(x))))
         return F.transform(raised, lambda x: F.transform(x, lambda v: v / F.aggregate(x, F.lit(0.0), lambda s, y: s + y)))[0]
 
-    def findings(self, text: Column) -> Column:
-        """An array of (line, family, probability, similarity) of the paragraphs that hold a statement."""
-        numbered = F.filter(
-            F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("text"), i.alias("line"))), lambda x: self.has_cue(x["text"]),
-        )
+    def findings(self, docs: DataFrame) -> DataFrame:
+        """doc_id and an array of (line, family, probability, similarity) of the lines and runs that hold a statement, by their first line.
+
+        Each step is a column of its own, so that nothing is computed twice.
+        """
         names = literal(list(self.families), "array<string>")
         templates = literal(_templates(), "map<string,array<array<string>>>")
-        with_grams = F.transform(numbered, lambda x: F.struct(x["line"].alias("line"), grams(x["text"]).alias("grams")))
-        scored = F.transform(with_grams, lambda x: F.struct(x["line"].alias("line"), x["grams"].alias("grams"), self.probabilities(x["grams"]).alias("p")))
-        named = F.transform(scored, lambda x: F.struct(
-            x["line"].alias("line"), x["grams"].alias("grams"), F.array_max(x["p"]).alias("probability"),
-            names[F.array_position(x["p"], F.array_max(x["p"])).cast("int") - 1].alias("family"),
-        ))
-        believed = F.filter(named, lambda x: (x["family"] != UNKNOWN) & (x["probability"] >= self.believed_from))
-        return F.transform(believed, lambda x: F.struct(
-            x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"),
-            F.coalesce(F.array_max(F.transform(F.try_element_at(templates, x["family"]), lambda t: F.size(F.array_intersect(t, x["grams"])) / F.size(t))), F.lit(0.0)).alias("similarity"),
-        ))
+
+        bounds = literal(self.bounds, "map<string,double>")
+
+        def bound(words: Column) -> Column:
+            if not self.bounds:
+                return F.lit(1.0)
+            return F.aggregate(F.array_distinct(words), F.lit(0.0), lambda n, w: n + F.coalesce(F.try_element_at(bounds, w), F.lit(0.0)))
+
+        def marked(x: Column) -> Column:
+            before = F.slice("words", 1, x["line"])
+            return F.struct(
+                x["line"].alias("line"), x["bound"].alias("bound"), F.aggregate(before, F.lit(0), lambda n, y: n + F.size(y)).alias("before"),
+                F.size(F.element_at("words", x["line"] + 1)).alias("n"), F.size(F.filter(F.slice("lines", 1, x["line"]), lambda y: F.trim(y) == "")).alias("paragraph"),
+            )
+
+        def run(first: Column, last: Column) -> Column:
+            text = F.array_join(F.slice("lines", first["line"] + 1, last["line"] - first["line"] + 1), " ")
+            return F.struct(first["line"].alias("line"), last["line"].alias("last"), text.alias("text"))
+
+        def runs_from(first: Column) -> Column:
+            def can(last: Column) -> Column:
+                inside = F.filter("marked", lambda x: x["line"].between(first["line"], last["line"]))
+                return (
+                    (last["line"] >= first["line"]) & (last["paragraph"] == first["paragraph"]) & (last["before"] - first["before"] - first["n"] <= LONGEST)
+                    & (F.aggregate(inside, F.lit(0.0), lambda n, x: n + x["bound"]) >= 1))
+
+            return F.transform(F.filter("marked", can), lambda last: run(first, last))
+
+        def named(x: Column) -> Column:
+            best = F.array_max(x["p"])
+            return F.struct(
+                x["line"].alias("line"), x["last"].alias("last"), x["grams"].alias("grams"), best.alias("probability"),
+                names[F.array_position(x["p"], best).cast("int") - 1].alias("family"))
+
+        def ranked(x: Column) -> Column:
+            alike = F.transform(F.try_element_at(templates, x["family"]), lambda t: F.size(F.array_intersect(t, x["grams"])) / F.size(t))
+            similarity = F.coalesce(F.array_max(alike), F.lit(0.0))
+            # In this order they are taken.
+            return F.struct(
+                (similarity < CONFIRMED).alias("unconfirmed"), (x["last"] - x["line"]).alias("more"), x["line"].alias("line"),
+                x["family"].alias("family"), x["probability"].alias("probability"), similarity.alias("similarity"))
+
+        def apart(x: Column, y: Column) -> Column:
+            return (x["line"] + x["more"] < y["line"]) | (y["line"] + y["more"] < x["line"])
+
+        def taken(acc: Column, x: Column) -> Column:
+            return F.when(F.forall(acc, lambda y: apart(x, y)), F.array_append(acc, x)).otherwise(acc)
+
+        kind = "array<struct<unconfirmed:boolean,more:int,line:int,family:string,probability:double,similarity:double>>"
+        steps = {
+            "lines": F.split("text", "\n"),
+            "words": F.transform("lines", _words),
+            "bounds": F.transform("words", lambda x, i: F.struct(i.alias("line"), bound(x).alias("bound"))),
+            "marked": F.transform(F.filter("bounds", lambda x: x["bound"] > 0), marked),
+            "units": F.flatten(F.transform("marked", runs_from)),
+            "grams": F.transform("units", lambda x: F.struct(x["line"].alias("line"), x["last"].alias("last"), grams(x["text"]).alias("grams"))),
+            "scored": F.transform("grams", lambda x: F.struct(
+                x["line"].alias("line"), x["last"].alias("last"), x["grams"].alias("grams"), self.probabilities(x["grams"]).alias("p"))),
+            "named": F.filter(F.transform("scored", named), lambda x: (x["family"] != UNKNOWN) & (x["probability"] >= self.believed_from)),
+            "ranked": F.array_sort(F.transform("named", ranked)),
+            "found": F.array_sort(F.transform(F.aggregate("ranked", F.array().cast(kind), taken), lambda x: F.struct(
+                x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), x["similarity"].alias("similarity")))),
+        }
+        for name, column in steps.items():
+            docs = docs.withColumn(name, F.when(F.col("cued"), column))
+        return docs.select("doc_id", F.coalesce("found", F.array().cast(FOUND)).alias("found"))
 
 
 def _templates() -> dict[str, list[list[str]]]:
@@ -199,39 +262,46 @@ def fit(docs: DataFrame) -> Model:
     coefficients = fitted.coefficientMatrix.toArray() / temperature
     weights = {g: [float(v) for v in coefficients[:, k]] for k, g in enumerate(vocabulary.vocabulary) if coefficients[:, k].any()}
     intercepts = tuple(float(v) / temperature for v in fitted.interceptVector.toArray())
-    cues = _cues(rows)
+    believed_from = max(LEAST_PROBABILITY, min(mistaken, 0.9))
+    bounds, cues = _bounds(weights, intercepts, believed_from, rows)
     rows.unpersist()
     marked.unpersist()
-    return Model(families, weights, intercepts, max(LEAST_PROBABILITY, min(mistaken, 0.9)), cues)
+    return Model(families, weights, intercepts, believed_from, bounds, cues)
+
 
+def _bounds(weights: dict[str, list[float]], intercepts: tuple[float, ...], believed_from: float, rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
+    """A bound for each word, such that a family is believed only where the bounds of the words add up to 1; and the cues.
 
-def _cues(rows: DataFrame) -> tuple[str, ...]:
-    """Words of which every statement holds one, chosen one by one: most statements left, fewest unknown lines."""
-    statements_left = [set(r["grams"]) for r in rows.where("label > 0").select("grams").collect()]
-    unknown = [set(r["grams"]) for r in rows.where("label = 0").select(F.filter("grams", lambda g: ~g.contains(" ")).alias("grams")).collect()]
+    A family is believed with p >= b only if the weights of the grams present raise it over unknown by at least the difference of the
+    intercepts plus log(b / (1 - b)). A gram counts for the least common of its words. Words that are no cues are the most common
+    ones, as many as add up to less than 1.
+    """
     common: dict[str, int] = {}
-    for words in unknown:
-        for w in words:
-            common[w] = common.get(w, 0) + 1
-    cues = []
-    while statements_left:
-        counts: dict[str, int] = {}
-        for some in statements_left:
-            for w in some:
-                if " " not in w and len(w) > 2:
-                    counts[w] = counts.get(w, 0) + 1
-        if not counts:
-            break
-        best = max(counts, key=lambda w: (counts[w] / (1 + 5 * common.get(w, 0)), w))
-        cues.append(best)
-        statements_left = [some for some in statements_left if best not in some]
-    return tuple(cues)
+    for r in rows.where("label = 0").select(F.filter("grams", lambda g: ~g.contains(" ")).alias("grams")).collect():
+        for word in r["grams"]:
+            common[word] = common.get(word, 0) + 1
+    needed = [intercepts[0] - v + math.log(believed_from / (1 - believed_from)) - 1e-6 for v in intercepts[1:]]
+    if min(needed) <= 0:  # a family may be believed without any gram: all is scored
+        return {}, ()
+    of_word: dict[str, list[float]] = {}
+    for gram, w in weights.items():
+        owner = of_word.setdefault(min(gram.split(" "), key=lambda x: (common.get(x, 0), x)), [0.0] * len(needed))
+        for f, v in enumerate(w[1:]):
+            owner[f] += max(0.0, v - w[0])
+    bounds = {word: max(v / need for v, need in zip(raised, needed)) for word, raised in of_word.items()}
+    bounds = {word: v for word, v in bounds.items() if v > 0}
+    cues, rest = [], 0.0
+    for word in sorted(bounds, key=lambda x: (-common.get(x, 0) / bounds[x], bounds[x], x)):
+        if rest + bounds[word] < 1 - 1e-6:
+            rest += bounds[word]
+        else:
+            cues.append(word)
+    return bounds, tuple(cues)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and the findings of each row of ``docs`` (doc_id, text)."""
-    none = F.array().cast("array<struct<line:int,family:string,probability:double,similarity:double>>")
-    return docs.select("doc_id", F.when(model.has_cue(F.col("text")), model.findings(F.col("text"))).otherwise(none).alias("found"))
+    return model.findings(docs.select("doc_id", "text", F.coalesce(model.has_cue(F.col("text")), F.lit(False)).alias("cued")))
 
 
 def summary(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import time
 
@@ -242,6 +243,35 @@ def test_licences(spark, nothing):
     assert licenses.summary(nothing).collect() == []
 
 
+def test_wrapped_licences_and_bounds(spark):
+    docs = [
+        (1, "Released under the MIT\nLicense."), (2, "Prose.\n# Licensed under the Apache\n# License, Version\n# 2.0.\nMore."), (3, "The MIT\n\nLicense of it"),
+        (4, "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this\nsoftware and associated documentation files"),
+        (5, "Released under the MIT License.\nAll rights reserved."), (6, "MIT\nLicense\n\nBSD\nLicense"),
+    ]
+    filler = [(100 + i, "\n".join(brute_line(i, k) for k in range(6))) for i in range(40)]
+    frame = spark.createDataFrame(docs + filler, "doc_id long, text string")
+    model = licenses.fit(frame)
+    found = {r["doc_id"]: [(x["line"], x["family"], x["similarity"] >= licenses.CONFIRMED) for x in r["found"]] for r in licenses.scan(frame, model).collect()}
+    assert found[1] == [(0, "mit", True)] and found[3] == []
+    assert [f[1:] for f in found[2]] == [("apache-2.0", True)] and [f[1:] for f in found[4]] == [("mit", True)]
+    assert found[5] == [(0, "mit", True), (1, "all-rights-reserved", True)] and found[6] == [(0, "mit", True), (3, "bsd", True)]
+
+    # What the bounds leave out is unknown to the model itself.
+    rng, words = random.Random(3), sorted({w for g in model.weights for w in g.split(" ")})
+    believed = 0
+    for _ in range(3000):
+        pieces = [rng.choice(list(model.weights) if rng.random() < 0.6 else words) for _ in range(rng.randint(1, 9))]
+        tokens = " ".join(pieces).split(" ")
+        some = {" ".join(tokens[i:i + n]) for n in (1, 2, 3) for i in range(len(tokens) - n + 1)}
+        logits = [b + sum(model.weights[g][f] for g in some if g in model.weights) for f, b in enumerate(model.intercepts)]
+        chances = [math.exp(v - max(logits)) for v in logits]
+        if max(chances[1:]) / sum(chances) >= model.believed_from and chances[0] < 1:
+            believed += 1
+            assert not model.bounds or (sum(model.bounds.get(w, 0.0) for w in set(tokens)) >= 1 and set(tokens) & set(model.cues))
+    assert believed > 20
+
+
 def brute_line(i, k):
     rng = random.Random(100 * i + k)
     return " ".join(rng.choice(["the", "house", "river", "version", "under", "free", "state", "public", "road", "use", "see"]) for _ in range(9))
