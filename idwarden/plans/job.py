@@ -15,6 +15,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,20 @@ class Outcome:
     error: str | None = None
 
 
+def _loaded_once(load: Callable[..., Sources]) -> Callable[..., Sources]:
+    """``load``, but tables that read the same days share one listing of the files and their footers. A load that fails is tried again."""
+    lock, known = Lock(), {}
+
+    def shared(days=None) -> Sources:
+        key = None if days is None else tuple(sorted(days.items()))
+        with lock:
+            if key not in known:
+                known[key] = load(days=days)
+            return known[key]
+
+    return shared
+
+
 def run(
     src: Sources | Callable[..., Sources], sink: Sink, *, tables: dict[str, str] | None = None, run_id: str | None = None,
     keys: list[str] | None = None, parallel: int = 4, first_day: str | None = None, last_day: str | None = None,
@@ -64,7 +79,8 @@ def run(
     """Fill the tables of ``keys`` (all by default). A table that fails does not stop the others.
 
     Several tables are computed at once so that one table's last tasks do not idle the cluster.
-    A range of days needs ``src`` as a function of ``days``, so that each table reads what it needs around the range.
+    A range of days needs ``src`` as a function of ``days``, so that each table reads what it needs around the range; it is called once for each
+    range that tables read.
     With ``store`` the tables of ``FROM_PARTIALS`` are merged from its partials, which are brought up to date first.
     """
     positive(parallel=parallel)
@@ -75,7 +91,7 @@ def run(
 
     if not callable(src) and (first_day or last_day):
         raise ValueError("a range of days needs a function that loads the sources")
-    load = src if callable(src) else lambda days=None: src
+    load = _loaded_once(src) if callable(src) else lambda days=None: src
     merged = [key for key in keys or list(DETECTORS) if store is not None and key in FROM_PARTIALS]
     with ThreadPoolExecutor(parallel) as pool:
         for source, days in pool.map(lambda s: (s, store.refresh(s)), sorted({s for key in merged for s in FROM_PARTIALS[key][0]})):

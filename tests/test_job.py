@@ -6,7 +6,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from support import rows
+from support import at, rows
 
 from idwarden.constants import SOURCE_KEYS, TABLES
 from idwarden.operators.access import shadow_access
@@ -202,3 +202,21 @@ def test_bad_settings():
         job.settings(["--root", "x", "--source", "payroll"])
     with pytest.raises(ValueError):
         job.run(None, job.Sink("x"), tables={"no_table": "x"})
+
+
+def test_tables_share_one_load(make, tmp_path):
+    """The files of the sources are listed, and their footers read, once for each range of days; a load that failed is tried again."""
+    src, asked = make(okta=[dict(req_id="l1", user="u", ts=at(0), status="FAILED")]), []
+
+    def load(days=None):
+        asked.append(days)
+        if len(asked) == 1:
+            raise OSError("not there yet")
+        return src
+
+    keys = ["risk_table", "role_drift_table", "ad_churn_table", "mfa_drift_table"]
+    outcomes = job.run(load, job.Sink(str(tmp_path)), run_id="r", keys=keys)
+    assert asked == [None, None] and sum(o.error is not None for o in outcomes) == 1
+    asked.append("a load")
+    job.run(load, job.Sink(str(tmp_path)), run_id="s", keys=["mfa_table", "risk_table", "mfa_all_table"], first_day="2025-10-06", last_day="2025-10-06")
+    assert len(asked) == 3 + 2
